@@ -20,24 +20,34 @@ SERVERS = {
 }
 
 
+def expand(df: DataFrame, **values: Sequence) -> DataFrame:
+    """Every row once per combination of the given value lists.
+
+    The lists are literals, so the rows multiply by a factor known when the plan is written.
+    """
+    for name, items in values.items():
+        df = df.withColumn(name, F.explode(F.array(*[F.lit(i) for i in items])))
+    return df
+
+
 def rank_cells(spark: SparkSession) -> DataFrame:
     """Every (tier, division) of the ladder."""
-    cells = [(t, d) for t in TIERS for d in DIVISIONS] + [(t, "I") for t in ELITE_TIERS]
-    return spark.createDataFrame(cells, "tier string, division string")
+    one = spark.range(1)
+    regular = expand(one, tier=TIERS, division=DIVISIONS)
+    elite = expand(one, tier=ELITE_TIERS, division=DIVISIONS[:1])
+    return regular.unionByName(elite).drop("id")
 
 
 def servers(spark: SparkSession) -> DataFrame:
     """Every server with its region."""
-    rows = [(server, region) for region, names in SERVERS.items() for server in names]
-    return spark.createDataFrame(rows, "server string, region string")
+    regions = F.create_map(*[x for r, names in SERVERS.items() for s in names for x in (F.lit(s), F.lit(r))])
+    return spark.range(1).select(F.explode(regions).alias("server", "region"))
 
 
-def grid(*dimensions: DataFrame) -> DataFrame:
-    """All combinations of dimension tables whose rows are distinct value lists."""
-    combined = dimensions[0]
-    for dimension in dimensions[1:]:
-        combined = combined.crossJoin(dimension)
-    return combined
+def rank_grid(spark: SparkSession, days: Sequence[str]) -> DataFrame:
+    """Work units of a daily ladder run: day x server x (tier, division)."""
+    server_names = [s for names in SERVERS.values() for s in names]
+    return expand(rank_cells(spark), day=days, server=server_names)
 
 
 def missing(required: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -76,9 +76,8 @@ def stratified_split(
         .otherwise(F.raise_error(F.lit("the rarest label has fewer than two groups")).cast("long"))
         .alias("_k")
     )
-    sides = numbered.crossJoin(F.broadcast(folds)).select(
-        label, group, F.when((F.col("_n") - 1) % F.col("_k") == 0, "test").otherwise("train").alias(name)
-    )
+    in_test = (F.col("_n") - 1) % folds.scalar() == 0
+    sides = numbered.select(label, group, F.when(in_test, "test").otherwise("train").alias(name))
     return df.join(sides, [label, group])
 
 
