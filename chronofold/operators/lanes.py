@@ -126,6 +126,18 @@ class Lane:
             .drop("_from", "_span", "_cuts")
         )
 
+    def measured(self, df: DataFrame) -> Lane:
+        """This lane, marked ``bounded`` if a count finds no heavy key.
+
+        Runs a job.  Worth it before several scans in a row: every scan of an unbounded lane reads
+        its input twice, so the plan doubles with each.  When the result is still unbounded, write
+        the rows out between scans.
+        """
+        if self.bounded:
+            return self
+        over = df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > self.max_rows)
+        return replace(self, bounded=True) if over.isEmpty() else self
+
     def scan(self, df: DataFrame, **steps: Step) -> DataFrame:
         """Add one column per step to a frame already marked by :meth:`slice`."""
         local = df.withColumns({name: self._local(step) for name, step in steps.items()})

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings a job needs whatever cluster it runs on.  Partition counts are left to adaptive
 #: execution: it starts from ``initialPartitionNum`` and merges down to the advisory size.
@@ -42,3 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="chronofold-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def written(df: DataFrame, name: str = "stage") -> DataFrame:
+    """The rows by way of a table in the shared folder: cuts the lineage and outlives executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronofold.session import shared_folder
+from chronofold.session import written
 
 # Column type names of the declared schemas.
 TYPE_NAMES = {
@@ -171,9 +171,7 @@ class TableStore:
         """Replace rows with the batch's keys and add the rest; repeating a batch changes nothing."""
         keys = [*spec.keys]
         # The batch is used several times below; a written copy makes every use see the same rows.
-        staged_at = f"{shared_folder(self.spark)}/upsert-{uuid.uuid4().hex}"
-        df.write.parquet(staged_at)
-        batch = self.spark.read.schema(df.schema).parquet(staged_at)
+        batch = written(df, "upsert")
         if batch.groupBy(*keys).count().where("count > 1").limit(1).count():
             raise ValueError(f"duplicate keys {keys} in the batch for {table}")
         target = self.spark.table(self.full_name(table))
