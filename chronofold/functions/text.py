@@ -108,7 +108,7 @@ def reply_slots(reply: Column) -> Column:
     parsed = F.from_json(block, "teams array<string>, event string, game_number string, _bad string",
                          {"columnNameOfCorruptRecord": "_bad"})
     teams = F.filter(
-        F.transform(F.coalesce(parsed["teams"], F.array().cast("array<string>")), F.trim),
+        F.transform(F.coalesce(parsed["teams"], F.array().cast("array<string>")), lambda t: F.trim(t)),
         lambda t: t.isNotNull() & (t != ""),
     )
     number = F.when(parsed["game_number"].rlike(r"^-?\d+$"), parsed["game_number"]).try_cast("int")

@@ -83,17 +83,17 @@ def window_counts(
     return counted.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *by, "n")
 
 
-_REPLAY_OUT = "owner string, ord long, item long, held long"
+_REPLAY_OUT = "owner string, ord long, step int, item long, held long"
 _REPLAY_STATE = "held string, history string"
 
 
-def _apply(held: dict, history: list, kind: str, t: int, item: int) -> list[int]:
-    """One item event on an owner's state; returns the items whose count it touched."""
+def _apply(held: dict, history: list, kind: str, t: int, item: int) -> list[tuple[int, int]]:
+    """One item event on an owner's state; returns the counts it touched, in order."""
     touched = []
 
     def bump(i, by):
         held[i] = max(0, held.get(i, 0) + by)
-        touched.append(i)
+        touched.append((i, held[i]))
 
     if kind != UNDO:
         history.append((kind, t, item))
@@ -120,12 +120,12 @@ def _replay_owner(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     rows = pd.concat(list(batches)).sort_values(["t", "sort", "ord"])
     out = []
     for row in rows.itertuples():
-        for item in _apply(held, history, row.kind, int(row.t), int(row.item)):
-            out.append((key[0], int(row.ord), item, held[item]))
+        for step, (item, count) in enumerate(_apply(held, history, row.kind, int(row.t), int(row.item))):
+            out.append((key[0], int(row.ord), step, item, count))
     state.update((json.dumps({k: v for k, v in held.items() if v}), json.dumps(history)))
     watermark = state.getCurrentWatermarkMs()
     state.setTimeoutTimestamp(max(watermark, 0) + 6 * 3_600_000)
-    yield pd.DataFrame(out, columns=["owner", "ord", "item", "held"])
+    yield pd.DataFrame(out, columns=["owner", "ord", "step", "item", "held"])
 
 
 def stream_items(

@@ -86,7 +86,7 @@ def teams(t: Tables) -> DataFrame:
 
 
 def redirects(t: Tables) -> DataFrame:
-    return players(t).where(F.col("_ordinal") % 3 == 1).select(
+    return players(t).where("Role = 'BUILDING'").select(
         F.col("ID").alias("AllName"), F.when(F.col("_ordinal") % 7 > 0, F.col("OverviewPage")).alias("OverviewPage"), "_ordinal")
 
 
@@ -96,7 +96,7 @@ def redirects(t: Tables) -> DataFrame:
   UNION ALL SELECT id, page, 'person', 'ign', 0, ordinal, 1 FROM players
   UNION ALL SELECT name, page, 'person', 'real_name', 0, ordinal, 2 FROM players
   UNION ALL SELECT alphabet, page, 'person', 'romanization', 0, ordinal, 3 FROM players
-  UNION ALL SELECT id, CASE WHEN ordinal % 7 > 0 THEN page END, 'person', 'other', 1, ordinal, 0 FROM players WHERE ordinal % 3 = 1
+  UNION ALL SELECT id, CASE WHEN ordinal % 7 > 0 THEN page END, 'person', 'other', 1, ordinal, 0 FROM players WHERE role = 'BUILDING'
   UNION ALL SELECT page, page, 'team', 'canonical', 2, ordinal, 0 FROM team_records
   UNION ALL SELECT name, page, 'team', 'short', 2, ordinal, 1 FROM team_records
   UNION ALL SELECT short, page, 'team', 'short', 2, ordinal, 2 FROM team_records WHERE short IS DISTINCT FROM name)
@@ -334,15 +334,15 @@ def ladder_window(t: Tables) -> DataFrame:
 
 @query("N15 S13 S16 J10", """
 SELECT server, tier, count(*) AS players, sum(wins)::BIGINT AS wins FROM (
-  SELECT DISTINCT c_custkey, ['kr', 'na1'][c_custkey % 2 + 1] AS server, ['IRON', 'GOLD', 'DIAMOND'][c_nationkey % 3 + 1] AS tier, c_custkey % 50 AS wins
-  FROM customer WHERE c_custkey % 2 = 0) GROUP BY ALL
+  SELECT DISTINCT c_custkey, 'kr' AS server, ['IRON', 'GOLD', 'DIAMOND'][c_nationkey % 3 + 1] AS tier, c_custkey % 50 AS wins
+  FROM customer WHERE c_acctbal > 3000) GROUP BY ALL
 """)
 def ladder_fact_table(t: Tables) -> DataFrame:
     """Fact table after cleaning a server's day twice; the second run finds nothing left to do."""
     c = F.col("c_custkey")
     pick = lambda values, index: F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
     raw = t.customer.select(
-        c.cast("string").alias("puuid"), F.lit("L1").alias("leagueId"), pick(("kr", "na1"), c % 2).alias("server"),
+        c.cast("string").alias("puuid"), F.lit("L1").alias("leagueId"), F.when(F.col("c_acctbal") > 3000, "kr").otherwise("na1").alias("server"),
         pick(("IRON", "GOLD", "DIAMOND"), F.col("c_nationkey") % 3).alias("tier"), F.lit("II").alias("division"), F.lit("II").alias("rank"),
         F.lit(10).alias("leaguePoints"), (c % 50).cast("int").alias("wins"), F.lit(3).alias("losses"), F.lit(True).alias("freshBlood"),
         F.lit(None).cast("boolean").alias("hotStreak"), F.lit(False).alias("inactive"), F.lit(False).alias("veteran"),

@@ -43,7 +43,7 @@ def match_documents(t: Tables) -> DataFrame:
         return F.struct(
             n.alias("participantId"), F.when(n <= 5, 100).otherwise(200).alias("teamId"),
             _num((key + n * 13) % 170).alias("championId"), F.concat(F.lit("Champion"), n.cast("string")).alias("championName"),
-            (key % 11 == 0).alias("gameEndedInEarlySurrender"), _num(key % 20).alias("kills"),
+            (F.col("c_mktsegment") == "FURNITURE").alias("gameEndedInEarlySurrender"), _num(key % 20).alias("kills"),
             F.struct(
                 F.create_map(F.lit("defense"), _num(key % 9), F.lit("flex"), _num(key % 8), F.lit("offense"), _num(key % 7)).alias("statPerks"),
                 F.array(*[
@@ -55,7 +55,7 @@ def match_documents(t: Tables) -> DataFrame:
         )
 
     info = F.struct(
-        key.alias("gameId"), F.when(key % 7 == 0, 440).otherwise(420).alias("queueId"),
+        key.alias("gameId"), F.when(F.col("c_acctbal") < 0, 440).otherwise(420).alias("queueId"),
         F.concat(F.lit("14."), (key % 24 + 1).cast("string"), F.lit(".1")).alias("gameVersion"),
         F.lit("NA1").alias("platformId"), (key * 1000).alias("gameStartTimestamp"), _num(key % 3000).alias("gameDuration"),
         F.array(team(100), team(200)).alias("teams"),
@@ -134,7 +134,7 @@ SELECT 'M_' || c_custkey AS matchId, ['americas', 'asia', 'europe'][c_custkey %
   NULL::SMALLINT AS team_200_FIRST_TURRET,
   c_custkey % 4 = 1 AS team_100_baron_first, (c_custkey % 4)::SMALLINT AS team_200_baron_kills,
   ((c_custkey + 200) % 5)::SMALLINT AS team_200_dragon_kills, NULL::SMALLINT AS team_100_tower_kills
-FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0
+FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE'
 """)
 def flattened_matches(t: Tables) -> DataFrame:
     """Eligible matches flattened to wide rows."""
@@ -301,7 +301,7 @@ def events_with_player_state(t: Tables) -> DataFrame:
 @query("N5 J2 J18 E12 S8", _EVENTS + """
 SELECT 'M_' || k AS matchId, id::SMALLINT AS eventId, '14.' || (k % 24 + 1) AS patch, 'NA1' AS platformId, k * 1000 AS gameStartTimestamp,
   (CASE WHEN ts >= 0 THEN (k + 4 * 13) % 170 END)::INTEGER AS championId_4, 0 AS vector_size
-FROM numbered WHERE k % 7 <> 0 AND k % 11 <> 0 AND type <> 'PARTICIPANT_FRAME'
+FROM numbered WHERE k IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE') AND type <> 'PARTICIPANT_FRAME'
 """)
 def enriched_events_built(t: Tables) -> DataFrame:
     """The whole enrichment from documents to wide events."""
@@ -315,7 +315,7 @@ def enriched_events_built(t: Tables) -> DataFrame:
 
 
 @query("N6 J7 J8 J9 A2 A3 P12 P13 W6", _EVENTS + """
-, cut AS (SELECT * FROM numbered WHERE ts <= 120000 + 10000 AND k % 7 <> 0 AND k % 11 <> 0)
+, cut AS (SELECT * FROM numbered WHERE ts <= 120000 + 10000 AND k IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE'))
 SELECT 'M_' || k AS matchId, max(ts) FILTER (type <> 'PARTICIPANT_FRAME')::INTEGER AS timestamp,
   (CASE WHEN k % 2 = 0 THEN 100 ELSE 200 END)::SMALLINT AS winningTeam,
   count(*) FILTER (type = 'CHAMPION_KILL' AND pid = 1) AS kills_1, count(*) FILTER (type = 'CHAMPION_KILL' AND victim = 8) AS deaths_8,
@@ -340,12 +340,12 @@ def match_split(t: Tables) -> DataFrame:
 
 
 @query("J11 E12", """
-SELECT 'M_' || c_custkey AS matchId FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AND c_acctbal <= 0
+SELECT 'M_' || c_custkey AS matchId FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE' AND c_acctbal <= 5000
 """)
 def matches_still_to_build(t: Tables) -> DataFrame:
-    """Eligible matches that are not yet in every output table (customers in debt are new)."""
+    """Eligible matches that are not yet in every output table (customers with a small balance are new)."""
     documents = match_documents(t)
-    built = t.customer.where("c_acctbal > 0").select(F.concat(F.lit("M_"), F.col("c_custkey").cast("string")).alias("matchId"))
+    built = t.customer.where("c_acctbal > 5000").select(F.concat(F.lit("M_"), F.col("c_custkey").cast("string")).alias("matchId"))
     done = in_all([built, built, built], ["matchId"])
     from chronofold.plans.matches import not_yet_done
 
