@@ -60,6 +60,11 @@ def next_known(value: Column) -> Step:
     return Step("next", value)
 
 
+def known_after(value: Column) -> Step:
+    """Earliest non-null value strictly after the row."""
+    return Step("after", value)
+
+
 def following(*columns: Column) -> Step:
     """Struct of the columns of the next row, null on the last row."""
     return Step("lead", F.struct(*columns))
@@ -174,11 +179,13 @@ class Lane:
         window = self.window()
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         from_here = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        later = window.rowsBetween(1, Window.unboundedFollowing)
         return {
             "sum": lambda v: F.sum(v).over(so_far),
             "min": lambda v: F.min(v).over(so_far),
             "last": lambda v: F.last(v, ignorenulls=True).over(so_far),
             "next": lambda v: F.first(v, ignorenulls=True).over(from_here),
+            "after": lambda v: F.first(v, ignorenulls=True).over(later),
             "lead": lambda v: F.lead(v).over(window),
             "lag": lambda v: F.lag(v).over(window),
         }[step.kind](step.value)
@@ -190,6 +197,7 @@ class Lane:
             "min": lambda v: F.min(v),
             "last": lambda v: F.max_by(v, position),
             "next": lambda v: F.min_by(v, position),
+            "after": lambda v: F.min_by(v, position),
             "lead": lambda v: F.min_by(v, position),
             "lag": lambda v: F.max_by(v, position),
         }[step.kind](step.value)
@@ -214,6 +222,7 @@ def _inherited(step: Step, own: Column, along: WindowSpec) -> Column:
         "min": lambda v: F.min(v).over(before),
         "last": lambda v: F.last(v, ignorenulls=True).over(before),
         "next": lambda v: F.first(v, ignorenulls=True).over(after),
+        "after": lambda v: F.first(v, ignorenulls=True).over(after),
         "lead": lambda v: F.first(v, ignorenulls=True).over(after),
         "lag": lambda v: F.last(v, ignorenulls=True).over(before),
     }[step.kind](own)

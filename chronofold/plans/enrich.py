@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.operators.counts import pivoted_latest
+from chronofold.operators.counts import pivoted_counts, pivoted_latest
 from chronofold.operators.lanes import Lane, last_known
-from chronofold.operators.select import stratified_split
+from chronofold.operators.select import stratified_split, top_per_key
 from chronofold.plans.schemas import PLAYERS
 from chronofold.sources.landing import head
 
@@ -34,6 +34,7 @@ SNAPSHOT_AT = 900_000
 SNAPSHOT_TOLERANCE = 10_000
 
 # What a snapshot counts per player.
+COUNTED_EVENTS = ("CHAMPION_KILL", "CHAMPION_ASSIST", "BUILDING_KILL", "ELITE_MONSTER_KILL")
 TOWERS = ("OUTER_TURRET", "INNER_TURRET", "INHIBITOR_TURRET", "NEXUS_TURRET")
 MONSTERS = ("HORDE", "RIFTHERALD")
 DRAGONS = ("AIR_DRAGON", "CHEMTECH_DRAGON", "EARTH_DRAGON", "FIRE_DRAGON", "HEXTECH_DRAGON", "WATER_DRAGON")
@@ -139,34 +140,44 @@ def snapshot_rules() -> dict[str, Column]:
     return rules
 
 
+def snapshot_inputs(prefixes: Sequence[str] = SNAPSHOT_PREFIXES) -> list[str]:
+    """Columns of the wide events that :func:`snapshot` reads."""
+    return [
+        "matchId", "eventId", "type", "participantId", "victimId", "monsterType", "monsterSubType", "buildingType",
+        "towerType", *SNAPSHOT_COLUMNS, "winningTeam", *[f"{c}_{p}" for p in PLAYERS for c in prefixes],
+    ]
+
+
 def snapshot(
     events: DataFrame, *, at: int = SNAPSHOT_AT, tolerance: int = SNAPSHOT_TOLERANCE, prefixes: Sequence[str] = SNAPSHOT_PREFIXES
 ) -> DataFrame:
     """State and counts of every match that lasted until ``at``, one row each.
 
-    Length check, last row before the cut, its backward-filled winner and all per-player counts
-    come from one aggregation, so events are exchanged once, already partially aggregated.
+    Three narrow reads of the events meet on the match: its length and next winner, its last row
+    before the cut (map tasks forward one row per match), and the counts of the four event types that are
+    counted, all rules in one aggregation.
     """
     order = F.struct("timestamp", "eventId")
     before = F.col("timestamp") <= at + tolerance
-    who = {name: F.col("victimId" if name == "deaths" else "participantId") for name in snapshot_rules()}
-    counts = [
-        F.count_if(before & rule & (who[name] == p)).alias(f"{name}_{p}")
-        for name, rule in snapshot_rules().items()
-        for p in PLAYERS
-    ]
-    state = [*SNAPSHOT_COLUMNS, "winningTeam", *[f"{c}_{p}" for p in PLAYERS for c in prefixes]]
     later = F.min_by("winningTeam", F.when(~before & F.col("winningTeam").isNotNull(), order))
-    grouped = events.groupBy("matchId").agg(
-        F.max("timestamp").alias("_length"),
-        F.max_by(F.struct(*state), F.when(before, order)).alias("_last"),
-        later.alias("_winner"),
-        *counts,
+    lasting = events.groupBy("matchId").agg(F.max("timestamp").alias("_length"), later.alias("_winner"))
+
+    state = [*SNAPSHOT_COLUMNS, "winningTeam", *[f"{c}_{p}" for p in PLAYERS for c in prefixes]]
+    rows = events.where(before).select("matchId", "eventId", *state)
+    last = top_per_key(rows, ["matchId"], [F.col("timestamp").desc(), F.col("eventId").desc()])
+
+    rules = snapshot_rules()
+    who = {name: F.col("victimId" if name == "deaths" else "participantId") for name in rules}
+    counted = events.where(before & F.col("type").isin(*COUNTED_EVENTS))
+    counts = pivoted_counts(counted, ["matchId"], rules, PLAYERS, who)
+    names = [f"{name}_{p}" for name in rules for p in PLAYERS]
+
+    joined = last.join(lasting.where(F.col("_length") >= at), "matchId").join(counts, "matchId", "left")
+    return joined.select(
+        "matchId", *[c for c in state if c != "winningTeam"],
+        F.coalesce("winningTeam", "_winner").alias("winningTeam"),
+        *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names],
     )
-    columns = [F.col("_last")[c].alias(c) for c in state if c != "winningTeam"]
-    winner = F.coalesce(F.col("_last.winningTeam"), F.col("_winner")).alias("winningTeam")
-    names = [f"{name}_{p}" for name in snapshot_rules() for p in PLAYERS]
-    return grouped.where((F.col("_length") >= at) & F.col("_last").isNotNull()).select("matchId", *columns, winner, *names)
 
 
 def split_matches(matches: DataFrame, *, count: int | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronofold.operators.lanes import DEFAULT_MAX_ROWS, Lane, following, running_sum
+from chronofold.operators.lanes import DEFAULT_MAX_ROWS, Lane, following, known_after, running_sum
 from chronofold.plans.schemas import PLAYERS
 
 FRAME_EVENT = "PARTICIPANT_FRAME"
@@ -140,21 +140,30 @@ def interval_samples(
 ) -> DataFrame:
     """Frame pairs with the events counted between the two frames.
 
-    Counts belong to the interval that the earlier frame opens.
+    Counts belong to the interval that the earlier frame opens.  Interval numbers and next frames
+    come from one scan, and grouping by (keys, interval) keeps its partitioning: one exchange.
     """
-    relevant = with_interval(
-        xp_events(events), keys=keys, order=["timestamp", "eventId"],
-        starts=F.col("type") == FRAME_EVENT, bounded=bounded, max_rows=max_rows,
+    at_frame = F.col("type") == FRAME_EVENT
+    frame = F.when(at_frame, F.struct("timestamp", "xp"))
+    lane = Lane(keys, ["timestamp", "eventId"], max_rows=max_rows, bounded=bounded)
+    scanned = lane.run(
+        xp_events(events),
+        interval_id=running_sum(F.when(at_frame, 1).otherwise(0).cast("long")),
+        _next=known_after(frame),
     )
     kinds = [k for k in XP_EVENTS if k != FRAME_EVENT]
-    counts = relevant.groupBy(*keys, "interval_id").agg(
-        F.min(F.when(F.col("type") == FRAME_EVENT, F.col("timestamp"))).alias("previous_timestamp"),
+    intervals = scanned.groupBy(*keys, "interval_id").agg(
+        F.max(F.when(at_frame, F.struct("timestamp", "xp", "_next"))).alias("_frame"),
         F.max("numberOfAssists").alias("numberOfAssists"),
         *[F.count_if(F.col("type") == k).alias(k) for k in kinds],
     )
-    frames = events.where(F.col("type") == FRAME_EVENT).select(*keys, "timestamp", "xp")
-    pairs = frame_pairs(frames, keys=keys, bounded=bounded, max_rows=max_rows)
-    return pairs.join(counts, [*keys, "previous_timestamp"], "left").na.fill(0, kinds)
+    opened = F.col("_frame._next.xp").isNotNull()
+    return intervals.where(opened).select(
+        *keys, "interval_id",
+        F.col("_frame.timestamp").alias("previous_timestamp"), F.col("_frame._next.timestamp").alias("current_timestamp"),
+        F.col("_frame.xp").alias("previous_xp"), F.col("_frame._next.xp").alias("current_xp"),
+        "numberOfAssists", *kinds,
+    )
 
 
 def with_deltas(samples: DataFrame) -> DataFrame:

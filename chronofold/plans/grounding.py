@@ -132,9 +132,11 @@ def link(
     anywhere = _nearest_in_reach(left, right, ["_pair"], reach, max_rows)
     if event:
         hints = left.where(F.col("_hint").isNotNull()).select("_pair", "_hint").distinct()
-        events = right.select("_pair", "_event").distinct()
+        events = right.groupBy("_pair", "_event").agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"))
         named = hints.join(events, "_pair").where(F.contains("_event", "_hint"))
-        legs = left.join(named, ["_pair", "_hint"])
+        # A document only meets the events of its pair that were on inside its window.
+        on = (F.col("_t") >= F.col("_from") - reach[1]) & (F.col("_t") <= F.col("_to") + reach[0])
+        legs = left.join(named, ["_pair", "_hint"]).where(on).drop("_from", "_to")
         on_event = _nearest_in_reach(legs, right, ["_pair", "_event"], reach, max_rows)
         both = on_event.select(key, F.lit(0).alias("_stage"), "_best").unionByName(
             anywhere.select(key, F.lit(1).alias("_stage"), "_best")
@@ -225,7 +227,7 @@ def gazetteer_references(
     body = body if head_chars is None else F.substring(body, 1, head_chars)
     worded = documents.select(key, words_of(body).alias("_words"))
     runs = F.flatten(F.array(*[_runs(F.col("_words"), n) for n in sorted(lengths)])) if lengths else F.array()
-    terms = worded.select(key, F.inline(F.array_distinct(runs))) if lengths else None
+    terms = worded.select(key, F.inline(runs)) if lengths else None
     if terms is None:
         return documents.select(key, F.array().cast("array<string>").alias("teams"),
                                 F.lit(None).cast("string").alias("event"), F.lit(None).cast("int").alias("game_number"))

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Some plans are built from thousands of column calls; do not record the call site of each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

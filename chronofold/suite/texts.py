@@ -143,7 +143,7 @@ def names_found(t: Tables) -> DataFrame:
 
     term = F.array_join(F.slice(words_of(F.col("text")), 1, 2), " ")
     names = t.benchmark.groupBy(term.alias("alias")).agg(F.min("item_id").alias("entity_id"))
-    found = gazetteer_references(t.documents, names, key="doc_id", text="text", head_chars=None)
+    found = gazetteer_references(t.spread("documents"), names, key="doc_id", text="text", head_chars=None)
     return found.select("doc_id", F.array_join("teams", "|").alias("teams"), F.size("teams").cast("long").alias("found"))
 
 
@@ -197,7 +197,7 @@ def linked_orders(t: Tables) -> DataFrame:
 def transcripts(t: Tables) -> DataFrame:
     """Documents as transcripts whose title names two teams: the language and the source."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 300).cast("int"))
-    return t.documents.select(
+    return t.spread("documents").select(
         F.col("doc_id").cast("string").alias("source_id"), F.concat(F.lit("https://v.example.org/"), "source").alias("origin_uri"),
         F.lit("video").alias("platform"), F.col("source").alias("author_name"),
         F.concat(F.lit("Team "), "lang", F.lit(" vs Team "), "source").alias("title"),

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from chronofold.operators.grids import in_all
 from chronofold.plans import schemas as S
-from chronofold.plans.enrich import enriched_events, snapshot, split_matches, with_player_state
+from chronofold.plans.enrich import enriched_events, snapshot, snapshot_inputs, split_matches, with_player_state
 from chronofold.plans.features import interval_samples, level_of, with_deltas, xp_gain
 from chronofold.plans.matches import basic_tables, eligible, match_rows, participant_rows
 from chronofold.plans.timeline import timeline_events
+from chronofold.session import written
 from chronofold.suite.base import Tables, query
 
 
@@ -64,7 +65,7 @@ def match_documents(t: Tables) -> DataFrame:
     name = F.concat(F.lit("M_"), key.cast("string"))
     document = F.to_json(F.struct(F.struct(name.alias("matchId")).alias("metadata"), info.alias("info")))
     region = F.element_at(F.array(F.lit("americas"), F.lit("asia"), F.lit("europe")), _num(key % 3) + 1)
-    parsed = t.customer.select(region.alias("region"), F.from_json(document, S.MATCH_INFO).alias("d"))
+    parsed = t.spread("customer").select(region.alias("region"), F.from_json(document, S.MATCH_INFO).alias("d"))
     return parsed.select(F.col("d.metadata.matchId").alias("matchId"), "region", F.col("d.info").alias("info"))
 
 
@@ -110,7 +111,7 @@ def timeline_documents(t: Tables) -> DataFrame:
     document = F.to_json(F.struct(
         F.struct(name.alias("matchId")).alias("metadata"),
         F.struct(F.transform(F.sequence(F.lit(0), F.lit(3)), frame).alias("frames")).alias("info")))
-    parsed = t.customer.select(F.from_json(document, S.TIMELINE).alias("d"))
+    parsed = t.spread("customer").select(F.from_json(document, S.TIMELINE).alias("d"))
     return parsed.select(F.col("d.metadata.matchId").alias("matchId"), F.col("d.info.frames").alias("frames"))
 
 
@@ -328,7 +329,8 @@ def match_snapshot(t: Tables) -> DataFrame:
     """Snapshot of every match at two minutes."""
     tables = basic_tables(match_documents(t), timeline_documents(t), death_timer=death_timer)
     wide = enriched_events(tables["events"], tables["participants"], tables["matches"])
-    return snapshot(wide, at=120_000).select(
+    # The wide events are a stored table; the snapshot reads it by columns.
+    return snapshot(written(wide.select(*snapshot_inputs()), "events"), at=120_000).select(
         "matchId", "timestamp", "winningTeam", "kills_1", "deaths_8", "assists_4", "FIRE_DRAGON_2", "OUTER_TURRET_9", "xp_3"
     )
 
