@@ -55,6 +55,11 @@ def last_known(value: Column) -> Step:
     return Step("last", value)
 
 
+def last_known_at(value: Column) -> Step:
+    """Latest non-null value up to all rows at the row's position (first order column)."""
+    return Step("at", value)
+
+
 def next_known(value: Column) -> Step:
     """Earliest non-null value from the row on (backward fill)."""
     return Step("next", value)
@@ -179,11 +184,15 @@ class Lane:
         window = self.window()
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         from_here = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        up_to_position = Window.partitionBy(*self.keys).orderBy(self.order[0]).rangeBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
         later = window.rowsBetween(1, Window.unboundedFollowing)
         return {
             "sum": lambda v: F.sum(v).over(so_far),
             "min": lambda v: F.min(v).over(so_far),
             "last": lambda v: F.last(v, ignorenulls=True).over(so_far),
+            "at": lambda v: F.last(v, ignorenulls=True).over(up_to_position),
             "next": lambda v: F.first(v, ignorenulls=True).over(from_here),
             "after": lambda v: F.first(v, ignorenulls=True).over(later),
             "lead": lambda v: F.lead(v).over(window),
@@ -196,6 +205,7 @@ class Lane:
             "sum": lambda v: F.sum(v),
             "min": lambda v: F.min(v),
             "last": lambda v: F.max_by(v, position),
+            "at": lambda v: F.max_by(v, position),
             "next": lambda v: F.min_by(v, position),
             "after": lambda v: F.min_by(v, position),
             "lead": lambda v: F.min_by(v, position),
@@ -221,6 +231,7 @@ def _inherited(step: Step, own: Column, along: WindowSpec) -> Column:
         "sum": lambda v: F.sum(v).over(before),
         "min": lambda v: F.min(v).over(before),
         "last": lambda v: F.last(v, ignorenulls=True).over(before),
+        "at": lambda v: F.last(v, ignorenulls=True).over(before),
         "next": lambda v: F.first(v, ignorenulls=True).over(after),
         "after": lambda v: F.first(v, ignorenulls=True).over(after),
         "lead": lambda v: F.first(v, ignorenulls=True).over(after),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.operators.counts import pivoted_counts, pivoted_latest
-from chronofold.operators.lanes import Lane, last_known
+from chronofold.operators.lanes import Lane, last_known, last_known_at
 from chronofold.operators.select import stratified_split, top_per_key
 from chronofold.plans.schemas import PLAYERS
 from chronofold.sources.landing import head
@@ -49,38 +49,40 @@ SNAPSHOT_PREFIXES = (
 SNAPSHOT_COLUMNS = ("gameStartTimestamp", "patch", "timestamp", "platformId")
 
 
-def with_player_state(events: DataFrame, *, bounded: bool = True) -> DataFrame:
+def with_player_state(events: DataFrame, *, chronological: bool = True, bounded: bool = True) -> DataFrame:
     """Events with the latest frame, inventory and level of all ten players.
 
     Replaces pivot, fill and as-of join of each state by one running value per player: one exchange
-    on the match and one sort per ordering.  Frames are matched by time and hold for all players
-    at once, so a player missing from the latest frame is null; inventories and levels are matched by
-    event id.  A match comes out of one document, hence ``bounded``.
+    on the match and, with ``chronological`` event ids, one sort of the still narrow rows.  Frames are
+    matched by time and hold for all players at once, so a player missing from the latest frame is
+    null; inventories and levels are matched by event id.  A match comes out of one document, hence
+    ``bounded``.
     """
     at_frame = F.col("type") == FRAME_EVENT
-    late = events.withColumn("_late", F.when(at_frame, 0).otherwise(1))
-    by_time = Lane(["matchId"], ["timestamp", "_late", "eventId"], bounded=bounded)
-    state = F.struct(F.col("timestamp").alias("at"), *FRAME_COLUMNS)
-    mine = lambda p: F.col("participantId") == p
-    framed = by_time.run(
-        late,
-        _frame_at=last_known(F.when(at_frame, F.col("timestamp"))),
-        **{f"_f{p}": last_known(F.when(at_frame & mine(p), state)) for p in PLAYERS},
-    )
-    by_id = Lane(["matchId"], ["eventId"], bounded=bounded)
     on_item, on_level = F.col("type").isin(*ITEM_EVENTS), F.col("type") == "LEVEL_UP"
+    mine = lambda p: F.col("participantId") == p
     held = F.struct("inventoryIds", "inventoryCounts")
+    by_id = Lane(["matchId"], ["timestamp", "eventId"] if chronological else ["eventId"], bounded=bounded)
     full = by_id.run(
-        framed,
+        events,
         **{f"_i{p}": last_known(F.when(on_item & mine(p), held)) for p in PLAYERS},
         **{f"_l{p}": last_known(F.when(on_level & mine(p), F.col("level"))) for p in PLAYERS},
     )
-    current = {p: F.when(F.col(f"_f{p}.at") == F.col("_frame_at"), F.col(f"_f{p}")) for p in PLAYERS}
+    # Statistics are a value of their own, so that a reader without use for them does not carry them.
+    by_time = Lane(["matchId"], ["timestamp", "eventId"], bounded=bounded)
+    state = F.struct(F.col("timestamp").alias("at"), *[c for c in FRAME_COLUMNS if c != "championStats"])
+    full = by_time.run(
+        full,
+        _frame_at=last_known_at(F.when(at_frame, F.col("timestamp"))),
+        **{f"_f{p}": last_known_at(F.when(at_frame & mine(p), state)) for p in PLAYERS},
+        **{f"_s{p}": last_known_at(F.when(at_frame & mine(p), F.struct("championStats"))) for p in PLAYERS},
+    )
+    current = lambda p, c: F.when(F.col(f"_f{p}.at") == F.col("_frame_at"), F.col(f"_{'s' if c == 'championStats' else 'f'}{p}.{c}"))
     own = [c for c in events.columns if c not in FRAME_ONLY_COLUMNS]
     return full.where(~at_frame).select(
         *own,
         "_frame_at",
-        *[current[p][c].alias(f"{c}_{p}") for c in FRAME_COLUMNS for p in PLAYERS],
+        *[current(p, c).alias(f"{c}_{p}") for c in FRAME_COLUMNS for p in PLAYERS],
         *[F.col(f"_i{p}.{c}").alias(f"{c}_{p}") for c in ("inventoryIds", "inventoryCounts") for p in PLAYERS],
         *[F.coalesce(F.col(f"_l{p}"), F.lit(1)).alias(f"level_{p}") for p in PLAYERS],
     )

@@ -4,15 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronofold.functions.text import patch_of
 from chronofold.plans import schemas as S
+from chronofold.sources.landing import LandingZone
 
 # The ranked queue, and the number of bans of a team.
 RANKED_QUEUE = 420
 BANS_PER_TEAM = 5
 
 
+def read_match_infos(zone: LandingZone, table: str = "match_info", **parts) -> DataFrame:
+    """``matchId, region, info`` of landed match documents; the region is a path part.
+
+    Reading with the declared schema parses each document once and drops unknown fields.
+    """
+    rows = zone.scan(table, _with_region(S.MATCH_INFO), "json", pattern="*", **parts)
+    return rows.select(F.col("metadata.matchId").alias("matchId"), "region", "info")
+
+
+def read_timelines(zone: LandingZone, table: str = "match_timeline", **parts) -> DataFrame:
+    """``matchId, frames`` of landed timeline documents."""
+    rows = zone.scan(table, _with_region(S.TIMELINE), "json", pattern="*", **parts)
+    return rows.select(F.col("metadata.matchId").alias("matchId"), F.col("info.frames").alias("frames"))
+
+
+def _with_region(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("region", T.StringType())])
+
+
 def eligible(infos: DataFrame) -> DataFrame:
     """Ranked matches that did not end in a remake."""
     early = F.coalesce(F.get(F.col("info.participants"), F.lit(0))["gameEndedInEarlySurrender"], F.lit(False))

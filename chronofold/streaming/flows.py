@@ -85,6 +85,7 @@ def window_counts(
 
 _REPLAY_OUT = "owner string, ord long, step int, item long, held long"
 _REPLAY_STATE = "held string, history string"
+_OPEN_FOR_MS = 6 * 3_600_000
 
 
 def _apply(held: dict, history: list, kind: str, t: int, item: int) -> list[tuple[int, int]]:
@@ -123,8 +124,9 @@ def _replay_owner(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
         for step, (item, count) in enumerate(_apply(held, history, row.kind, int(row.t), int(row.item))):
             out.append((key[0], int(row.ord), step, item, count))
     state.update((json.dumps({k: v for k, v in held.items() if v}), json.dumps(history)))
-    watermark = state.getCurrentWatermarkMs()
-    state.setTimeoutTimestamp(max(watermark, 0) + 6 * 3_600_000)
+    # Counted from the rows: before the second batch the watermark still stands at the epoch.
+    latest = max(int(rows["at_ms"].max()), state.getCurrentWatermarkMs())
+    state.setTimeoutTimestamp(latest + _OPEN_FOR_MS)
     yield pd.DataFrame(out, columns=["owner", "ord", "step", "item", "held"])
 
 
@@ -140,7 +142,7 @@ def stream_items(
     relevant = stream.where(F.col(kind).isin(PURCHASED, SOLD, DESTROYED, UNDO)).withWatermark(event_time, lateness)
     shaped = relevant.select(
         F.concat_ws("|", *[F.col(c).cast("string") for c in owner]).alias("owner"),
-        F.col(event_time), F.col(tick).alias("t"), F.col(kind).alias("kind"),
+        F.col(event_time), F.unix_millis(event_time).alias("at_ms"), F.col(tick).alias("t"), F.col(kind).alias("kind"),
         F.coalesce(F.col(item), F.lit(0)).cast("long").alias("item"), F.col(ordinal).alias("ord"),
         sort_type(F.col(kind), F.col(item)).alias("sort"),
     )

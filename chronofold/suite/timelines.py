@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.operators.grids import in_all
-from chronofold.plans import schemas as S
 from chronofold.plans.enrich import enriched_events, snapshot, snapshot_inputs, split_matches, with_player_state
 from chronofold.plans.features import interval_samples, level_of, with_deltas, xp_gain
-from chronofold.plans.matches import basic_tables, eligible, match_rows, participant_rows
+from chronofold.plans.matches import (
+    basic_tables, eligible, match_rows, not_yet_done, participant_rows, read_match_infos, read_timelines,
+)
 from chronofold.plans.timeline import timeline_events
 from chronofold.session import written
+from chronofold.sources.landing import LandingZone
 from chronofold.suite.base import Tables, query
 
 
@@ -24,7 +26,7 @@ def _num(value: Column) -> Column:
 
 
 def match_documents(t: Tables) -> DataFrame:
-    """``matchId, region, info`` parsed from JSON."""
+    """``matchId, region, info`` read from landed JSON."""
     key = F.col("c_custkey")
 
     def team(i):
@@ -65,12 +67,12 @@ def match_documents(t: Tables) -> DataFrame:
     name = F.concat(F.lit("M_"), key.cast("string"))
     document = F.to_json(F.struct(F.struct(name.alias("matchId")).alias("metadata"), info.alias("info")))
     region = F.element_at(F.array(F.lit("americas"), F.lit("asia"), F.lit("europe")), _num(key % 3) + 1)
-    parsed = t.spread("customer").select(region.alias("region"), F.from_json(document, S.MATCH_INFO).alias("d"))
-    return parsed.select(F.col("d.metadata.matchId").alias("matchId"), "region", F.col("d.info").alias("info"))
+    zone = landed(t, "match_info", document, region.alias("region"))
+    return read_match_infos(zone)
 
 
 def timeline_documents(t: Tables) -> DataFrame:
-    """``matchId, frames`` parsed from JSON: four one-minute frames with ten players."""
+    """``matchId, frames`` read from landed JSON: four one-minute frames with ten players."""
     key = F.col("c_custkey")
 
     def event(kind, at, **fields):
@@ -111,8 +113,15 @@ def timeline_documents(t: Tables) -> DataFrame:
     document = F.to_json(F.struct(
         F.struct(name.alias("matchId")).alias("metadata"),
         F.struct(F.transform(F.sequence(F.lit(0), F.lit(3)), frame).alias("frames")).alias("info")))
-    parsed = t.spread("customer").select(F.from_json(document, S.TIMELINE).alias("d"))
-    return parsed.select(F.col("d.metadata.matchId").alias("matchId"), F.col("d.info.frames").alias("frames"))
+    return read_timelines(landed(t, "match_timeline", document, F.lit("all").alias("region")))
+
+
+def landed(t: Tables, table: str, document: Column, region: Column) -> LandingZone:
+    """The documents as JSON lines in a landing zone, one folder per region."""
+    zone = LandingZone(t.spark, t.scratch("landing"), ["match_info", "match_timeline"])
+    lines = t.spread("customer").select(document.alias("value"), region)
+    lines.write.partitionBy("region").text(zone.table_path(table))
+    return zone
 
 
 def death_timer(level: Column, minutes: Column) -> Column:
@@ -349,8 +358,6 @@ def matches_still_to_build(t: Tables) -> DataFrame:
     documents = match_documents(t)
     built = t.customer.where("c_acctbal > 5000").select(F.concat(F.lit("M_"), F.col("c_custkey").cast("string")).alias("matchId"))
     done = in_all([built, built, built], ["matchId"])
-    from chronofold.plans.matches import not_yet_done
-
     return not_yet_done(eligible(documents), done).select("matchId")
 
 
