@@ -50,7 +50,7 @@ def neighbours(
     ).where(F.col(on).isNotNull())
     rows = left.withColumn(_SIDE, F.lit(1)).unionByName(packed, allowMissingColumns=True)
 
-    lane = Lane(by, [on, _SIDE, *ties], max_rows=max_rows, bounded=bounded)
+    lane = Lane(by, [on, _SIDE, *ties], max_rows=max_rows, bounded=bounded).measured(rows)
     rows = lane.slice(rows)
     if run == "first" and tie:
         same = Window.partitionBy(*lane.keys, on).orderBy(_SIDE, *ties)

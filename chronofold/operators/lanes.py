@@ -10,7 +10,7 @@ measures the keys first and cuts only the heavy ones into slices along the order
    what a slice inherits from its neighbours is joined back on ``(key, slice)``, the partitioning
    the rows already have.
 
-When no key is heavy the broadcast is empty and adaptive execution drops steps 1 and 3.
+:meth:`Lane.run` counts first and leaves out the slicing when no key is heavy.
 """
 
 from __future__ import annotations
@@ -139,9 +139,10 @@ class Lane:
     def measured(self, df: DataFrame) -> Lane:
         """This lane, marked ``bounded`` if a count finds no heavy key.
 
-        Runs a job.  Worth it before several scans in a row: every scan of an unbounded lane reads
-        its input twice, so the plan doubles with each.  When the result is still unbounded, write
-        the rows out between scans.
+        Runs one narrow job, an aggregate of the key columns.  A scan of an unbounded lane reads its
+        input once more for the marks and once for the summaries, so nothing pays for slices
+        unless some key needs them.  With several scans in a row and a lane that stays unbounded, write the
+        rows out in between: the plan grows with each.
         """
         if self.bounded:
             return self
@@ -158,7 +159,7 @@ class Lane:
             .groupBy(*self.keys)
             .agg(*[self._summary(step).alias(f"_own_{name}") for name, step in steps.items()])
         )
-        along = Window.partitionBy(*self.by, *self.within).orderBy(SLICE)
+        along = Window.partitionBy(*self.by, *self.within)
         inherited = summary.select(
             *self.keys,
             *[_inherited(step, F.col(f"_own_{name}"), along).alias(f"_in_{name}") for name, step in steps.items()],
@@ -170,31 +171,35 @@ class Lane:
 
     def number(self, df: DataFrame, name: str) -> DataFrame:
         """Number the rows of each lane from 1."""
-        return self.scan(df, **{name: running_sum(F.lit(1).cast("long"))})
+        return self.run(df, **{name: running_sum(F.lit(1).cast("long"))})
 
     def release(self, df: DataFrame) -> DataFrame:
         """Drop the helper columns of :meth:`slice`."""
         return df.drop(SLICE, HEAVY)
 
     def run(self, df: DataFrame, **steps: Step) -> DataFrame:
-        """``slice``, ``scan`` and ``release`` in one call."""
-        return self.release(self.scan(self.slice(df), **steps))
+        """``measured``, ``slice``, ``scan`` and ``release`` in one call."""
+        lane = self.measured(df)
+        return lane.release(lane.scan(lane.slice(df), **steps))
 
     def _local(self, step: Step) -> Column:
         window = self.window()
         so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        from_here = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        # Looking ahead is looking back in the opposite order: a frame that ends at the last row
+        # would be evaluated anew for every row.
+        ahead = Window.partitionBy(*self.keys).orderBy(*[F.col(c).desc() for c in self.order])
+        from_here = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         up_to_position = Window.partitionBy(*self.keys).orderBy(self.order[0]).rangeBetween(
             Window.unboundedPreceding, Window.currentRow
         )
-        later = window.rowsBetween(1, Window.unboundedFollowing)
+        later = ahead.rowsBetween(Window.unboundedPreceding, -1)
         return {
             "sum": lambda v: F.sum(v).over(so_far),
             "min": lambda v: F.min(v).over(so_far),
             "last": lambda v: F.last(v, ignorenulls=True).over(so_far),
             "at": lambda v: F.last(v, ignorenulls=True).over(up_to_position),
-            "next": lambda v: F.first(v, ignorenulls=True).over(from_here),
-            "after": lambda v: F.first(v, ignorenulls=True).over(later),
+            "next": lambda v: F.last(v, ignorenulls=True).over(from_here),
+            "after": lambda v: F.last(v, ignorenulls=True).over(later),
             "lead": lambda v: F.lead(v).over(window),
             "lag": lambda v: F.lag(v).over(window),
         }[step.kind](step.value)
@@ -225,16 +230,16 @@ def _position(df: DataFrame, column: str) -> Column:
 
 
 def _inherited(step: Step, own: Column, along: WindowSpec) -> Column:
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    after = along.rowsBetween(1, Window.unboundedFollowing)
+    before = along.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    after = along.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
     return {
         "sum": lambda v: F.sum(v).over(before),
         "min": lambda v: F.min(v).over(before),
         "last": lambda v: F.last(v, ignorenulls=True).over(before),
         "at": lambda v: F.last(v, ignorenulls=True).over(before),
-        "next": lambda v: F.first(v, ignorenulls=True).over(after),
-        "after": lambda v: F.first(v, ignorenulls=True).over(after),
-        "lead": lambda v: F.first(v, ignorenulls=True).over(after),
+        "next": lambda v: F.last(v, ignorenulls=True).over(after),
+        "after": lambda v: F.last(v, ignorenulls=True).over(after),
+        "lead": lambda v: F.last(v, ignorenulls=True).over(after),
         "lag": lambda v: F.last(v, ignorenulls=True).over(before),
     }[step.kind](own)
 

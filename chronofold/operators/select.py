@@ -69,7 +69,7 @@ def stratified_split(
     if order is None:
         groups = groups.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(group)))
     lane = Lane([label], [position, group], max_rows=max_rows)
-    numbered = lane.release(lane.number(lane.slice(groups), "_n"))
+    numbered = lane.number(groups, "_n")
     folds = groups.groupBy(label).count().agg(F.min("count").alias("_k"))
     folds = folds.select(
         F.when(F.col("_k") >= 2, F.col("_k"))

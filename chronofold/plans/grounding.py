@@ -14,6 +14,7 @@ from chronofold.operators.asof import neighbours
 from chronofold.operators.counts import most_common
 from chronofold.operators.lanes import DEFAULT_MAX_ROWS
 from chronofold.operators.select import top_per_key
+from chronofold.session import written
 from chronofold.sources.tables import TableSpec, struct
 
 # How far before and after a document its match may lie, in days, and how much of a
@@ -127,6 +128,8 @@ def link(
         micros(F.col(published)).alias("_t"),
         F.lower(F.trim(blank_to_null(F.col(event)))).alias("_hint") if event else F.lit(None).cast("string").alias("_hint"),
     ).where(F.col("_pair").isNotNull() & F.col("_t").isNotNull())
+    # Both sides are read several times below; the narrow copies spare recomputing what leads to them.
+    left, right = written(left, "link-documents"), written(right, "link-candidates")
     reach = (days_before * _DAY, days_after * _DAY)
 
     anywhere = _nearest_in_reach(left, right, ["_pair"], reach, max_rows)

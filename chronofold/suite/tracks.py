@@ -107,7 +107,7 @@ FROM events
 def numbered_events(t: Tables) -> DataFrame:
     """Zero-based number of every event within its user."""
     lane = Lane(["user_id"], ["t", "event_id"])
-    numbered = lane.release(lane.number(lane.slice(t.timed_events), "n"))
+    numbered = lane.number(t.timed_events, "n")
     return numbered.select("event_id", "user_id", (F.col("n") - 1).alias("position"))
 
 
