@@ -27,8 +27,11 @@ SLICE = "_slice"
 HEAVY = "_heavy"
 
 #: A heavy key is cut into this many times more slices than an even spread would need, so a
-#: stretch eight times denser than the key's average still stays within ``max_rows``.
+#: stretch eight times denser than the key's average still stays within ``max_rows``.  Denser
+#: stretches are cut a second time.
 OVERCUT = 8
+#: Room for the second cut in a slice number.
+FINE_CUTS = 1 << 24
 DEFAULT_MAX_ROWS = 2_000_000
 
 
@@ -106,35 +109,41 @@ class Lane:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 
-    def slice(self, df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
-        """Mark every row with its slice.  ``profile`` may be a cheaper frame with the same
-        keys and first order column to measure instead of ``df``."""
+    def slice(self, df: DataFrame) -> DataFrame:
+        """Mark every row with its slice.
+
+        A heavy key is cut evenly along the order column; a slice that is still heavy, because the
+        key's rows come in bursts, is cut evenly once more.
+        """
         if self.bounded:
             return df
+        coarse = self._cut(df, [*self.by], "_coarse")
+        fine = self._cut(coarse, [*self.by, "_coarse"], "_fine")
+        whole = F.coalesce("_coarse", F.lit(0))
+        return (
+            fine.withColumn(SLICE, whole * FINE_CUTS + F.coalesce("_fine", F.lit(0)))
+            .withColumn(HEAVY, F.col("_coarse").isNotNull())
+            .drop("_coarse", "_fine")
+        )
+
+    def _cut(self, df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        """Number of the even cut a row of a heavy key falls in, null for other keys."""
         position = _position(df, self.order[0])
-        measured = df if profile is None else profile
         heavy = (
-            measured.groupBy(*self.by)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.min(_position(measured, self.order[0])).alias("_from"),
-                F.max(_position(measured, self.order[0])).alias("_to"),
-            )
+            df.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(position).alias("_from"), F.max(position).alias("_to"))
             .where(F.col("_rows") > self.max_rows)
             .select(
-                *self.by,
+                *keys,
                 "_from",
                 (F.col("_to") - F.col("_from")).alias("_span"),
-                (F.ceil(F.col("_rows") / self.max_rows) * OVERCUT).alias("_cuts"),
+                F.least(F.ceil(F.col("_rows") / self.max_rows) * OVERCUT, F.lit(FINE_CUTS - 1)).alias("_cuts"),
             )
         )
-        cut = F.floor((position - F.col("_from")) * F.col("_cuts") / F.col("_span"))
-        return (
-            df.join(F.broadcast(heavy), [*self.by], "left")
-            .withColumn(HEAVY, F.col("_cuts").isNotNull())
-            .withColumn(SLICE, F.when(F.col("_span") > 0, cut).otherwise(F.lit(0)).cast("long"))
-            .drop("_from", "_span", "_cuts")
-        )
+        cut = F.floor((position - F.col("_from")) * F.col("_cuts") / F.col("_span")).cast("long")
+        marked = df.join(F.broadcast(heavy), keys, "left")
+        number = F.when(F.col("_span") > 0, cut).when(F.col("_span") == 0, F.lit(0).cast("long"))
+        return marked.withColumn(name, number).drop("_from", "_span", "_cuts")
 
     def measured(self, df: DataFrame) -> Lane:
         """This lane, marked ``bounded`` if a count finds no heavy key.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators.asof import asof_join, nearest_join
 from chronofold.operators.lanes import (
-    Lane, following, known_after, last_known, last_known_at, next_known, preceding, running_min, running_sum,
+    SLICE, Lane, following, known_after, last_known, last_known_at, next_known, preceding, running_min, running_sum,
 )
 from chronofold.operators.replay import final_items, item_changes
 from chronofold.operators.select import stratified_split, top_per_key
@@ -59,6 +59,18 @@ def test_scan_steps(spark, limit):
         assert (g.lag.id if g.lag else None) == (group[at - 1][2] if at else None)
 
 
+def test_bursts_are_cut_again(spark):
+    """Nearly all rows of the key fall into a thousandth of its time span."""
+    rows = [("hot", 1_000_000 * (i % 50 == 0) + i, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, t long, id long")
+    lane = Lane(["k"], ["t", "id"], max_rows=50)
+    sizes = [r["count"] for r in lane.slice(df).groupBy(SLICE).count().collect()]
+    assert max(sizes) <= 50
+    numbered = {r.id: r.n for r in lane.number(df, "n").collect()}
+    ordered = sorted(rows, key=lambda r: (r[1], r[2]))
+    assert all(numbered[r[2]] == i + 1 for i, r in enumerate(ordered))
+
+
 @pytest.mark.parametrize("limit", LIMITS)
 def test_asof_and_nearest(spark, limit):
     left = spark.createDataFrame([r[:3] for r in skewed_rows(2)], "k string, t long, id long")
