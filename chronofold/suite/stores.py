@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chronofold.functions.values import partition_parts
 from chronofold.operators.grids import expand, in_all, missing, rank_grid
