@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe
+from chronofold.llm import bpe, dart, langid, quality
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -31,6 +31,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@registered("op3_divergence_rules")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain counts and the verdict of the divergence rules for every document."""
+    docs = table(spark, folder, "documents")
+    out = quality.judged(docs, quality.learn_references(docs), ("doc_id",))
+    return out.withColumn("doc_id", out["doc_id"].cast("long"))
+
+
+@registered("op6_dart_minhash")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return dart.near_duplicates(table(spark, folder, "documents"))
+
+
+@registered("op7_naive_bayes_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """The predicted language of every document."""
+    return langid.identified(table(spark, folder, "documents"))
+
+
 @registered("op8_bpe_segment_tree")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids and their decoding of every document, as digests."""
