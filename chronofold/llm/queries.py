@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, langid, quality
+from chronofold.llm import bpe, dart, langid, phrases, quality
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -55,3 +55,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids and their decoding of every document, as digests."""
     return bpe.encode_documents(table(spark, folder, "documents"), TOKENIZER)
+
+
+@registered("op9_repeated_phrase_automata")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that a document of a smaller id has."""
+    return phrases.without_passages(table(spark, folder, "documents"))
