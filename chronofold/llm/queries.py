@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, langid, phrases, quality
+from chronofold.llm import bpe, dart, langid, phrases, quality, suffix
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -31,6 +31,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@registered("op2_columnwise_suffix_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the byte strings that occur more than once."""
+    return suffix.without_repeats(table(spark, folder, "documents"))
+
+
 @registered("op3_divergence_rules")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Plain counts and the verdict of the divergence rules for every document."""
