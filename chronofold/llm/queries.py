@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, langid, phrases, quality, suffix
+from chronofold.llm import bpe, dart, langid, packing, phrases, quality, suffix, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -45,6 +45,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("doc_id", out["doc_id"].cast("long"))
 
 
+@registered("op4_best_fit_packing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's token pieces and their places in sequences."""
+    return packing.packed(table(spark, folder, "documents"), TOKENIZER)
+
+
 @registered("op6_dart_minhash")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
@@ -67,3 +73,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that a document of a smaller id has."""
     return phrases.without_passages(table(spark, folder, "documents"))
+
+
+@registered("op10_association_rule_urls")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, fitting rule and verdict of every page."""
+    return urls.judged(table(spark, folder, "pages"), table(spark, folder, "labels"))
