@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, langid, packing, phrases, quality, suffix, urls
+from chronofold.llm import bpe, dart, html, langid, packing, phrases, quality, suffix, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -51,6 +51,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), TOKENIZER)
 
 
+@registered("op5_tree_model_extraction")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extracted(table(spark, folder, "pages"))
+
+
 @registered("op6_dart_minhash")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
