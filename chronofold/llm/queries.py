@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, html, langid, packing, phrases, quality, suffix, urls
+from chronofold.llm import bpe, dart, html, langid, packing, phrases, quality, simhash, suffix, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -31,6 +31,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@registered("op1_simhash_block_tables")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return simhash.fingerprinted(table(spark, folder, "documents"))
+
+
 @registered("op2_columnwise_suffix_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the byte strings that occur more than once."""
