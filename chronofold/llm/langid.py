@@ -125,26 +125,41 @@ def train(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text:
     return Model(names, weights, np.log(totals / totals.sum()))
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of every row, with ``lang_pred`` and ``score``.  One pass, the model is broadcast."""
+def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str) -> DataFrame:
+    """Columns ``k0``, ``k1`` ... for those kept, ``lang_pred`` and ``score``; no outer name can clash with these."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    # Distinct names inside, whatever the columns are called outside.
-    rows = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], text_column(docs, text).alias("text"))
-    fields = ", ".join(f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], text_column(docs, text).alias("text"))
+    fields = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                names, sure = shared.value.predict(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(f"k{i}") for i in range(len(keep))], pa.array(names, pa.string()), pa.array(sure, pa.float64())],
-                    names=[*[f"k{i}" for i in range(len(keep))], "lang_pred", "score"],
-                )
+                found, sure = shared.value.predict(part.column("text").to_pylist())
+                columns = [*[part.column(n) for n in names], pa.array(found, pa.string()), pa.array(sure, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
+
+    return rows.mapInArrow(score, ", ".join([*fields, "lang_pred string", "score double"]))
 
-    out = rows.mapInArrow(score, f"{fields}, lang_pred string, score double")
+
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of every row, with ``lang_pred`` and ``score``.  One pass, the model is broadcast."""
+    out = _scored(docs, model, keep, text)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, least_score: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language is known: not :data:`UNKNOWN`, and likelier than all others together.
+
+    Learned from the labelled rows themselves; when no row has a language there is nothing to go by and every text with a letter stays."""
+    model = train(docs)
+    keep = tuple(docs.columns)
+    if not model.languages:
+        return docs.filter(docs[text].rlike(r"\p{L}"))
+    out = _scored(docs, model, keep, text).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
+
+
 def is_held_out(docs: DataFrame, id_column: str = "doc_id"):
     """Whether crc32 of the id as text leaves 1 when divided by 3; null for a null id."""
     return F.crc32(docs[id_column].cast("string").cast("binary")) % 3 == 1

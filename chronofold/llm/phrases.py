@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import gram_hashes, mixed, slices, span_hashes, utf8, words
+from chronofold.llm.common import gram_hashes, mixed, slices, span_hashes, text_column, utf8, words
 from chronofold.llm.passages import LAST_ID, Segments, anchored, identified, kept_segments, merged_runs, repeated_units
 
 WINDOW = 13
@@ -98,38 +98,32 @@ def locate(keys: np.ndarray, pieces: list[bytes], ids: np.ndarray, window: int =
     return out
 
 
-FIELDS = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-
-
-def _kept(docs: DataFrame, id_column: str, text: str, extra: tuple[str, ...], fields: str, finish) -> DataFrame:
-    """Every row with its removed words; ``finish`` makes the output columns from (kept words, words, removed)."""
-    rows = identified(docs, id_column, text)
-    info = repeated_units(rows, WordCutter(), locate, same_text=False)
-    full = docs.select(*[docs[c].alias(f"x{i}") for i, c in enumerate(extra)], *[F.coalesce(docs[id_column].cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text")])
-    joined = full.withColumn("digest", F.unhex(F.md5("text"))).join(info, ["id", "digest"]).select(
-        *[f"x{i}" for i in range(len(extra))], F.when(F.col("id") < LAST_ID, F.col("id")).alias("doc_id"), "text", (F.col("first_id") < F.col("id")).alias("later"), "runs"
+def _stay(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
+    """For every row the starts and ends of its words, which of them stay, and its text."""
+    data, offsets = utf8(part.column("text"))
+    starts, ends, owner = words(data, offsets)
+    bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+    whole = data.tobytes()
+    for i, (later, runs) in enumerate(zip(part.column("later").to_pylist(), part.column("runs").to_pylist(), strict=True)):
+        own = slice(bounds[i], bounds[i + 1])
+        stay = np.ones(bounds[i + 1] - bounds[i], bool)
+        if later:  # the same text has a smaller id: every window goes
+            stay[:] = len(stay) < WINDOW
+        else:
+            for s, e in zip(*merged_runs(runs), strict=True):
+                stay[s:e] = False
+        yield starts[own] - offsets[i], ends[own] - offsets[i], stay, whole[offsets[i] : offsets[i + 1]]
+
+
+def _searched(docs: DataFrame, keep: tuple[str, ...], id_column: str, text: str) -> DataFrame:
+    """``k0``, ``k1`` ... for the columns kept, ``doc_id``, ``text`` and what of it is repeated (``later``, ``runs``)."""
+    info = repeated_units(identified(docs, id_column, text), WordCutter(), locate, same_text=False)
+    whole = docs.select(
+        *[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce(docs[id_column].cast("long"), F.lit(LAST_ID)).alias("id"), text_column(docs, text).alias("text")
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                kept, total, gone = [], [], []
-                for value, later, runs in zip(part.column("text").to_pylist(), part.column("later").to_pylist(), part.column("runs").to_pylist(), strict=True):
-                    own = value.encode().split()
-                    total.append(len(own))
-                    if later and len(own) >= WINDOW:
-                        kept.append([])
-                    elif later or not runs:
-                        kept.append(own)
-                    else:
-                        stay = np.ones(len(own), bool)
-                        for s, e in zip(*merged_runs(runs), strict=True):
-                            stay[s:e] = False
-                        kept.append([w for w, k in zip(own, stay.tolist(), strict=True) if k])
-                    gone.append(total[-1] - len(kept[-1]))
-                yield finish(part, kept, total, gone)
-
-    return joined.mapInArrow(run, fields)
+    joined = whole.withColumn("digest", F.unhex(F.md5("text"))).join(info, ["id", "digest"])
+    doc_id = F.when(F.col("id") < LAST_ID, F.col("id")).alias("doc_id")
+    return joined.select(*[f"k{i}" for i in range(len(keep))], doc_id, "text", (F.col("first_id") < F.col("id")).alias("later"), "runs")
 
 
 def without_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -140,11 +134,57 @@ def without_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     than all others; repeated rows are repeated; other columns are ignored.
     """
 
-    def finish(part, kept, total, gone):
-        digests = [hashlib.sha256(b" ".join(k)).hexdigest() for k in kept]
-        return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())],
-            names=["doc_id", "n_words", "n_removed", "kept_sha256"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                total, gone, digests = [], [], []
+                for starts, ends, stay, whole in _stay(part):
+                    kept = [whole[s:e] for s, e in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)]
+                    total.append(len(stay))
+                    gone.append(len(stay) - len(kept))
+                    digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+                )
 
-    return _kept(docs, id_column, text, (), FIELDS, finish)
+    return _searched(docs, (), id_column, text).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def trimmed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: str = "n_chars") -> DataFrame:
+    """The rows, with all their columns, without the words that :func:`without_passages` removes.
+
+    White space before a removed run stays and that after it goes; a text that loses nothing is unchanged, a null one stays null.  ``size``, where there is
+    such a column, is brought up to date.  A row goes if it has lost words and none is left.
+    """
+    keep = tuple(docs.columns)
+    names = [f"k{i}" for i in range(len(keep))]
+    fields = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                texts, empty = [], []
+                for starts, ends, stay, whole in _stay(part):
+                    empty.append(len(stay) > 0 and not stay.any())
+                    if stay.all():
+                        texts.append(whole.decode())
+                        continue
+                    edge = np.flatnonzero(np.diff(np.r_[True, stay, True].astype(np.int8)))
+                    pieces, at = [], 0
+                    for first, after in zip(edge[::2], edge[1::2], strict=True):  # runs of removed words
+                        pieces.append(whole[at : starts[first]])
+                        at = starts[after] if after < len(starts) else len(whole)
+                    texts.append(b"".join([*pieces, whole[at:]]).decode())
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(n) for n in names], pa.array(texts, pa.string()), pa.array(empty, pa.bool_())], names=[*names, "trimmed", "empty"]
+                )
+
+    out = _searched(docs, keep, id_column, text).mapInArrow(run, ", ".join([*fields, "trimmed string, empty boolean"])).filter("not empty")
+    own = F.col(f"k{keep.index(text)}")
+    # A null text counts as empty in the search and stays null.
+    fresh = {text: F.when(own.isNotNull(), F.col("trimmed"))}
+    if size in keep:
+        changed = own.isNotNull() & (F.col("trimmed") != own)
+        fresh[size] = F.when(changed, F.char_length("trimmed").cast(docs.schema[size].dataType)).otherwise(F.col(f"k{keep.index(size)}"))
+    return out.select(*[fresh.get(c, F.col(n)).alias(c) for c, n in zip(keep, names, strict=True)])

@@ -217,13 +217,8 @@ FIELDS = {
 }
 
 
-def judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of every row with its counts, ``base_failed``, ``kept`` and the two distances.
-
-    ``kept`` is false if ``base_failed`` (fewer than 10 words, or over a fifth of them in repeated 5-word windows), or if a long
-    enough text lies too far from every reference by characters or by words.  A null text counts as empty: it has no words and
-    fails.  Repeated rows get repeated verdicts; columns other than ``keep`` and the text are ignored.
-    """
+def _judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...], text: str) -> DataFrame:
+    """Columns ``k0``, ``k1`` ... for those kept and the fields of :data:`FIELDS`; no outer name can clash with these."""
     shared = docs.sparkSession.sparkContext.broadcast(references)
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], text_column(docs, text).alias("text"))
@@ -244,5 +239,22 @@ def judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...],
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *[pa.array(got[k], t) for k, t in FIELDS.items()]], names=[*names, *FIELDS])
 
     fields = ", ".join([*[f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)], *[f"{k} {t}" for k, t in kinds.items()]])
-    out = rows.mapInArrow(run, fields)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], *FIELDS)
+    return rows.mapInArrow(run, fields)
+
+
+def judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """Columns ``keep`` of every row with its counts, ``base_failed``, ``kept`` and the two distances.
+
+    ``kept`` is false if ``base_failed`` (fewer than 10 words, or over a fifth of them in repeated 5-word windows), or if a long
+    enough text lies too far from every reference by characters or by words.  A null text counts as empty: it has no words and
+    fails.  Repeated rows get repeated verdicts; columns other than ``keep`` and the text are ignored.
+    """
+    out = _judged(docs, references, keep, text)
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *FIELDS)
+
+
+def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, that pass; references are learned from the rows themselves."""
+    keep = tuple(docs.columns)
+    out = _judged(docs, learn_references(docs), keep, text).filter("kept")
+    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)])
