@@ -75,15 +75,18 @@ def emptied(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
     bins = [list(b) for b in bins]
     fill = [sum(sizes[i] for i in b) for b in bins]
     least = -(-sum(fill) // capacity)
-    live = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: fill[b])
     gone: set[int] = set()
-    stuck = False
-    while not stuck and len(bins) - len(gone) > least:
-        stuck = True
-        for e in sorted((b for b in live if b not in gone), key=lambda b: fill[b]):
-            if _give_away(e, [b for b in live if b not in gone and b != e and fill[b] < capacity], bins, fill, sizes, capacity):
+    moved = True
+    while moved and len(bins) - len(gone) > least:
+        moved = False
+        live = [b for b in range(len(bins)) if b not in gone and fill[b] < capacity]
+        for e in sorted(live, key=lambda b: fill[b]):
+            before = fill[e]
+            if _give_away(e, [b for b in live if b != e and b not in gone and fill[b] < capacity], bins, fill, sizes, capacity):
                 gone.add(e)
-                stuck = False
+            if fill[e] != before:
+                moved = True
+            if len(bins) - len(gone) <= least:
                 break
     return [b for k, b in enumerate(bins) if k not in gone]
 
