@@ -141,7 +141,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK).cast("int").alias("shares"))
     members = pairs.join(sizes, "leader").select(F.col("x").alias("doc_id"), "leader", F.pmod(F.xxhash64("x"), F.col("shares")).cast("int").alias("share"))
     leaders = sizes.select(F.col("leader").alias("doc_id"), "leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
-    rows = docs.join(members.union(leaders), "doc_id").select("doc_id", "leader", "share", "text")
+    rows = docs.join(members.union(leaders).hint("merge"), "doc_id").select("doc_id", "leader", "share", "text")
     dealt = rows.repartition("leader", "share").sortWithinPartitions("leader", "share", F.col("doc_id") != F.col("leader"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,11 +179,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     nodes = written(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
     spots = nodes.select("node", F.explode("bands").alias("key"))
     ends = spots.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    met = spots.join(ends, "key").select("node", F.explode(F.array("first", "last")).alias("other")).filter("node != other")
+    met = spots.join(ends.hint("merge"), "key").select("node", F.explode(F.array("first", "last")).alias("other")).filter("node != other")
     pairs = written(met.select(F.greatest("node", "other").alias("x"), F.least("node", "other").alias("leader")).distinct(), "pairs")
 
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select(F.col("leader").alias("doc_id"))).distinct()
-    texts = written(rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    # Lists of candidates grow with the corpus: they are merged at every size, never sent to all tasks.
+    texts = written(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     nearest = pairs.groupBy("x").agg(F.min("leader").alias("leader"))
     links = written(_similar(texts, nearest, similarity), "links")
     found = components(links)
