@@ -24,7 +24,7 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 24, 4
 COORDINATES = BANDS * BAND_ROWS
 #: Members of a group that are compared with its leader in one task.
-MEMBERS_PER_TASK = 1000
+MEMBERS_PER_TASK = 250
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
