@@ -111,16 +111,13 @@ def reply_slots(reply: Column) -> Column:
         F.transform(F.coalesce(parsed["teams"], F.array().cast("array<string>")), lambda t: F.trim(t)),
         lambda t: t.isNotNull() & (t != ""),
     )
-    number = F.when(parsed["game_number"].rlike(r"^-?\d+$"), parsed["game_number"]).try_cast("int")
+    # Only a JSON number counts; a quoted one is text.
+    told = F.try_variant_get(F.try_parse_json(block), "$.game_number", "variant")
+    is_number = F.schema_of_variant(told).isin("BIGINT", "INT", "SMALLINT", "TINYINT")
+    number = F.when(is_number & parsed["game_number"].rlike(r"^-?\d+$"), parsed["game_number"]).try_cast("int")
     slots = F.struct(
         teams.alias("teams"),
         blank_to_null(parsed["event"]).alias("event"),
         number.alias("game_number"),
     )
     return F.when(block.isNotNull() & parsed["_bad"].isNull(), slots)
-
-
-def pair_key(first: Column, second: Column) -> Column:
-    """Order-free key of two names, compared trimmed and in lower case."""
-    one, two = F.lower(F.trim(first)), F.lower(F.trim(second))
-    return F.concat(F.least(one, two), F.lit("\u001f"), F.greatest(one, two))

@@ -7,6 +7,7 @@ exchange and one sort of ``left + right`` whatever the match counts are.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +48,9 @@ def neighbours(
         *[F.col(c).alias(name) for c, name in zip(tie, ties)],
         F.struct(F.col(right_on or on).alias("at"), *payload).alias(_PAYLOAD),
         F.lit(0).alias(_SIDE),
-    ).where(F.col(on).isNotNull())
+    )
+    # As in SQL a null key equals nothing: such right rows go, such left rows find nothing.
+    packed = packed.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (on, *by)]))
     rows = left.withColumn(_SIDE, F.lit(1)).unionByName(packed, allowMissingColumns=True)
 
     lane = Lane(by, [on, _SIDE, *ties], max_rows=max_rows, bounded=bounded).measured(rows)
@@ -63,6 +66,8 @@ def neighbours(
     if after:
         steps[after] = next_known(F.col(_PAYLOAD))
     found = lane.release(lane.scan(rows, **steps))
+    placed = F.col(on).isNotNull()
+    found = found.withColumns({name: F.when(placed, F.col(name)) for name in steps})
     return found.where(F.col(_SIDE) == 1).drop(_SIDE, _PAYLOAD, *ties)
 
 

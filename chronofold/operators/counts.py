@@ -88,13 +88,11 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """Rows per equal-width bin; the top edge belongs to the last bin, outliers are left out."""
-    slot = F.least(F.width_bucket(F.col(column), F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
-    inside = (F.col(column) >= low) & (F.col(column) <= high)
-    return df.where(inside).groupBy(slot.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
-
-
-def unzip(df: DataFrame, keys: Sequence[str], lists: Sequence[str]) -> DataFrame:
-    """Explode several list columns of one length side by side."""
-    return df.select(*keys, F.inline(F.arrays_zip(*lists)))
+def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """Rows per equal-width bin between the smallest and the largest value, both included; nulls are not counted.
+
+    The bounds come from one aggregate of the column, which the plan takes as a scalar."""
+    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("b")).scalar()
+    low, width = bounds["low"], bounds["high"] - bounds["low"]
+    slot = F.when(width == 0, 1).otherwise(F.least(F.floor((F.col(column) - low) * bins / width) + 1, F.lit(bins)))
+    return df.where(F.col(column).isNotNull()).groupBy(slot.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))

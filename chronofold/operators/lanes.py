@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ OVERCUT = 8
 #: Room for the second cut in a slice number.
 FINE_CUTS = 1 << 24
 DEFAULT_MAX_ROWS = 2_000_000
+#: Keys that may be marked as heavy at once; they are broadcast.
+MOST_MARKS = 100_000
 
 
 @dataclass(frozen=True)
@@ -140,10 +143,11 @@ class Lane:
                 F.least(F.ceil(F.col("_rows") / self.max_rows) * OVERCUT, F.lit(FINE_CUTS - 1)).alias("_cuts"),
             )
         )
-        cut = F.floor((position - F.col("_from")) * F.col("_cuts") / F.col("_span")).cast("long")
-        marked = df.join(F.broadcast(heavy), keys, "left")
-        number = F.when(F.col("_span") > 0, cut).when(F.col("_span") == 0, F.lit(0).cast("long"))
-        return marked.withColumn(name, number).drop("_from", "_span", "_cuts")
+        # Rows without a position come first in the order, so they are a slice before all others.
+        cut = F.floor((position - F.col("_from")) * F.col("_cuts") / F.col("_span")).cast("long") + 1
+        marked = _null_safe(df, F.broadcast(heavy), keys)
+        place = F.when(position.isNull(), F.lit(0).cast("long")).when(F.col("_span") > 0, cut).otherwise(F.lit(1).cast("long"))
+        return marked.withColumn(name, F.when(F.col("_cuts").isNotNull(), place)).drop("_from", "_span", "_cuts")
 
     def measured(self, df: DataFrame) -> Lane:
         """This lane, marked ``bounded`` if a count finds no heavy key.
@@ -155,8 +159,12 @@ class Lane:
         """
         if self.bounded:
             return self
-        over = df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > self.max_rows)
-        return replace(self, bounded=True) if over.isEmpty() else self
+        sizes = df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("_rows"))
+        most, total = sizes.agg(F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+        if most <= self.max_rows:
+            return replace(self, bounded=True)
+        # The marks are broadcast: with more rows a slice may hold more, so that their number stays bounded.
+        return replace(self, max_rows=max(self.max_rows, total // MOST_MARKS))
 
     def scan(self, df: DataFrame, **steps: Step) -> DataFrame:
         """Add one column per step to a frame already marked by :meth:`slice`."""
@@ -173,7 +181,7 @@ class Lane:
             *self.keys,
             *[_inherited(step, F.col(f"_own_{name}"), along).alias(f"_in_{name}") for name, step in steps.items()],
         )
-        joined = local.join(inherited, self.keys, "left")
+        joined = _null_safe(local, inherited, self.keys)
         return joined.withColumns(
             {name: _combine(step, F.col(name), F.col(f"_in_{name}")) for name, step in steps.items()}
         ).drop(*[f"_in_{name}" for name in steps])
@@ -227,6 +235,13 @@ class Lane:
         }[step.kind](step.value)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which null keys are equal to each other."""
+    renamed = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
 def _position(df: DataFrame, column: str) -> Column:
     """The order column as a double, monotone in the original value."""
     kind = df.schema[column].dataType

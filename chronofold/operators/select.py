@@ -77,8 +77,11 @@ def stratified_split(
         .alias("_k")
     )
     in_test = (F.col("_n") - 1) % folds.scalar() == 0
-    sides = numbered.select(label, group, F.when(in_test, "test").otherwise("train").alias(name))
-    return df.join(sides, [label, group])
+    side = F.when(in_test, "test").otherwise("train").alias(name)
+    sides = numbered.select(F.col(label).alias("_label"), F.col(group).alias("_group"), side)
+    # A null label is a label of its own, a null group a group.
+    same = df[label].eqNullSafe(F.col("_label")) & df[group].eqNullSafe(F.col("_group"))
+    return df.join(sides, same).drop("_label", "_group")
 
 
 def smallest_stratum(df: DataFrame, label: str) -> DataFrame:

@@ -75,24 +75,6 @@ def one_hot_either(df: DataFrame, first: str, second: str, values: Sequence, *,
     })
 
 
-def distinct_values(df: DataFrame, *columns: str) -> list:
-    """Sorted distinct non-null values of columns that become column names.
-
-    The result names columns, so it has to be small; more than a thousand values is an error.
-    """
-    union = None
-    for c in columns:
-        part = df.select(F.col(c).alias("v"))
-        union = part if union is None else union.unionByName(part)
-    rows = union.where(F.col("v").isNotNull()).distinct().limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"too many distinct values in {columns} for one column each")
-    return sorted(r[0] for r in rows)
-
-
-# -- interval samples ---------------------------------------------------------------------------
-
-
 def frame_pairs(
     frames: DataFrame, *, keys: Sequence[str], time: str = "timestamp", value: str = "xp",
     max_rows: int = DEFAULT_MAX_ROWS, bounded: bool = False,

@@ -22,28 +22,18 @@ class ExportSpec:
     split: str = "train"
 
 
-ENTITY_EXPORT = ExportSpec(
-    slug="esports_entities",
-    title="Directory of public figures and teams",
-    license="cc-by-sa-3.0",
-    tables={
-        "public_figures": "One row per person, identified by the canonical page key.",
-        "teams": "One row per organisation, identified by the canonical page key.",
-        "entity_aliases": "Every known surface name with the entity it stands for.",
-    },
-    keys={"public_figures": "person_id", "teams": "team_id", "entity_aliases": "alias, entity_id, entity_type"},
-)
+def export_of(slug: str, title: str, license: str, keys: Mapping[str, str], split: str = "train") -> ExportSpec:
+    """Descriptor of tables given with their keys; the descriptions state the keys."""
+    tables = {name: f"{name.replace('_', ' ').capitalize()}, keyed by {key}." for name, key in keys.items()}
+    return ExportSpec(slug, title, license, tables, keys, split)
+
 
-MATCH_EXPORT = ExportSpec(
-    slug="esports_matches",
-    title="Competitive matches, games and tournaments",
-    license="cc-by-sa-3.0",
-    tables={
-        "games": "One row per game: patch, picks and bans, teams, result.",
-        "tournaments": "One row per tournament: league, region, split, dates.",
-        "matches": "One row per series: teams, score, best-of, tournament.",
-    },
-    keys={"games": "game_id", "tournaments": "tournament_id", "matches": "match_id"},
+ENTITY_EXPORT = export_of(
+    "esports_entities", "Names and whom they stand for", "cc-by-sa-3.0",
+    {"public_figures": "person_id", "teams": "team_id", "entity_aliases": "alias, entity_id, entity_type"},
+)
+MATCH_EXPORT = export_of(
+    "esports_matches", "Series and their games", "cc-by-sa-3.0", {"games": "game_id", "tournaments": "tournament_id", "matches": "match_id"}
 )
 
 

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from chronofold.operators.replay import item_changes
 from chronofold.operators.select import last_per_key
-from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO, sort_type
-from chronofold.sources.tables import TableStore
+from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO
+from chronofold.session import written
+from chronofold.sources.tables import TableStore, conform
 
 
 def landing_stream(
@@ -58,15 +57,23 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, latene
 def upsert_sink(
     store: TableStore, table: str, order: Sequence[str], shape: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> Callable[[DataFrame, int], None]:
-    """Batch handler that upserts the latest record per key.
+    """Batch handler that keeps the latest record per key, over all batches.
 
+    The ``order`` columns are stored with the row, so that a late older record does not replace a newer one.
     Replaying a batch after a failure writes the same rows again, so the table ends up the same.
     """
-    keys = [*store.specs[table].keys]
+    spec = store.specs[table]
+    keys, lacking = [*spec.keys], set(order) - set(spec.schema.names)
+    if lacking:
+        raise ValueError(f"{table} must store the order columns {sorted(lacking)}")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.write(table, last_per_key(shape(batch), keys, *order), "upsert")
+        if batch.isEmpty():
+            return
+        store.create_if_absent(table)
+        fresh = conform(shape(batch), spec.schema)
+        known = store.scan(table, spec.schema.names).join(fresh.select(*keys).distinct(), keys, "left_semi")
+        store.write(table, last_per_key(fresh.unionByName(known), keys, *order), "upsert")
 
     return handle
 
@@ -83,72 +90,36 @@ def window_counts(
     return counted.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), *by, "n")
 
 
-_REPLAY_OUT = "owner string, ord long, step int, item long, held long"
-_REPLAY_STATE = "held string, history string"
-_OPEN_FOR_MS = 6 * 3_600_000
-
-
-def _apply(held: dict, history: list, kind: str, t: int, item: int) -> list[tuple[int, int]]:
-    """One item event on an owner's state; returns the counts it touched, in order."""
-    touched = []
-
-    def bump(i, by):
-        held[i] = max(0, held.get(i, 0) + by)
-        touched.append((i, held[i]))
-
-    if kind != UNDO:
-        history.append((kind, t, item))
-        bump(item, 1 if kind == PURCHASED else -1)
-    elif history:
-        top_kind, top_t, top_item = history.pop()
-        if top_kind == PURCHASED:
-            bump(top_item, -1)
-            while history and history[-1][0] == DESTROYED and history[-1][1] == top_t:
-                bump(history.pop()[2], 1)
-        elif top_kind == SOLD:
-            bump(top_item, 1)
-    return touched
-
-
-def _replay_owner(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    held, history = {}, []
-    if state.exists:
-        held = {int(k): v for k, v in json.loads(state.get[0]).items()}
-        history = [tuple(h) for h in json.loads(state.get[1])]
-    rows = pd.concat(list(batches)).sort_values(["t", "sort", "ord"])
-    out = []
-    for row in rows.itertuples():
-        for step, (item, count) in enumerate(_apply(held, history, row.kind, int(row.t), int(row.item))):
-            out.append((key[0], int(row.ord), step, item, count))
-    state.update((json.dumps({k: v for k, v in held.items() if v}), json.dumps(history)))
-    # Counted from the rows: before the second batch the watermark still stands at the epoch.
-    latest = max(int(rows["at_ms"].max()), state.getCurrentWatermarkMs())
-    state.setTimeoutTimestamp(latest + _OPEN_FOR_MS)
-    yield pd.DataFrame(out, columns=["owner", "ord", "step", "item", "held"])
-
-
-def stream_items(
-    stream: DataFrame, *, owner: Sequence[str], event_time: str, tick: str, kind: str, item: str, ordinal: str,
-    lateness: str = "10 minutes",
-) -> DataFrame:
-    """Item counters of every owner, carried across micro-batches.
+def replayed_items(
+    stream: DataFrame, output: str, state: str, checkpoint: str, *, owner: Sequence[str], tick: str, kind: str, item: str,
+    ordinal: str, ended: str,
+) -> StreamingQuery:
+    """Item counters of every owner, carried across micro-batches; processes what has landed, then stops.
 
-    State is the open inventory and undo history of an owner, dropped six hours after the owner's
-    last event: a match is over by then.
+    The item events of owners that are still open are kept in versioned folders below ``state``.  A batch replays the open owners it
+    touches with :func:`item_changes`, whose running sums split a hot owner, and writes the changes of its own events to
+    ``output/batch=<id>``; it reads the version before its own id, so a repeated batch writes the same rows.  An owner is closed, and its
+    events dropped, by an event whose ``ended`` column is true; events after that start anew.  Events must arrive in order of ``tick`` per owner.
     """
-    relevant = stream.where(F.col(kind).isin(PURCHASED, SOLD, DESTROYED, UNDO)).withWatermark(event_time, lateness)
-    shaped = relevant.select(
-        F.concat_ws("|", *[F.col(c).cast("string") for c in owner]).alias("owner"),
-        F.col(event_time), F.unix_millis(event_time).alias("at_ms"), F.col(tick).alias("t"), F.col(kind).alias("kind"),
-        F.coalesce(F.col(item), F.lit(0)).cast("long").alias("item"), F.col(ordinal).alias("ord"),
-        sort_type(F.col(kind), F.col(item)).alias("sort"),
-    )
-    return shaped.groupBy("owner").applyInPandasWithState(
-        _replay_owner, _REPLAY_OUT, _REPLAY_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    columns = [*owner, tick, kind, item, ordinal]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = written(batch.select(*columns, F.coalesce(F.col(ended), F.lit(False)).alias("_ended")), "item-batch")
+        items = seen.where(F.col(kind).isin(PURCHASED, SOLD, DESTROYED, UNDO)).drop("_ended")
+        earlier = f"{state}/version={batch_id - 1}"
+        held = spark.read.schema(items.schema).parquet(earlier) if batch_id else items.limit(0)
+        touched = held.join(items.select(*owner).distinct(), [*owner], "left_semi")
+        # A written copy: the replay reads its input several times.
+        rows = written(touched.withColumn("_new", F.lit(False)).unionByName(items.withColumn("_new", F.lit(True))), "item-events")
+        changes = item_changes(rows, by=owner, tick=tick, kind=kind, item=item, ordinal=ordinal)
+        fresh = changes.join(rows.where("_new").select(*owner, ordinal), [*owner, ordinal], "left_semi")
+        fresh.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        closed = seen.where("_ended").select(*owner).distinct()
+        kept = held.unionByName(items).join(closed, [*owner], "left_anti")
+        kept.select(*columns).write.mode("overwrite").parquet(f"{state}/version={batch_id}")
+
+    return to_batches(stream, handle, checkpoint)
 
 
 def require_current(today: date, start: date, end: date, name: str = "this source") -> None:

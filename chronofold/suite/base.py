@@ -32,12 +32,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table over at least as many partitions as cores, for queries that make much of each row.
-        A table of many files already is and stays as it lies."""
-        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def scratch(self, name: str) -> str:
         """New folder for what a query writes."""
         return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"

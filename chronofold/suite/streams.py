@@ -6,15 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.sources.tables import TableSpec, struct
-from chronofold.streaming.flows import deduplicated, landing_stream, stream_items, to_batches, to_files, upsert_sink, window_counts
+from chronofold.streaming.flows import deduplicated, landing_stream, replayed_items, to_batches, to_files, upsert_sink, window_counts
 from chronofold.suite.base import REGISTRY, Tables, query
 from chronofold.suite.stores import store_for
-from chronofold.suite.tracks import ITEM_KINDS, item_events
+from chronofold.suite.tracks import ITEM_KINDS
 
 
-def event_stream(t: Tables) -> DataFrame:
-    """The event table as a file stream with a zoned event time."""
-    stream = landing_stream(t.spark, t.folder, t.events.schema, pattern="events.parquet")
+#: Files that the event table lands in, one micro-batch each.
+LANDINGS = 3
+
+
+def event_stream(t: Tables, in_order: bool = True) -> DataFrame:
+    """The event table as a stream of files, one a micro-batch, with a zoned event time.
+
+    ``in_order`` cuts the files along time; otherwise every file has events of the whole time, so late ones come in each batch."""
+    folder = t.scratch("landed")
+    low, span = t.events.agg(F.min("ts").alias("low"), (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp")) + 1).alias("span")).first()
+    since = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp"))
+    turn = F.floor(since * LANDINGS / F.lit(span)) if in_order else F.pmod("event_id", F.lit(LANDINGS))
+    for n in range(LANDINGS):
+        # Files are taken in the order in which they land; a landing is one file for the test tables' size.
+        t.events.where(turn == n).coalesce(1).write.mode("append").parquet(folder)
+    stream = landing_stream(t.spark, folder, t.events.schema, files_per_trigger=1)
     return stream.withColumn("at", F.col("ts").cast("timestamp"))
 
 
@@ -34,7 +47,7 @@ def stream_ingested(t: Tables) -> DataFrame:
 @query("K2", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_deduplicated(t: Tables) -> DataFrame:
     """First arrival per key inside the lateness bound."""
-    unique = deduplicated(event_stream(t), ["user_id", "event_type"], "at", "40 days")
+    unique = deduplicated(event_stream(t, in_order=False), ["user_id", "event_type"], "at", "40 days")
     return drained(t, unique.select("user_id", "event_type"), "dedup")
 
 
@@ -42,12 +55,12 @@ def stream_deduplicated(t: Tables) -> DataFrame:
 SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def stream_upserted(t: Tables) -> DataFrame:
-    """Latest event per user kept in a table by an upserting stream."""
-    spec = TableSpec(struct({"user_id": "long"}, {"event_id": "long", "value": "double"}), keys=("user_id",))
+    """Latest event per user kept in a table by an upserting stream whose batches all hold late events."""
+    spec = TableSpec(struct({"user_id": "long"}, {"event_id": "long", "value": "double", "ts": "timestamp"}), keys=("user_id",))
     store = store_for(t, {"latest": spec})
     sink = upsert_sink(store, "latest", ["ts", "event_id"])
-    to_batches(event_stream(t), sink, t.scratch("upsert-checkpoint")).awaitTermination()
-    return store.scan("latest")
+    to_batches(event_stream(t, in_order=False), sink, t.scratch("upsert-checkpoint")).awaitTermination()
+    return store.scan("latest", ["user_id", "event_id", "value"])
 
 
 @query("K5", """
@@ -65,12 +78,11 @@ def stream_items_held(t: Tables) -> DataFrame:
     """Items held at the end of a stateful replay that spans micro-batches."""
     kinds = F.create_map(*[F.lit(x) for pair in ITEM_KINDS.items() for x in pair])
     stream = event_stream(t).select(
-        "user_id", "event_id", "at", F.floor(F.unix_micros("at") / 1_800_000_000).alias("tick"),
+        "user_id", "event_id", F.floor(F.unix_micros("at") / 1_800_000_000).alias("tick"), F.lit(False).alias("ended"),
         F.element_at(kinds, F.col("event_type")).alias("kind"), (F.get_json_object("props", "$.k").cast("int") % 5).alias("item"))
-    replayed = stream_items(
-        stream, owner=["user_id"], event_time="at", tick="tick", kind="kind", item="item", ordinal="event_id")
-    log = drained(t, replayed, "replay").join(
-        item_events(t).select(F.col("event_id").alias("ord"), "tick", "kind"), "ord")
-    last = log.groupBy(F.col("owner").cast("long").alias("user_id"), "item").agg(
-        F.max_by("held", F.struct("tick", "kind", "ord", "step")).alias("held"))
+    out = t.scratch("replay")
+    replayed_items(
+        stream, out, t.scratch("replay-state"), t.scratch("replay-checkpoint"), owner=["user_id"], tick="tick", kind="kind", item="item",
+        ordinal="event_id", ended="ended").awaitTermination()
+    last = t.spark.read.parquet(out).groupBy("user_id", "item").agg(F.max_by("held", F.struct("tick", "sort", "event_id", "step")).alias("held"))
     return last.where("held > 0")

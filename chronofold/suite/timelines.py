@@ -119,7 +119,7 @@ def timeline_documents(t: Tables) -> DataFrame:
 def landed(t: Tables, table: str, document: Column, region: Column) -> LandingZone:
     """The documents as JSON lines in a landing zone, one folder per region."""
     zone = LandingZone(t.spark, t.scratch("landing"), ["match_info", "match_timeline"])
-    lines = t.spread("customer").select(document.alias("value"), region)
+    lines = t.customer.select(document.alias("value"), region)
     lines.write.partitionBy("region").text(zone.table_path(table))
     return zone
 

@@ -377,13 +377,14 @@ def hashed_split(t: Tables) -> DataFrame:
 
 
 @query("A12", """
-SELECT least(cents // 200 + 1, 20) AS bin, count(*) AS rows
-FROM (SELECT CAST(round(value * 100) AS BIGINT) AS cents FROM events) WHERE cents BETWEEN 0 AND 4000 GROUP BY 1
+SELECT least((cents - low) * 20 // (high - low) + 1, 20) AS bin, count(*) AS rows
+FROM (SELECT CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+  (SELECT CAST(round(min(value) * 100) AS BIGINT) AS low, CAST(round(max(value) * 100) AS BIGINT) AS high FROM events) GROUP BY 1
 """)
 def value_histogram(t: Tables) -> DataFrame:
-    """Twenty equal-width bins of the value in cents."""
+    """Twenty equal-width bins over all values in cents."""
     cents = t.events.select(F.round(F.col("value") * 100).cast("long").alias("cents"))
-    return C.histogram(cents, "cents", 0.0, 4000.0, 20)
+    return C.histogram(cents, "cents", 20)
 
 
 @query("A12", """

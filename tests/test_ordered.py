@@ -6,13 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronofold.operators.asof import asof_join, nearest_join
+from chronofold.operators.counts import histogram
 from chronofold.operators.lanes import (
     SLICE, Lane, following, known_after, last_known, last_known_at, next_known, preceding, running_min, running_sum,
 )
 from chronofold.operators.replay import final_items, item_changes
 from chronofold.operators.select import stratified_split, top_per_key
 from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO
-from chronofold.streaming.flows import _apply
 
 #: One limit that no key reaches and one that makes the hot key heavy.
 LIMITS = [10_000, 25]
@@ -110,13 +110,31 @@ def item_rows(seed, n=500):
 
 
 def plain_replay(rows):
-    """Event by event, with a list as history."""
+    """Each owner's events as entries that can be taken back, newest first: (sign, item, items used up by a purchase)."""
     rank = lambda r: ("A" if r[2] == PURCHASED else "Z" if r[2] == DESTROYED else r[2]) if r[3] == 2003 else r[2]
-    held, history, log = {}, {}, []
-    for r in sorted(rows, key=lambda r: (r[1], rank(r), r[4])):
-        own = held.setdefault(r[0], {})
-        for step, (item, count) in enumerate(_apply(own, history.setdefault(r[0], []), r[2], r[1], r[3])):
-            log.append((r[0], r[4], step, item, count))
+    held, log = {}, []
+    for owner in sorted({r[0] for r in rows}):
+        entries, own = [], held.setdefault(owner, {})
+        for _, tick, kind, item, ordinal in sorted((r for r in rows if r[0] == owner), key=lambda r: (r[1], rank(r), r[4])):
+            changes = []
+            if kind == PURCHASED:
+                used = []
+                while entries and entries[-1][3] == ("used up", tick):
+                    used.append(entries.pop()[1])
+                entries.append((1, item, used, None))
+                changes = [(item, 1)]
+            elif kind in (SOLD, DESTROYED):
+                entries.append((-1, item, [], ("used up" if kind == DESTROYED else "sold", tick)))
+                changes = [(item, -1)]
+            elif entries:
+                sign, gone, used, why = entries.pop()
+                if sign > 0:
+                    changes = [(gone, -1), *[(i, 1) for i in used]]
+                elif why[0] == "sold":
+                    changes = [(gone, 1)]
+            for step, (what, by) in enumerate(changes):
+                own[what] = max(0, own.get(what, 0) + by)
+                log.append((owner, ordinal, step, what, own[what]))
     return log, {(k, i): c for k, own in held.items() for i, c in own.items() if c}
 
 
@@ -166,3 +184,40 @@ def test_asof_plan_has_one_exchange_of_the_rows_and_no_pairs(spark):
     joined = asof_join(left, right, by=["k"], on="t", payload=["v"], bounded=True)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_lane_keeps_rows_without_position_or_key(spark, limit):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", None, None]), rng.choice([None, *range(40)]), i, rng.choice([None, i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, v long").repartition(3)
+    lane = Lane(["k"], ["t", "id"], max_rows=limit)
+    got = {r.id: (r.n, r.v_last, r.v_next) for r in lane.run(
+        df, n=running_sum(F.lit(1)), v_last=last_known(F.col("v")), v_next=next_known(F.col("v"))).collect()}
+    for key in ("a", None):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for i, r in enumerate(own):
+            before = [x[3] for x in own[: i + 1] if x[3] is not None]
+            after = [x[3] for x in own[i:] if x[3] is not None]
+            assert got[r[2]] == (i + 1, before[-1] if before else None, after[0] if after else None)
+
+
+@pytest.mark.parametrize("limit", LIMITS)
+def test_joins_in_time_match_no_nulls(spark, limit):
+    left = spark.createDataFrame([("a", 5, 1), (None, 5, 2), ("a", None, 3)], "k string, t long, id long")
+    right = spark.createDataFrame([("a", 4, 10), (None, 4, 20), ("a", None, 30)], "k string, t long, v long")
+    for join in (asof_join, nearest_join):
+        got = {r.id: r.v for r in join(left, right, by=["k"], on="t", payload=["v"], max_rows=limit).collect()}
+        assert got == {1: 10, 2: None, 3: None}
+
+
+def test_split_keeps_null_labels(spark):
+    df = spark.range(60).select("id", F.when(F.col("id") < 40, "x").alias("label"))
+    rows = stratified_split(df, label="label", group="id").collect()
+    assert len(rows) == 60 and {r.split for r in rows if r.label is None} == {"train", "test"}
+
+
+def test_histogram_counts_every_value(spark):
+    df = spark.createDataFrame([(v,) for v in (-5.0, 0.0, 1.0, 94.9, 95.0, None)], "v double")
+    assert {r.bin: r.rows for r in histogram(df, "v", 10).collect()} == {1: 3, 10: 2}
+    assert {r.bin: r.rows for r in histogram(df.where("v = 1"), "v", 10).collect()} == {1: 1}

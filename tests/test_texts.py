@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronofold.functions import text as X
 from chronofold.functions import values as V
 from chronofold.plans.grounding import expand_aliases, gazetteer_references, link
-from chronofold.streaming.flows import require_current, stream_items, to_files
+from chronofold.streaming.flows import replayed_items, require_current
 from tests.test_ordered import item_rows, plain_replay
 
 
@@ -122,8 +122,19 @@ def test_stream_replay_carries_state_across_batches(spark, tmp_path):
         part = [(*r, dt.datetime(2026, 1, 1) + dt.timedelta(seconds=r[1])) for r in rows if low <= r[1] < high]
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        out = stream_items(stream, owner=["k"], event_time="at", tick="t", kind="kind", item="item", ordinal="id")
-        to_files(out, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+        replayed_items(stream.withColumn("over", F.lit(False)), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "check"),
+                       owner=["k"], tick="t", kind="kind", item="item", ordinal="id", ended="over").awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     log, _ = plain_replay(rows)
-    assert sorted((r.owner, r.ord, r.step, r.item, r.held) for r in got) == sorted(log)
+    assert sorted((r.k, r.id, r.step, r.item, r.held) for r in got) == sorted(log)
+
+
+def test_stream_replay_forgets_an_ended_owner(spark, tmp_path):
+    schema = "k string, t long, kind string, item long, id long, over boolean"
+    for rows in ([("a", 1, "ITEM_PURCHASED", 7, 1, None), ("b", 1, "ITEM_PURCHASED", 7, 2, None)], [("a", 2, "GAME_END", None, 3, True)],
+                 [("a", 3, "ITEM_UNDO", None, 4, None), ("b", 3, "ITEM_UNDO", None, 5, None), ("a", 4, "ITEM_PURCHASED", 7, 6, None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        replayed_items(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "check"),
+                       owner=["k"], tick="t", kind="kind", item="item", ordinal="id", ended="over").awaitTermination()
+    got = sorted((r.k, r.id, r.item, r.held) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [("a", 1, 7, 1), ("a", 6, 7, 1), ("b", 2, 7, 1), ("b", 5, 7, 0)]
