@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.functions.values import epoch_seconds, or_default, safe_ratio
-from chronofold.operators.grids import missing
+from chronofold.operators.grids import leftovers_or_fail, missing
 from chronofold.operators.select import last_per_key
+from chronofold.session import written
 from chronofold.sources.landing import flatten_entries
 from chronofold.sources.tables import TableSpec, TableStore, struct
 
@@ -31,8 +34,10 @@ def player_rank_spec() -> TableSpec:
     )
 
 
-def ladder_batch(regular: DataFrame, elite: DataFrame | None, fetched_at: Column) -> DataFrame:
-    """Entries of regular and elite pages, the latest per player.
+def ladder_batch(
+    regular: DataFrame, elite: DataFrame | None, fetched_at: Column, unit: Sequence[str] = ("day", "server", "tier", "division")
+) -> DataFrame:
+    """Entries of regular and elite pages, the latest per unit of work and player.
 
     Elite pages nest their entries; an entry's own fields win over the page's.  Players move
     between pages while the ladder is read, hence the deduplication.
@@ -40,7 +45,7 @@ def ladder_batch(regular: DataFrame, elite: DataFrame | None, fetched_at: Column
     rows = regular.withColumn("timestamp", fetched_at)
     if elite is not None:
         rows = rows.unionByName(flatten_entries(elite).withColumn("timestamp", fetched_at), allowMissingColumns=True)
-    return last_per_key(rows, ["puuid"], "timestamp", "leagueId", "leaguePoints", "wins", "losses")
+    return last_per_key(rows, [*unit, "puuid"], "timestamp", "leagueId", "leaguePoints", "wins", "losses")
 
 
 def clean_ranks(raw: DataFrame) -> DataFrame:
@@ -68,17 +73,19 @@ def in_window(df: DataFrame, start: str, end: str, column: str = "timestamp") ->
 
 
 def clean_partition(store: TableStore, raw: DataFrame, required: DataFrame, server: str, start: str, end: str,
-                    table: str = "fact_player_rank") -> DataFrame:
-    """Clean and upsert what one day and server still lack; returns the cells nobody landed.
+                    table: str = "fact_player_rank") -> None:
+    """Clean and upsert what one day and server still lack; raises if a required cell has not landed.
 
-    ``required`` holds the (tier, division) cells of the ladder, ``raw`` the landed entries.
+    ``required`` holds the (tier, division) cells of the ladder, ``raw`` the landed entries, of which those of the
+    server and of the window [start, end) count.  What has landed is stored before the failure is raised.
     """
     store.create_if_absent(table)
     done = in_window(store.scan(table, server=server), start, end).select("tier", "division").distinct()
     todo = missing(required, done, ["tier", "division"])
-    # The landed cells are known from the entries themselves; compare before the write changes `done`.
-    landed = raw.where(F.col("server") == server).select("tier", "division").distinct()
-    absent = missing(todo, landed, ["tier", "division"]).orderBy("tier", "division").collect()  # at most 31 cells
-    batch = raw.where(F.col("server") == server).join(todo, ["tier", "division"], "left_semi")
-    store.write(table, clean_ranks(batch), "upsert")
-    return store.spark.createDataFrame(absent, required.select("tier", "division").schema)
+    cleaned = clean_ranks(raw.where(F.col("server") == server))
+    batch = in_window(cleaned, start, end).join(todo, ["tier", "division"], "left_semi")
+    # Written first: the batch is read for the table and for the cells it covers, and the write changes `done`.
+    batch = written(batch, "ladder")
+    absent = written(missing(todo, batch, ["tier", "division"]), "absent")
+    store.write(table, batch, "upsert")
+    leftovers_or_fail(absent, ["tier", "division"])

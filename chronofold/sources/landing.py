@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 
 class RecordNotFound(LookupError):
@@ -62,11 +64,18 @@ class LandingZone:
         return path_parts(files.select("path"), *parts).select(*parts).distinct()
 
     def require(self, table: str, **parts) -> None:
-        """Raise :class:`RecordNotFound` unless the partition holds a file."""
-        names = [*parts]
-        same = reduce(lambda a, b: a & b, [F.col(k) == F.lit(str(v)) for k, v in parts.items()])
-        if self.landed(table, *names).where(same).isEmpty():
-            raise RecordNotFound(self.partition_path(table, **parts))
+        """Raise :class:`RecordNotFound` unless the partition, its parts in the order of :meth:`store`, holds a file.
+
+        Only its own folder is listed."""
+        path = self.partition_path(table, **parts)
+        try:
+            found = not self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = False
+        if not found:
+            raise RecordNotFound(path)
 
 
 def path_parts(df: DataFrame, *names: str, path: str = "path") -> DataFrame:
@@ -92,11 +101,15 @@ def read_object(spark: SparkSession, path: str, schema: T.StructType | str | Non
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str, ordinal: str = "_ordinal") -> DataFrame:
     """JSON-array file(s) as rows with their position.
 
-    A snapshot file is one JSON document, read by one task in document order; the generated id
-    keeps that order within and across files.
+    A snapshot file is one JSON document, which one task reads in document order whatever its size.  Files follow
+    each other by path.
     """
     rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    return rows.withColumn(ordinal, F.monotonically_increasing_id())
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    # One row per file: numbering them in one task is cheap.
+    files = placed.select("_file").distinct().withColumn("_number", F.row_number().over(Window.orderBy("_file")))
+    in_task = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(files, "_file").withColumn(ordinal, F.col("_number").cast("long") * (1 << 33) + in_task).drop("_file", "_number", "_row")
 
 
 _WIDENING = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType()]

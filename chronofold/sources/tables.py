@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,7 +88,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str, dataset: str, schema: str, specs: dict[str, TableSpec]):
         self.spark, self.root, self.specs = spark, root.rstrip("/"), specs
         self.namespace = f"{dataset}_{schema}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}` LOCATION '{self.root}/{self.namespace}'")
 
     def full_name(self, table: str) -> str:
         if table not in self.specs:
@@ -157,12 +158,15 @@ class TableStore:
         writer.parquet(location)
         name = self.full_name(table)
         if spec.partition_by:
-            # Partitions are registered in the catalog, so the table is declared anew over the folder.
-            self.spark.sql(f"DROP TABLE {name}")
+            # Partitions are registered in the catalog: a table over the new folder is made ready under another name, then takes the
+            # old one's place in two catalog calls.
+            fresh = f"`{self.namespace}`.`{table}_{uuid.uuid4().hex[:8]}`"
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored_schema())
             layout = ", ".join(f"`{c}`" for c in spec.partition_by)
-            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{location}'")
-            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+            self.spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{location}'")
+            self.spark.sql(f"MSCK REPAIR TABLE {fresh}")
+            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
         else:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
@@ -183,34 +187,21 @@ class TableStore:
         if not set(parts) <= set(keys):
             # A key may have moved: the partition that holds its old row has to be rewritten too.
             touched = touched.unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts))
-        # Partition values only: as many rows as partitions the batch touches.
-        touched_rows = touched.distinct().collect()
-        if not touched_rows:
-            return
-        in_touched = reduce(
-            lambda a, b: a | b,
-            [reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(r[p])) for p in parts]) for r in touched_rows],
-        )
-        result = merged(target.where(in_touched), batch, keys)
+        touched = written(touched.distinct(), "touched")
+        old = _in_partitions(target, touched, parts)
+        rest = old.join(batch.select(*keys), keys, "left_anti")
+        # Dynamic overwrite leaves a partition alone when the result has no row for it; these lose their last row.
+        emptied = _without_partitions(touched, rest.unionByName(batch).select(*parts).distinct(), parts).collect()
         columns = self.schema_of(table).names
         previous = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            _laid_out(result, spec).select(*columns).write.insertInto(self.full_name(table), overwrite=True)
+            _laid_out(rest.unionByName(batch), spec).select(*columns).write.insertInto(self.full_name(table), overwrite=True)
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-        # Dynamic overwrite leaves a partition alone when the result has no row for it.
-        filled = {tuple(r) for r in batch.select(*parts).distinct().collect()}
-        for row in touched_rows:
-            if tuple(row) not in filled:
-                self._drop_if_replaced(table, spec, row, batch, keys)
-
-    def _drop_if_replaced(self, table: str, spec: TableSpec, row, batch: DataFrame, keys: list[str]) -> None:
-        here = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in spec.partition_by])
-        rest = self.spark.table(self.full_name(table)).where(here).join(batch.select(*keys), keys, "left_anti")
-        if rest.limit(1).count() == 0:
-            clause = ", ".join(f"`{p}` = '{row[p]}'" for p in spec.partition_by)
-            self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS PARTITION ({clause}) PURGE")
+        if emptied:
+            clauses = ", ".join(f"PARTITION ({', '.join(f'`{p}` = {_literal(row[p])}' for p in parts)})" for row in emptied)
+            self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS {clauses} PURGE")
             self.spark.catalog.refreshTable(self.full_name(table))
 
     def _new_location(self, table: str) -> str:
@@ -222,6 +213,41 @@ def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return target.join(batch.select(*keys), [*keys], "left_anti").unionByName(batch)
 
 
+def _same_partition(left: DataFrame, right: DataFrame, parts: Sequence[str]) -> tuple[DataFrame, Column]:
+    renamed = right.withColumnsRenamed({p: f"_part_{p}" for p in parts})
+    return renamed, reduce(lambda a, b: a & b, [left[p].eqNullSafe(renamed[f"_part_{p}"]) for p in parts])
+
+
+def _in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of the touched partitions.
+
+    A join on the partition columns, so that a plan of any number of partitions stays small and only their folders are read
+    (dynamic pruning); partitions of a null value are few and found apart.
+    """
+    some_null = reduce(lambda a, b: a | b, [F.col(p).isNull() for p in parts])
+    plain = target.join(touched.where(~some_null), [*parts], "left_semi").select(*target.columns)
+    odd = target.where(some_null)
+    renamed, same = _same_partition(odd, touched.where(some_null), parts)
+    return plain.unionByName(odd.join(renamed, same, "left_semi"))
+
+
+def _without_partitions(touched: DataFrame, present: DataFrame, parts: Sequence[str]) -> DataFrame:
+    renamed, same = _same_partition(touched, present, parts)
+    return touched.join(renamed, same, "left_anti")
+
+
+def _literal(value) -> str:
+    """A partition value as SQL."""
+    if value is None:
+        return "null"
+    if isinstance(value, (bool, int, float)):
+        return str(value)
+    if isinstance(value, (date, datetime)):
+        return f"{'TIMESTAMP' if isinstance(value, datetime) else 'DATE'} '{value}'"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of a partition together and sorted inside files, nulls last.
 

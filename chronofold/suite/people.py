@@ -108,19 +108,27 @@ def entity_aliases(t: Tables) -> DataFrame:
     return build_aliases(players(t), redirects(t), team_records(t))
 
 
-@query("J20", _PLAYERS + """
-, figures AS (SELECT page, coalesce(nullif(name, ''), nullif(id, ''), page) AS canonical FROM players
-  QUALIFY row_number() OVER (PARTITION BY page ORDER BY ordinal) = 1)
-SELECT DISTINCT p.id AS name, 'person' AS entity_type, f.page AS entity_id, f.canonical AS canonical_name
-FROM players p JOIN figures f ON f.page = p.page WHERE p.id <> ''
+@query("J20", "WITH " + _PLAYERS.split("WITH", 1)[1] + ", " + _TEAMS + """
+, stated AS (
+  SELECT page AS alias, page AS entity_id, 'person' AS entity_type FROM players UNION SELECT id, page, 'person' FROM players
+  UNION SELECT name, page, 'person' FROM players UNION SELECT alphabet, page, 'person' FROM players
+  UNION SELECT id, CASE WHEN ordinal % 7 > 0 THEN page END, 'person' FROM players WHERE role = 'BUILDING'
+  UNION SELECT page, page, 'team' FROM team_records UNION SELECT name, page, 'team' FROM team_records UNION SELECT short, page, 'team' FROM team_records),
+entities AS (
+  SELECT * FROM (SELECT 'person' AS entity_type, page AS entity_id, coalesce(nullif(name, ''), nullif(id, ''), page) AS canonical_name FROM players
+    QUALIFY row_number() OVER (PARTITION BY page ORDER BY ordinal) = 1)
+  UNION ALL SELECT * FROM (SELECT 'team', page, coalesce(nullif(name, ''), nullif(short, ''), page) FROM team_records
+    QUALIFY row_number() OVER (PARTITION BY page ORDER BY ordinal) = 1)),
+names AS (SELECT id AS name FROM players WHERE id <> '' UNION SELECT short FROM team_records WHERE short <> '')
+SELECT n.name, e.entity_type, e.entity_id, e.canonical_name
+FROM names n JOIN stated s ON s.alias = n.name AND s.entity_id <> '' JOIN entities e ON e.entity_type = s.entity_type AND e.entity_id = s.entity_id
 """)
 def resolved_names(t: Tables) -> DataFrame:
-    """Handles looked up in the alias index and joined to their person."""
-    people = players(t)
-    names = people.where("ID <> ''").select(F.col("ID").alias("name")).distinct()
-    aliases = build_aliases(people, redirects(t).limit(0), team_records(t))
-    found = resolve_alias(names, aliases, build_figures(people, WIKI), build_teams(team_records(t), WIKI))
-    return found.where("entity_type = 'person'").select("name", "entity_type", "entity_id", "canonical_name")
+    """Handles and short team names looked up in the alias index and joined to whom they stand for."""
+    people, records = players(t), team_records(t)
+    names = people.select(F.col("ID").alias("name")).union(records.select("Short")).where("name <> ''").distinct()
+    found = resolve_alias(names, build_aliases(people, redirects(t), records), build_figures(people, WIKI), build_teams(records, WIKI))
+    return found.select("name", "entity_type", "entity_id", "canonical_name")
 
 
 def game_records(t: Tables) -> DataFrame:
@@ -297,16 +305,27 @@ WITH ladder AS (
 
 
 @query("W3 N14 U2", """
-SELECT o_custkey::VARCHAR AS puuid, epoch(max(o_orderdate))::BIGINT AS timestamp FROM orders GROUP BY 1
+SELECT puuid, day, server, tier, division, points FROM (
+  SELECT o_custkey::VARCHAR AS puuid, o_orderdate::DATE AS day, CASE WHEN o_orderkey % 2 = 0 THEN 'kr' ELSE 'na1' END AS server, o_orderstatus AS tier,
+    substr(o_orderpriority, 1, 1) AS division, CASE WHEN o_orderkey % 3 > 0 THEN (o_orderkey % 100)::INTEGER END AS points,
+    CASE WHEN o_orderkey % 5 > 0 THEN (o_orderkey % 40)::INTEGER END AS wins, (o_orderkey % 7)::INTEGER AS losses
+  FROM orders UNION ALL
+  SELECT o_custkey::VARCHAR, o_orderdate::DATE, 'kr', o_orderstatus, '9', (o_orderkey % 100)::INTEGER, NULL, 0 FROM orders)
+QUALIFY row_number() OVER (PARTITION BY day, server, tier, division, puuid ORDER BY points DESC NULLS LAST, wins DESC NULLS LAST, losses DESC NULLS LAST) = 1
 """)
 def ladder_latest(t: Tables) -> DataFrame:
-    """Regular and elite pages united, the latest entry per player."""
-    pages = ladder_pages(t).drop("_o")
+    """Regular and elite pages united, the latest entry per day, server, cell and player."""
+    o = F.col("_o")
+    pages = ladder_pages(t).join(t.orders.select(F.col("o_orderkey").alias("_o"), F.substring("o_orderpriority", 1, 1).alias("division")), "_o")
+    pages = pages.withColumns({"day": F.to_date(F.timestamp_seconds("timestamp")), "server": F.when(o % 2 == 0, "kr").otherwise("na1"), "tier": F.col("rank")})
+    again = pages.withColumns({
+        "division": F.lit("9"), "server": F.lit("kr"), "leaguePoints": (o % 100).cast("int"), "wins": F.lit(None).cast("int"), "losses": F.lit(0)})
+    pages = pages.unionByName(again).drop("_o")
     regular = pages.where("rank <> 'P'")
     entry = F.struct(*[F.col(c) for c in pages.columns if c != "leagueId"])
     elite = pages.where("rank = 'P'").select("leagueId", F.array(entry).alias("entries"))
     fetched = F.col("timestamp")
-    return ladder_batch(regular, elite, fetched).select("puuid", "timestamp")
+    return ladder_batch(regular, elite, fetched).select("puuid", "day", "server", "tier", "division", F.col("leaguePoints").alias("points"))
 
 
 @query("P14 H4 H5 H13", _LADDER + """
@@ -349,6 +368,7 @@ def ladder_fact_table(t: Tables) -> DataFrame:
         F.lit(1_767_229_200).alias("timestamp"))
     store = store_for(t, {"fact_player_rank": player_rank_spec()})
     for _ in range(2):
-        clean_partition(store, raw, rank_cells(t.spark), "kr", "2026-01-01", "2026-01-02")
+        cells = rank_cells(t.spark).where("tier IN ('IRON', 'GOLD', 'DIAMOND') AND division = 'II'")
+        clean_partition(store, raw, cells, "kr", "2026-01-01", "2026-01-02")
     return store.scan("fact_player_rank", server="kr").groupBy("server", "tier").agg(
         F.count(F.lit(1)).alias("players"), F.sum("wins").alias("wins"))

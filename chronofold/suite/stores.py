@@ -211,6 +211,24 @@ def upserted_twice(t: Tables) -> DataFrame:
     return store.scan("orders").select(*ORDERS.schema.names)
 
 
+BY_DAY = TableSpec(
+    struct({"o_orderkey": "long"}, {"o_totalprice": "double", "day": "date"}), keys=("o_orderkey",), partition_by=("day",))
+
+
+@query("S13 S16", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  o_orderdate::DATE + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS day FROM orders
+""")
+def upserted_by_day(t: Tables) -> DataFrame:
+    """Half of the orders changed in a table of a partition per day, a tenth of them moved to the next day."""
+    store, o = store_for(t, {"orders": BY_DAY}), F.col("o_orderkey")
+    orders = t.orders.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    store.write("orders", orders, "overwrite")
+    moved = F.when(o % 10 == 0, F.date_add("day", 1)).otherwise(F.col("day"))
+    store.write("orders", orders.where(o % 2 == 0).withColumns({"o_totalprice": F.col("o_totalprice") + 1, "day": moved}), "upsert")
+    return store.scan("orders", ["o_orderkey", "o_totalprice", "day"])
+
+
 @query("S12 S14 S15", """
 SELECT c_custkey, c_name, c_acctbal::FLOAT AS c_acctbal FROM customer WHERE c_acctbal > 0
 """)

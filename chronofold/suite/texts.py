@@ -130,19 +130,21 @@ def line_segments():
 
 
 @query("X2 J17", """
-WITH names AS (SELECT DISTINCT array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')[1:2], ' ') AS term,
-  min(item_id) AS entity FROM benchmark GROUP BY 1),
+WITH items AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+names AS (SELECT term, min(item_id) AS entity FROM (
+  SELECT item_id, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS term FROM items) GROUP BY 1),
 words AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 pairs AS (SELECT doc_id, unnest([{'at': i, 'term': w[i] || ' ' || w[i + 1]} for i in range(1, len(w))]) AS p FROM words),
 hits AS (SELECT doc_id, n.entity, min({'at': p.at, 'term': p.term}) AS first FROM pairs JOIN names n ON n.term = p.term GROUP BY ALL)
 SELECT doc_id, string_agg(first.term, '|' ORDER BY first.at) AS teams, count(*) AS found FROM hits GROUP BY doc_id
 """)
 def names_found(t: Tables) -> DataFrame:
-    """Two-word names of the benchmark items looked up in whole texts."""
+    """Word pairs of the whole benchmark items, as names of the first item that has them, looked up in whole texts."""
     from chronofold.plans.grounding import words_of
 
-    term = F.array_join(F.slice(words_of(F.col("text")), 1, 2), " ")
-    names = t.benchmark.groupBy(term.alias("alias")).agg(F.min("item_id").alias("entity_id"))
+    words = t.benchmark.select("item_id", words_of(F.col("text")).alias("w")).where("size(w) > 1")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    names = words.select("item_id", F.explode(pairs).alias("alias")).groupBy("alias").agg(F.min("item_id").alias("entity_id"))
     found = gazetteer_references(t.documents, names, key="doc_id", text="text", head_chars=None)
     return found.select("doc_id", F.array_join("teams", "|").alias("teams"), F.size("teams").cast("long").alias("found"))
 
