@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 
 from chronofold.llm.common import slices, text_column
 
-#: Entries of a worker's word table; a full table is emptied, so memory stays bounded.
+#: Entries of a worker's word table, of which it has two, the older one for words that come again.
 WORDS_KEPT = 300_000
 
 NO_RANK = 1 << 30
@@ -189,8 +189,10 @@ class Encoder:
         self.markers = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.library = Tokenizer.from_file(path)
         self.special_ids = {name: struct.pack("<I", i) for name, i in self.special.items()}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = dict(self.special_ids)
         self.shown: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, bytes] = {}
+        self.older_shown: dict[str, tuple[str, str]] = {}
 
     def _cut(self, run: str) -> list[bytes]:
         """The pieces of a run without white space.  Letters of younger scripts depend on the library's own
@@ -249,14 +251,18 @@ class Encoder:
         return [r for r in _GAP.split(text) if r] if _SPLIT_DIFFERS.search(text) else text.split()
 
     def runs_of(self, texts: list[str]) -> list[list[str]]:
-        """The runs of every text, all of them in the table ``known`` until the next call."""
+        """The runs of every text, all of them in the table ``known`` until the next call.
+
+        A full table becomes the older one, from which words that come again are taken over: frequent words are not merged anew."""
         split = [self._split(t) for t in texts]
         runs = set(chain.from_iterable(split))
         if len(self.known) + len(runs) > WORDS_KEPT:
-            self.known.clear()
-            self.shown.clear()
-        self.known |= self.special_ids
-        self.learn({r for r in runs if r not in self.known})
+            self.older, self.older_shown = (self.known, self.shown) if len(self.known) <= WORDS_KEPT else ({}, {})
+            self.known, self.shown = dict(self.special_ids), {}
+        new = {r for r in runs if r not in self.known}
+        again = new & self.older.keys()
+        self.known |= {r: self.older[r] for r in again}
+        self.learn(new - again)
         return split
 
     def encoded(self, texts: list[str]) -> Iterator[bytes]:
@@ -269,6 +275,9 @@ class Encoder:
         """For every text its ids as decimal numbers and its decoded text."""
         split, shown = self.runs_of(texts), self.shown
         for run in {r for r in chain.from_iterable(split) if r not in shown}:
+            if run in self.older_shown:
+                shown[run] = self.older_shown[run]
+                continue
             ids = np.frombuffer(self.known[run], "<u4").tolist()
             shown[run] = (" ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
         for runs in split:

@@ -152,7 +152,7 @@ def test_divergence_by_hand():
 
 
 def test_junk_is_rejected_and_prose_kept(spark):
-    folder = "/root/testdata/sf0.001"
+    folder = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     kept = quality.judged(docs, quality.learn_references(docs), ("doc_id",))
     both = kept.join(labels, "doc_id").filter("not base_failed").toPandas()
