@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from chronofold.llm.common import slices, text_column
+from chronofold.llm.common import mapped, slices, text_column
 
 #: Entries of a worker's word table, of which it has two, the older one for words that come again.
 WORDS_KEPT = 300_000
@@ -323,4 +323,4 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
                 )
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text_column_name).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return mapped(rows, run, SCHEMA)

@@ -27,6 +27,16 @@ _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 _BYTE_CODES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+#: Rows that travel to Python at once.
+BATCH_ROWS = 1000
+
+
+def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with batches of few rows, so that a worker never holds many long texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(fn, schema)
+
+
 def text_column(docs: DataFrame, column: str = "text"):
     """The text with null as the empty string."""
     return F.coalesce(docs[column].cast("string"), F.lit(""))

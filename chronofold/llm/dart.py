@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import gram_hashes, mixed, slices, span_hashes, text_column, utf8, words
+from chronofold.llm.common import gram_hashes, mapped, mixed, slices, span_hashes, text_column, utf8, words
 from chronofold.llm.graph import components
 from chronofold.session import written
 
@@ -129,7 +129,7 @@ def _banded(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(bands[some].ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), lists], names=["doc_id", "digest", "bands"])
 
-    return docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return mapped(docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text"), run, "doc_id long, digest binary, bands array<long>")
 
 
 def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -162,7 +162,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
                             found.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[found], pa.int64()), pa.array(leaders[found], pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return mapped(dealt, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import arrow, slices
+from chronofold.llm.common import arrow, mapped, slices
 
 #: About so many pages are learned from, chosen by a hash of address and page.
 SAMPLE_PAGES = 2000
@@ -271,7 +271,7 @@ def train(pages: DataFrame, url: str = "url", page: str = "html") -> Model:
             keys = list(sums)
             yield arrow({"what": [k[0] for k in keys], "up": [k[1] for k in keys], "state": [k[2] for k in keys], "n": list(sums.values())}, kinds)
 
-    summed = sample.mapInArrow(count, "what string, up int, state int, n long").groupBy("what", "up", "state").agg(F.sum("n").alias("n"))
+    summed = mapped(sample, count, "what string, up int, state int, n long").groupBy("what", "up", "state").agg(F.sum("n").alias("n"))
     top = summed.orderBy(F.desc("n"), "what", "up", "state").limit(MOST_FEATURES).collect()
     return Model.learned({(r["what"], r["up"], r["state"]): r["n"] for r in top})
 
@@ -294,4 +294,4 @@ def extracted(pages: DataFrame, model: Model | None = None, page_id: str = "page
                     names=["page_id", "url", "text", "n_chars"],
                 )
 
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return mapped(rows, run, "page_id long, url string, text string, n_chars long")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import arrow, mixed, slices, text_column
+from chronofold.llm.common import arrow, mapped, mixed, slices, text_column
 
 #: Buckets of the n-gram hash; the matrix holds this many doubles for each language.
 BUCKETS = 1 << 16
@@ -25,6 +25,8 @@ MOST_LANGUAGES = 500
 SMOOTHING = 0.05
 UNKNOWN = "und"
 
+#: Bytes of text whose n-grams are held at once.
+CHUNK = 1 << 19
 _PARTS = 8
 _COUNTS = {"lang": pa.string(), "bucket": pa.int32(), "n": pa.int64()}
 
@@ -106,7 +108,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=CHUNK):
                 langs, texts = part.column("lang").to_pylist(), part.column("text").to_pylist()
                 buckets, owners = ngrams(texts)
                 for name in set(langs):
@@ -116,7 +118,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text:
             at = np.flatnonzero(n)
             yield arrow({"lang": [name] * len(at), "bucket": at, "n": n[at]}, _COUNTS)
 
-    summed = sample.select("lang", "text").mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    summed = mapped(sample.select("lang", "text"), count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     names = tuple(sorted(sizes))
     counts = np.zeros((len(names), BUCKETS))
     counts[[names.index(x) for x in summed["lang"]], summed["bucket"]] = summed["n"]
@@ -129,17 +131,19 @@ def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str) ->
     """Columns ``k0``, ``k1`` ... for those kept, ``lang_pred`` and ``score``; no outer name can clash with these."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], text_column(docs, text).alias("text"))
+    # A text that is kept anyway travels once.
+    source = f"k{keep.index(text)}" if text in keep else "text"
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], *([] if text in keep else [docs[text].alias("text")]))
     fields = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                found, sure = shared.value.predict(part.column("text").to_pylist())
+            for part in slices(batch, source, CHUNK):
+                found, sure = shared.value.predict([t or "" for t in part.column(source).cast(pa.string()).to_pylist()])
                 columns = [*[part.column(n) for n in names], pa.array(found, pa.string()), pa.array(sure, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
 
-    return rows.mapInArrow(score, ", ".join([*fields, "lang_pred string", "score double"]))
+    return mapped(rows, score, ", ".join([*fields, "lang_pred string", "score double"]))
 
 
 def predict(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str = "text") -> DataFrame:

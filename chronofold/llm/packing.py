@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.bpe import Encoder
-from chronofold.llm.common import slices, text_column
+from chronofold.llm.common import mapped, slices, text_column
 from chronofold.session import written
 
 SEQUENCE_TOKENS = 4096
@@ -154,7 +154,7 @@ def pieces(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
                 )
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return mapped(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def packed(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text", capacity: int = SEQUENCE_TOKENS) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import mixed, slices, sliding_argmin, text_column, utf8
+from chronofold.llm.common import mapped, mixed, slices, sliding_argmin, text_column, utf8
 from chronofold.session import written
 
 #: An anchor in more texts than this is split further before its segments are gathered.
@@ -98,7 +98,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                 keys = pa.ListArray.from_arrays(pa.array(at), pa.array((key | twice.astype(np.uint64)).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), keys], names=["id", "digest", "keys"])
 
-    anchors = written(rows.mapInArrow(scan, "id long, digest binary, keys array<long>"), "anchors")
+    anchors = written(mapped(rows, scan, "id long, digest binary, keys array<long>"), "anchors")
     firsts = written(anchors.groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "firsts")
     one = anchors.select(F.xxhash64("digest").alias("text_key"), F.explode("keys").alias("k")).select(
         "text_key", F.col("k").bitwiseAND(F.lit(-2)).alias("key"), F.col("k").bitwiseAND(F.lit(1)).alias("twice")
@@ -132,7 +132,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                         names=["key", "code", "id", "first", "windows", "piece"],
                     )
 
-    segments = written(rows.join(hits, ["id", "digest"]).select("id", "text", "wanted", "hot").mapInArrow(
+    segments = written(mapped(rows.join(hits, ["id", "digest"]).select("id", "text", "wanted", "hot"), 
         emit, "key long, code long, id long, first int, windows int, piece binary"), "segments")
     settle(docs)
     distinct = segments.groupBy("key", "code").agg(
@@ -165,7 +165,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
             if rows_.num_rows:
                 yield solved(rows_)
 
-    answers = distinct.mapInArrow(compare, "key long, code long, low_id long, n long, starts array<int>, ends array<int>")
+    answers = mapped(distinct, compare, "key long, code long, low_id long, n long, starts array<int>, ends array<int>")
     answers = written(answers, "answers")
     span = cut.window - 1
     found = segments.select("key", "code", "id", "first", "windows").join(answers, ["key", "code"])

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import gram_hashes, mixed, slices, span_hashes, text_column, utf8, words
+from chronofold.llm.common import gram_hashes, mapped, mixed, slices, span_hashes, utf8, words
 from chronofold.llm.passages import LAST_ID, Segments, anchored, identified, kept_segments, merged_runs, repeated_units
 
 WINDOW = 13
@@ -100,7 +100,7 @@ def locate(keys: np.ndarray, pieces: list[bytes], ids: np.ndarray, window: int =
 
 def _stay(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]:
     """For every row the starts and ends of its words, which of them stay, and its text."""
-    data, offsets = utf8(part.column("text"))
+    data, offsets = utf8(part.column("text"))  # a null text is empty
     starts, ends, owner = words(data, offsets)
     bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
     whole = data.tobytes()
@@ -116,12 +116,12 @@ def _stay(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _searched(docs: DataFrame, keep: tuple[str, ...], id_column: str, text: str) -> DataFrame:
-    """``k0``, ``k1`` ... for the columns kept, ``doc_id``, ``text`` and what of it is repeated (``later``, ``runs``)."""
+    """``k0``, ``k1`` ... for the columns kept but the text, ``doc_id``, ``text`` and what of it is repeated (``later``, ``runs``)."""
     info = repeated_units(identified(docs, id_column, text), WordCutter(), locate, same_text=False)
     whole = docs.select(
-        *[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce(docs[id_column].cast("long"), F.lit(LAST_ID)).alias("id"), text_column(docs, text).alias("text")
+        *[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce(docs[id_column].cast("long"), F.lit(LAST_ID)).alias("id"), docs[text].cast("string").alias("text")
     )
-    joined = whole.withColumn("digest", F.unhex(F.md5("text"))).join(info, ["id", "digest"])
+    joined = whole.withColumn("digest", F.unhex(F.md5(F.coalesce("text", F.lit(""))))).join(info, ["id", "digest"])
     doc_id = F.when(F.col("id") < LAST_ID, F.col("id")).alias("doc_id")
     return joined.select(*[f"k{i}" for i in range(len(keep))], doc_id, "text", (F.col("first_id") < F.col("id")).alias("later"), "runs")
 
@@ -148,7 +148,7 @@ def without_passages(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                     names=["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
-    return _searched(docs, (), id_column, text).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return mapped(_searched(docs, (), id_column, text), run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def trimmed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: str = "n_chars") -> DataFrame:
@@ -157,18 +157,19 @@ def trimmed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size
     White space before a removed run stays and that after it goes; a text that loses nothing is unchanged, a null one stays null.  ``size``, where there is
     such a column, is brought up to date.  A row goes if it has lost words and none is left.
     """
-    keep = tuple(docs.columns)
+    keep = tuple(c for c in docs.columns if c != text)
     names = [f"k{i}" for i in range(len(keep))]
     fields = [f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts, empty = [], []
-                for starts, ends, stay, whole in _stay(part):
+                texts, empty, changed = [], [], []
+                for own, (starts, ends, stay, whole) in zip(part.column("text"), _stay(part), strict=True):
                     empty.append(len(stay) > 0 and not stay.any())
-                    if stay.all():
-                        texts.append(whole.decode())
+                    changed.append(not stay.all())
+                    if not changed[-1]:
+                        texts.append(own.as_py())
                         continue
                     edge = np.flatnonzero(np.diff(np.r_[True, stay, True].astype(np.int8)))
                     pieces, at = [], 0
@@ -177,14 +178,13 @@ def trimmed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", size
                         at = starts[after] if after < len(starts) else len(whole)
                     texts.append(b"".join([*pieces, whole[at:]]).decode())
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(n) for n in names], pa.array(texts, pa.string()), pa.array(empty, pa.bool_())], names=[*names, "trimmed", "empty"]
+                    [*[part.column(n) for n in names], pa.array(texts, pa.string()), pa.array(empty, pa.bool_()), pa.array(changed, pa.bool_())],
+                    names=[*names, "trimmed", "empty", "changed"],
                 )
 
-    out = _searched(docs, keep, id_column, text).mapInArrow(run, ", ".join([*fields, "trimmed string, empty boolean"])).filter("not empty")
-    own = F.col(f"k{keep.index(text)}")
-    # A null text counts as empty in the search and stays null.
-    fresh = {text: F.when(own.isNotNull(), F.col("trimmed"))}
+    out = mapped(_searched(docs, keep, id_column, text), run, ", ".join([*fields, "trimmed string, empty boolean, changed boolean"])).filter("not empty")
+    fresh = {text: F.col("trimmed")}
     if size in keep:
-        changed = own.isNotNull() & (F.col("trimmed") != own)
-        fresh[size] = F.when(changed, F.char_length("trimmed").cast(docs.schema[size].dataType)).otherwise(F.col(f"k{keep.index(size)}"))
-    return out.select(*[fresh.get(c, F.col(n)).alias(c) for c, n in zip(keep, names, strict=True)])
+        at = F.col(f"k{keep.index(size)}")
+        fresh[size] = F.when(F.col("changed"), F.char_length("trimmed").cast(docs.schema[size].dataType)).otherwise(at)
+    return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"k{keep.index(c)}").alias(c) for c in docs.columns])

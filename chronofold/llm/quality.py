@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import SPACE, arrow, gram_hashes, slices, span_hashes, text_column, utf8, words
+from chronofold.llm.common import SPACE, arrow, gram_hashes, mapped, slices, span_hashes, text_column, utf8, words
 from chronofold.session import written
 
 #: Common words of a reference.
@@ -167,7 +167,7 @@ def learn_references(docs: DataFrame, lang: str = "lang", text: str = "text") ->
                 yield arrow({"lang": np.array(names, object)[o], "word": word[at : at + (1 << 16)].view(np.int64), "slot": np.full(len(o), -1), "n": n[at : at + (1 << 16)]}, kind)
 
         for batch in batches:
-            for part in slices(batch, limit=8 << 20):
+            for part in slices(batch, limit=4 << 20):
                 data, offsets = utf8(part.column("text"))
                 langs = part.column("lang").to_pylist()
                 for name in set(langs):
@@ -188,7 +188,7 @@ def learn_references(docs: DataFrame, lang: str = "lang", text: str = "text") ->
         for name, sums in chars.items():
             yield arrow({"lang": [name] * CHAR_CLASSES, "word": [0] * CHAR_CLASSES, "slot": range(CHAR_CLASSES), "n": sums}, kind)
 
-    counts = rows.mapInArrow(count, "lang string, word long, slot int, n long").groupBy("lang", "word", "slot").agg(F.sum("n").alias("n"))
+    counts = mapped(rows, count, "lang string, word long, slot int, n long").groupBy("lang", "word", "slot").agg(F.sum("n").alias("n"))
     ranked = written(counts, "word-counts").withColumn("is_word", F.col("slot") < 0)
     # The rank is cut to its first places in each task before the shuffle.
     place = F.row_number().over(Window.partitionBy("lang", "is_word").orderBy(F.desc("n"), "word", "slot"))
@@ -221,14 +221,15 @@ def _judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...],
     """Columns ``k0``, ``k1`` ... for those kept and the fields of :data:`FIELDS`; no outer name can clash with these."""
     shared = docs.sparkSession.sparkContext.broadcast(references)
     names = [f"k{i}" for i in range(len(keep))]
-    rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], text_column(docs, text).alias("text"))
+    source = f"k{keep.index(text)}" if text in keep else "text"
+    rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], *([] if text in keep else [docs[text].alias("text")]))
     kinds = {"n_words": "long", "word_chars": "long", "n_symbols": "long", "n_dup_lines": "long", "n_repeat_words": "long",
              "base_failed": "boolean", "kept": "boolean", "char_distance": "double", "word_distance": "double"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                column = part.column("text")
+            for part in slices(batch, source):
+                column = pc.fill_null(part.column(source).cast(pa.large_string()), "")
                 data, offsets = utf8(column)
                 got = base_counts(column.to_pylist(), data, offsets)
                 by_chars, by_words, n_letter_words = distances(data, offsets, shared.value)
@@ -239,7 +240,7 @@ def _judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...],
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *[pa.array(got[k], t) for k, t in FIELDS.items()]], names=[*names, *FIELDS])
 
     fields = ", ".join([*[f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(keep, names, strict=True)], *[f"{k} {t}" for k, t in kinds.items()]])
-    return rows.mapInArrow(run, fields)
+    return mapped(rows, run, fields)
 
 
 def judged(docs: DataFrame, references: list[Reference], keep: tuple[str, ...], text: str = "text") -> DataFrame:

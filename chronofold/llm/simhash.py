@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import gram_hashes, slices, span_hashes, text_column, utf8, words
+from chronofold.llm.common import gram_hashes, mapped, slices, span_hashes, text_column, utf8, words
 from chronofold.session import written
 
 BITS = 64
@@ -62,7 +62,7 @@ def _printed(docs: DataFrame) -> DataFrame:
                 prints = fingerprints(*utf8(part.column("text")))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints.view(np.int64))], names=["doc_id", "text", "print"])
 
-    return docs.mapInArrow(run, "doc_id long, text string, print long")
+    return mapped(docs, run, "doc_id long, text string, print long")
 
 
 def with_next(rows: DataFrame, order: str, columns: tuple[str, ...]) -> DataFrame:
@@ -150,7 +150,7 @@ def fingerprinted(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
                     names=["doc_id", "n_chars", "edited_sha256", "print", "edited", "next"],
                 )
 
-    out = written(paired.select("doc_id", "text", "print", "next_text", "next_print").mapInArrow(
+    out = written(mapped(paired.select("doc_id", "text", "print", "next_text", "next_print"), 
         edit, "doc_id long, n_chars long, edited_sha256 string, print long, edited long, next long"), "fingerprints")
     prints = out.groupBy("print").agg(F.count(F.lit(1)).alias("n"))
     wanted = out.filter(F.col("doc_id") % every == 0).select("print").distinct()

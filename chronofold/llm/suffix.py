@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import mixed, prefix_codes, slices, span_hashes, utf8
+from chronofold.llm.common import mapped, mixed, prefix_codes, slices, span_hashes, utf8
 from chronofold.llm.passages import LAST_ID, Segments, anchored, identified, kept_segments, merged_runs, repeated_units
 
 WINDOW = 400
@@ -174,4 +174,4 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
                 )
 
-    return joined.mapInArrow(run, FIELDS)
+    return mapped(joined, run, FIELDS)
