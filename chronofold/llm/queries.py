@@ -11,6 +11,36 @@ from chronofold.llm import bpe, dart, html, langid, packing, phrases, quality, s
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+#: Words of every text, one row per word with its place.
+_WORDS = r"""
+words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
+
+#: Classes of texts that are equal or share four fifths of their 5-word shingles.
+_NEAR = "WITH RECURSIVE" + _WORDS + """,
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b WHERE 5 * p.n >= 4 * (x.n + y.n - p.n)
+  UNION SELECT min(doc_id) OVER (PARTITION BY coalesce(text, '')), doc_id FROM documents),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT doc_id AS node, doc_id AS other FROM documents UNION SELECT r.node, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT node AS doc_id, min(other) AS class_id FROM reached GROUP BY node
+"""
+
+#: Words outside all 13-word windows that a smaller document has.
+_PHRASES = "WITH" + _WORDS + """,
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM windows JOIN firsts USING (s) WHERE first < doc_id),
+each_word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM words),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS t FROM each_word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -63,7 +93,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(table(spark, folder, "pages"))
 
 
-@registered("op6_dart_minhash")
+@registered("op6_dart_minhash", _NEAR)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return dart.near_duplicates(table(spark, folder, "documents"))
@@ -81,7 +111,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents"), TOKENIZER)
 
 
-@registered("op9_repeated_phrase_automata")
+@registered("op9_repeated_phrase_automata", _PHRASES)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that a document of a smaller id has."""
     return phrases.without_passages(table(spark, folder, "documents"))
