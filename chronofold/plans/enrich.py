@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.operators.counts import pivoted_counts, pivoted_latest
+from chronofold.operators.counts import pivoted_latest
 from chronofold.operators.lanes import Lane, last_known, last_known_at
-from chronofold.operators.select import stratified_split, top_per_key
+from chronofold.operators.select import stratified_split
 from chronofold.plans.schemas import PLAYERS
 from chronofold.sources.landing import head
 
@@ -155,30 +155,28 @@ def snapshot(
 ) -> DataFrame:
     """State and counts of every match that lasted until ``at``, one row each.
 
-    Three narrow reads of the events meet on the match: its length and next winner, its last row
-    before the cut (map tasks forward one row per match), and the counts of the four event types that are
-    counted, all rules in one aggregation.
+    One aggregation by match takes its length, its next winner, the last row before the cut and the counts of all rules.  Behind the
+    windows of the enrichment the rows already lie together by match, so the aggregation adds no exchange.
     """
     order = F.struct("timestamp", "eventId")
     before = F.col("timestamp") <= at + tolerance
-    later = F.min_by("winningTeam", F.when(~before & F.col("winningTeam").isNotNull(), order))
-    lasting = events.groupBy("matchId").agg(F.max("timestamp").alias("_length"), later.alias("_winner"))
-
     state = [*SNAPSHOT_COLUMNS, "winningTeam", *[f"{c}_{p}" for p in PLAYERS for c in prefixes]]
-    rows = events.where(before).select("matchId", "eventId", *state)
-    last = top_per_key(rows, ["matchId"], [F.col("timestamp").desc(), F.col("eventId").desc()])
-
     rules = snapshot_rules()
-    who = {name: F.col("victimId" if name == "deaths" else "participantId") for name in rules}
-    counted = events.where(before & F.col("type").isin(*COUNTED_EVENTS))
-    counts = pivoted_counts(counted, ["matchId"], rules, PLAYERS, who)
-    names = [f"{name}_{p}" for name in rules for p in PLAYERS]
-
-    joined = last.join(lasting.where(F.col("_length") >= at), "matchId").join(counts, "matchId", "left")
-    return joined.select(
-        "matchId", *[c for c in state if c != "winningTeam"],
-        F.coalesce("winningTeam", "_winner").alias("winningTeam"),
-        *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names],
+    counted = before & F.col("type").isin(*COUNTED_EVENTS)
+    counts = {
+        f"{name}_{p}": F.count_if(counted & rule & (F.col("victimId" if name == "deaths" else "participantId") == p))
+        for name, rule in rules.items() for p in PLAYERS
+    }
+    found = events.groupBy("matchId").agg(
+        F.max("timestamp").alias("_length"),
+        F.min_by("winningTeam", F.when(~before & F.col("winningTeam").isNotNull(), order)).alias("_winner"),
+        F.max_by(F.struct(*state), F.when(before, order)).alias("_last"),
+        *[count.alias(name) for name, count in counts.items()],
+    )
+    lasting = found.where((F.col("_length") >= at) & F.col("_last").isNotNull())
+    return lasting.select(
+        "matchId", *[F.col(f"_last.{c}").alias(c) for c in state if c != "winningTeam"],
+        F.coalesce("_last.winningTeam", "_winner").alias("winningTeam"), *counts,
     )
 
 

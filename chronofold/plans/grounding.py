@@ -270,8 +270,17 @@ def grounding_text(title: Column, content: Column) -> Column:
     return F.regexp_replace(both, r"^\s+|\s+$", "")
 
 
-def registry_rows(documents: DataFrame, *, source_type: Column, content: str, ingested_at: Column | None = None) -> DataFrame:
-    """Registry rows of documents that carry ``match_id`` and ``patch`` (null when not linked)."""
+def read_once(documents: DataFrame, content: str) -> DataFrame:
+    """Documents with what the registry takes from the content (``_hash``, ``_hint``) instead of the content.
+
+    Both are computed in the scan, so that no text has to follow its row through a join."""
+    return documents.withColumns(
+        {"_hash": sha256(F.col(content)), "_hint": patch_hint(F.col("origin_uri"), F.col(content))}
+    ).drop(content)
+
+
+def registry_rows(documents: DataFrame, *, source_type: Column, ingested_at: Column | None = None) -> DataFrame:
+    """Registry rows of documents out of :func:`read_once` that carry ``match_id`` and ``patch`` (null when not linked)."""
     facts = {
         name: F.create_map(*[F.lit(x) for kind, values in SOURCE_PROPERTIES.items() for x in (kind, values[i])])
         for i, name in enumerate(("tier", "risk"))
@@ -286,13 +295,13 @@ def registry_rows(documents: DataFrame, *, source_type: Column, content: str, in
         "title",
         "published_at",
         (iso_now() if ingested_at is None else ingested_at).alias("ingested_at"),
-        sha256(F.col(content)).alias("raw_hash"),
+        F.col("_hash").alias("raw_hash"),
         F.element_at(facts["tier"], source_type).alias("reliability_tier"),
         F.element_at(facts["risk"], source_type).alias("privacy_risk_level"),
         F.when(linked, "grounded").otherwise("ungrounded").alias("processing_status"),
         "match_id",
         F.when(linked, F.col("patch")).alias("patch"),
-        F.when(~linked, patch_hint(F.col("origin_uri"), F.col(content))).alias("patch_hint"),
+        F.when(~linked, F.col("_hint")).alias("patch_hint"),
     )
 
 
@@ -315,8 +324,8 @@ def ground_documents(
         references, candidates, key="source_id", published="_published", teams="teams", event="event",
         keep=("match_id", "patch"), max_rows=max_rows,
     ).select("source_id", "match_id", "patch")
-    rows = bodies.join(linked, "source_id", "left")
-    return registry_rows(rows, source_type=F.lit("transcript"), content="_content", ingested_at=ingested_at)
+    rows = read_once(bodies, "_content").join(linked, "source_id", "left")
+    return registry_rows(rows, source_type=F.lit("transcript"), ingested_at=ingested_at)
 
 
 def registry_metrics(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from chronofold.functions.values import (
     compact_date, epoch_millis, lenient_timestamp, map_bump, micros, seconds_apart, year_month,
 )
 from chronofold.plans.grounding import (
-    REGISTRY, gazetteer_references, generated_references, ground_documents, link, registry_metrics, registry_rows,
+    REGISTRY, gazetteer_references, generated_references, ground_documents, link, read_once, registry_metrics, registry_rows,
     transcript_content,
 )
 from chronofold.suite.base import Tables, query
@@ -273,5 +273,5 @@ def registered_pages(t: Tables) -> DataFrame:
         F.col("page_id").alias("source_id"), F.col("url").alias("origin_uri"), none.alias("platform"), none.alias("author_name"),
         none.alias("title"), none.alias("published_at"), F.when(F.col("page_id") % 3 == 0, "m").alias("match_id"), none.alias("patch"), "html",
         F.element_at(kinds, (F.col("page_id") % 4 + 1).cast("int")).alias("kind"))
-    rows = registry_rows(pages, source_type=F.col("kind"), content="html", ingested_at=F.lit("now"))
+    rows = registry_rows(read_once(pages, "html"), source_type=F.col("kind"), ingested_at=F.lit("now"))
     return rows.select("source_id", "source_type", "raw_hash", "reliability_tier", "privacy_risk_level", "processing_status")

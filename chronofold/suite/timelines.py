@@ -16,7 +16,6 @@ from chronofold.plans.matches import (
     basic_tables, eligible, match_rows, not_yet_done, participant_rows, read_match_infos, read_timelines,
 )
 from chronofold.plans.timeline import timeline_events
-from chronofold.session import written
 from chronofold.sources.landing import LandingZone
 from chronofold.suite.base import Tables, query
 
@@ -338,8 +337,7 @@ def match_snapshot(t: Tables) -> DataFrame:
     """Snapshot of every match at two minutes."""
     tables = basic_tables(match_documents(t), timeline_documents(t), death_timer=death_timer)
     wide = enriched_events(tables["events"], tables["participants"], tables["matches"])
-    # The wide events are a stored table; the snapshot reads it by columns.
-    return snapshot(written(wide.select(*snapshot_inputs()), "events"), at=120_000).select(
+    return snapshot(wide.select(*snapshot_inputs()), at=120_000).select(
         "matchId", "timestamp", "winningTeam", "kills_1", "deaths_8", "assists_4", "FIRE_DRAGON_2", "OUTER_TURRET_9", "xp_3"
     )
 
