@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.functions.values import partition_parts
-from chronofold.operators.grids import expand, in_all, missing, rank_grid
+from chronofold.operators.grids import SERVERS, expand, in_all, missing, rank_grid, servers
 from chronofold.sources.export import ExportSpec, export_tables, split_manifest, store_splits
 from chronofold.sources.landing import (
     LandingZone, by_keys, flatten_entries, head, landed_query, object_name, path_parts, read_object, union_relaxed,
 )
 from chronofold.sources.tables import TableSpec, TableStore, conform, struct
+from chronofold.streaming.flows import run_partition
 from chronofold.suite.base import Tables, query
 
 ORDERS = TableSpec(
@@ -211,6 +212,30 @@ def upserted_twice(t: Tables) -> DataFrame:
     return store.scan("orders").select(*ORDERS.schema.names)
 
 
+@query("K7 S13", "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice, o_orderpriority, o_orderstatus FROM orders")
+def partitions_built(t: Tables) -> DataFrame:
+    """A table filled by one batch per partition, the last batch repeated."""
+    store = store_for(t, {"orders": ORDERS})
+    for status in ("F", "O", "P", "P"):
+        run_partition(t.orders, store, "orders", lambda df: df.withColumn("o_totalprice", F.col("o_totalprice") * 2), o_orderstatus=status)
+    return store.scan("orders").select(*ORDERS.schema.names)
+
+
+_SERVER_LIST = ", ".join(f"'{s}'" for names in SERVERS.values() for s in names)
+
+
+@query("J18 J12", f"""
+WITH placed AS (SELECT c_custkey, [{_SERVER_LIST}][c_custkey % {sum(map(len, SERVERS.values()))} + 1] AS server FROM customer)
+SELECT CASE {' '.join(f"WHEN server IN ({', '.join(repr(s) for s in names)}) THEN '{r}'" for r, names in SERVERS.items())} END AS region,
+  server, count(*) AS customers FROM placed GROUP BY ALL
+""")
+def customers_by_region(t: Tables) -> DataFrame:
+    """Customers on servers, each server looked up in the list of regions."""
+    names = F.array(*[F.lit(s) for values in SERVERS.values() for s in values])
+    placed = t.customer.select(F.element_at(names, (F.col("c_custkey") % F.size(names) + 1).cast("int")).alias("server"))
+    return placed.join(servers(t.spark), "server").groupBy("region", "server").agg(F.count(F.lit(1)).alias("customers"))
+
+
 BY_DAY = TableSpec(
     struct({"o_orderkey": "long"}, {"o_totalprice": "double", "day": "date"}), keys=("o_orderkey",), partition_by=("day",))
 

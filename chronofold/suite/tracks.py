@@ -12,7 +12,7 @@ from chronofold.operators.replay import final_items, item_changes
 from chronofold.operators.select import (
     first_per_key, first_valid, hash_split, last_per_key, shuffled, smallest_stratum, stratified_split, top_per_key,
 )
-from chronofold.plans.features import frame_pairs, interval_counts, one_hot, one_hot_either, with_interval
+from chronofold.plans.features import after_warm_up, frame_pairs, interval_counts, one_hot, one_hot_either, with_interval
 from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO
 from chronofold.suite.base import Tables, query
 
@@ -127,6 +127,18 @@ def next_view(t: Tables) -> DataFrame:
     )
 
 
+@query("P27", """
+SELECT user_id, event_id, value FROM (SELECT *, epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY user_id)) AS age FROM events)
+WHERE age > 86400000000 AND json_extract_string(props, '$.k') IS NOT NULL
+""")
+def events_after_first_day(t: Tables) -> DataFrame:
+    """Events of every user after their first day that have a number in their properties."""
+    first = t.timed_events.groupBy("user_id").agg(F.min("t").alias("since"))
+    aged = t.timed_events.join(first, "user_id").withColumns(
+        {"age": F.col("t") - F.col("since"), "k": F.get_json_object("props", "$.k")})
+    return after_warm_up(aged, ["k"], time="age", at=86_400_000_000).select("user_id", "event_id", "value")
+
+
 @query("M3 W4", """
 SELECT user_id, t AS previous_t, next_t AS current_t, value AS previous_value, next_value AS current_value FROM (
   SELECT user_id, epoch_us(ts) AS t, value, lead(epoch_us(ts)) OVER w AS next_t, lead(value) OVER w AS next_value
