@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,12 @@ from chronofold.functions.text import page_url
 from chronofold.operators.counts import most_common
 from chronofold.operators.grids import rank_cells
 from chronofold.plans.directory import (
-    Wiki, build_aliases, build_figures, build_games, build_matches, build_teams, build_tournaments, catalogue, resolve_alias,
+    CLEAN_SPECS, SNAPSHOT_FIELDS, Wiki, build_aliases, build_clean, build_figures, build_games, build_matches, build_teams, build_tournaments,
+    catalogue, resolve_alias, week_path,
 )
 from chronofold.plans.grounding import build_candidates, expand_aliases
 from chronofold.plans.ranks import clean_partition, clean_ranks, in_window, ladder_batch, player_rank_spec
-from chronofold.suite.base import Tables, query
+from chronofold.suite.base import REGISTRY, Tables, query
 from chronofold.suite.stores import store_for
 
 WIKI = Wiki("wiki", "https://wiki.example.org/")
@@ -372,3 +376,49 @@ def ladder_fact_table(t: Tables) -> DataFrame:
         clean_partition(store, raw, cells, "kr", "2026-01-01", "2026-01-02")
     return store.scan("fact_player_rank", server="kr").groupBy("server", "tier").agg(
         F.count(F.lit(1)).alias("players"), F.sum("wins").alias("wins"))
+
+
+# -- weekly jobs ----------------------------------------------------------------------------------
+
+
+def land_snapshot(t: Tables, root: str, source: str, rows: DataFrame, week: str) -> None:
+    """Records as two files in order, each one JSON array, written row by row."""
+    fields = [c for c in SNAPSHOT_FIELDS[source] if c in rows.columns]
+    lines = rows.repartitionByRange(2, "_ordinal").sortWithinPartitions("_ordinal").select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("value"))
+
+    def as_array(batches):
+        before = "["
+        for batch in batches:
+            for at in batch.index:
+                batch.loc[at, "value"] = before + batch.loc[at, "value"]
+                before = ","
+            yield batch
+        yield pd.DataFrame({"value": ["[]" if before == "[" else "]"]})
+
+    lines.mapInPandas(as_array, "value string").write.text(week_path(root, source, week))
+
+
+@query("N16 S3 S26", f"""
+SELECT 'public_figures' AS job, person_id AS id, canonical_name AS name FROM ({REGISTRY['public_figures'].sql})
+UNION ALL SELECT 'teams', team_id, canonical_name FROM ({REGISTRY['teams'].sql})
+UNION ALL SELECT 'games', game_id, patch FROM ({REGISTRY['games'].sql})
+UNION ALL SELECT 'tournaments', tournament_id, name FROM ({REGISTRY['tournaments'].sql})
+UNION ALL SELECT 'matches', match_id, tournament FROM ({REGISTRY['matches'].sql})
+UNION ALL SELECT 'entity_aliases', entity_id, alias FROM ({REGISTRY['entity_aliases'].sql})
+""")
+def weekly_jobs(t: Tables) -> DataFrame:
+    """The six weekly jobs from landed snapshots of two files each."""
+    root, week = t.scratch("snapshots"), "2026-02-02"
+    records = {
+        "players": players, "player_redirects": redirects, "teams": team_records, "scoreboard_games": game_records,
+        "tournaments": tournament_records, "match_schedule": match_records,
+    }
+    for source, make in records.items():
+        land_snapshot(t, root, source, make(t), week)
+    store = store_for(t, CLEAN_SPECS)
+    named = {
+        "public_figures": ("person_id", "canonical_name"), "teams": ("team_id", "canonical_name"), "games": ("game_id", "patch"),
+        "tournaments": ("tournament_id", "name"), "matches": ("match_id", "tournament"), "entity_aliases": ("entity_id", "alias"),
+    }
+    rows = [build_clean(t.spark, root, store, job, week, WIKI).select(F.lit(job).alias("job"), F.col(a).alias("id"), F.col(b).alias("name")) for job, (a, b) in named.items()]
+    return reduce(DataFrame.unionByName, rows)
