@@ -115,12 +115,19 @@ def timeline_documents(t: Tables) -> DataFrame:
     return read_timelines(landed(t, "match_timeline", document, F.lit("all").alias("region")))
 
 
+#: Landing zones of this process, by session, folder and table: the documents are written once.
+_LANDED: dict[tuple[str, str, str], LandingZone] = {}
+
+
 def landed(t: Tables, table: str, document: Column, region: Column) -> LandingZone:
     """The documents as JSON lines in a landing zone, one folder per region."""
-    zone = LandingZone(t.spark, t.scratch("landing"), ["match_info", "match_timeline"])
-    lines = t.customer.select(document.alias("value"), region)
-    lines.write.partitionBy("region").text(zone.table_path(table))
-    return zone
+    key = (t.spark.sparkContext.applicationId, t.folder, table)
+    if key not in _LANDED:
+        zone = LandingZone(t.spark, t.scratch("landing"), ["match_info", "match_timeline"])
+        lines = t.customer.select(document.alias("value"), region)
+        lines.write.partitionBy("region").text(zone.table_path(table))
+        _LANDED[key] = zone
+    return _LANDED[key]
 
 
 def death_timer(level: Column, minutes: Column) -> Column:

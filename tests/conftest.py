@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
