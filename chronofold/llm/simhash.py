@@ -20,6 +20,7 @@ TERM_WORDS = 5
 RADIUS, BLOCKS = 3, 6
 #: Ranges of ids that documents are sorted in, for each shuffle partition.
 RANGES_PER_PARTITION = 4
+SAMPLED_PER_RANGE = 40
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -55,43 +56,50 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(float(BITS))
 
 
-def _printed(docs: DataFrame) -> DataFrame:
+def range_bounds(ids: DataFrame, line: str) -> np.ndarray:
+    """Numbers that occur, in ascending order from the smallest on, which cut the rows into about equal ranges.
+
+    Taken from a sample by hash, of a size that depends on the number of ranges only, as a distributed sort does."""
+    count = RANGES_PER_PARTITION * int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, n = ids.agg(F.min(line), F.count(F.lit(1))).first()
+    if not n:
+        return np.zeros(0, np.int64)
+    share = int(min(1.0, SAMPLED_PER_RANGE * count / n) * (1 << 30))
+    sample = ids.filter(F.pmod(F.xxhash64(line), F.lit(1 << 30)) < share).select(line).toPandas()[line].to_numpy(np.int64)
+    cuts = np.sort(sample)[np.arange(1, count) * len(sample) // count] if len(sample) else sample
+    return np.unique(np.append(cuts, low))
+
+
+def _printed(docs: DataFrame, bounds: np.ndarray) -> DataFrame:
+    """``doc_id``, ``line``, ``text`` with the fingerprint ``print``, the ``range`` of the line and whether it is a range's ``first``."""
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 prints = fingerprints(*utf8(part.column("text")))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(prints.view(np.int64))], names=["doc_id", "text", "print"])
+                line = part.column("line").to_numpy()
+                at = np.searchsorted(shared.value, line, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(prints.view(np.int64)), pa.array(at, pa.int64()), pa.array(shared.value[at] == line)],
+                    names=["doc_id", "line", "text", "print", "range", "first"],
+                )
 
-    return mapped(docs, run, "doc_id long, text string, print long")
+    return mapped(docs, run, "doc_id long, line long, text string, print long, range long, first boolean")
 
 
-def with_next(rows: DataFrame, order: str, columns: tuple[str, ...]) -> DataFrame:
+def with_next(rows: DataFrame, order: str, columns: tuple[str, ...], ranges: int) -> DataFrame:
     """Every row with the ``columns`` of the next row in the order of a number, as ``next_...``; after the last comes the first.
 
-    The numbers are cut into ranges at values that occur; a range's first rows are also sent to the range before, as its guests, so no range needs another and
-    none holds all rows.  Rows of equal number follow each other in the order of the columns.
+    Rows have their ``range`` and whether they are of its ``first`` number.  First rows are also sent to the range before, as its guests, so no range
+    needs another and none holds all rows.  Rows of equal number follow each other in the order of the columns.
     """
-    spark = rows.sparkSession
-    count = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx(order, [i / count for i in range(count)], 20 * count).alias("cuts"), F.min(order).alias("low")).first()
-    bounds = sorted({cuts["low"], *(cuts["cuts"] or [])} - {None})
-    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    # How many bounds are not above the number, by halving.
-    placed = rows.withColumn("range", _bound_index(F.col(order), bounds))
-    is_first = F.array_contains(edges, F.col(order))
-    before = F.pmod(F.col("range") - 1, F.lit(max(1, len(bounds))))
-    guests = placed.filter(is_first).withColumn("range", before).withColumn("guest", F.lit(True))
+    own = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
+    visit = F.struct(F.pmod(F.col("range") - 1, F.lit(max(1, ranges))).alias("range"), F.lit(True).alias("guest"))
+    dealt = rows.withColumn("at", F.explode(F.when(F.col("first"), F.array(own, visit)).otherwise(F.array(own))))
+    dealt = dealt.drop("range", "first").select("*", "at.range", "at.guest").drop("at")
     line = Window.partitionBy("range").orderBy("guest", order, *columns)
-    both = placed.withColumn("guest", F.lit(False)).union(guests)
-    return both.select("*", *[F.lead(c).over(line).alias(f"next_{c}") for c in columns]).filter("not guest").drop("range", "guest")
-
-
-def _bound_index(value: Column, bounds: list[int], first: int = 0) -> Column:
-    """Number of the last bound not above a value, as nested comparisons of logarithmic depth."""
-    if len(bounds) <= 1:
-        return F.lit(first)
-    half = len(bounds) // 2
-    return F.when(value < bounds[half], _bound_index(value, bounds[:half], first)).otherwise(_bound_index(value, bounds[half:], first + half))
+    return dealt.select("*", *[F.lead(c).over(line).alias(f"next_{c}") for c in columns]).filter("not guest").drop("range", "guest")
 
 
 def block_keys(value: Column) -> list[Column]:
@@ -131,9 +139,9 @@ def fingerprinted(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     :data:`RADIUS` bits, else null.  A null text is empty.  Fingerprints are 16 hexadecimal digits.  Each text crosses the network once; repeated rows are repeated;
     other columns are ignored; an empty table gives no row.
     """
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).alias("text"))
-    lined = _printed(rows).withColumn("line", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    paired = with_next(lined, "line", ("text", "print"))
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[id_column].cast("long"), F.lit(-(1 << 63))).alias("line"), text_column(docs, text).alias("text"))
+    bounds = range_bounds(rows.select("line"), "line")
+    paired = with_next(_printed(rows, bounds), "line", ("text", "print"), len(bounds))
 
     def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
