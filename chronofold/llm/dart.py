@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from chronofold.llm.common import gram_hashes, mapped, mixed, slices, span_hashes, text_column, utf8, words
 from chronofold.llm.graph import components
-from chronofold.session import written
+from chronofold.llm.scratch import Scratch
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -173,20 +173,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     already found is not checked again.  Texts without a word are alike only if equal.  A null id has a null class;
     rows of one id and one text are one document; other columns are ignored.
     """
+    tables = Scratch(docs.sparkSession)
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).alias("text"))
-    banded = written(_banded(rows), "bands")
+    banded = tables.written(_banded(rows), "bands")
     known = banded.filter("doc_id is not null")
-    nodes = written(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
+    nodes = tables.written(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
     spots = nodes.select("node", F.explode("bands").alias("key"))
     ends = spots.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
     met = spots.join(ends.hint("merge"), "key").select("node", F.explode(F.array("first", "last")).alias("other")).filter("node != other")
-    pairs = written(met.select(F.greatest("node", "other").alias("x"), F.least("node", "other").alias("leader")).distinct(), "pairs")
+    pairs = tables.written(met.select(F.greatest("node", "other").alias("x"), F.least("node", "other").alias("leader")).distinct(), "pairs")
 
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select(F.col("leader").alias("doc_id"))).distinct()
     # Lists of candidates grow with the corpus: they are merged at every size, never sent to all tasks.
-    texts = written(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    texts = tables.written(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     nearest = pairs.groupBy("x").agg(F.min("leader").alias("leader"))
-    links = written(_similar(texts, nearest, similarity), "links")
+    links = tables.written(_similar(texts, nearest, similarity), "links")
     found = components(links)
 
     def class_of(frame: DataFrame, node: str, name: str) -> DataFrame:
@@ -194,9 +195,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         return frame.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
 
     open_pairs = class_of(class_of(pairs, "x", "x_class"), "leader", "leader_class").filter("x_class != leader_class").select("x", "leader")
-    checked = written(open_pairs.join(nearest, ["x", "leader"], "left_anti"), "open-pairs")
+    checked = tables.written(open_pairs.join(nearest, ["x", "leader"], "left_anti"), "open-pairs")
     found = components(links.union(_similar(texts, checked, similarity)))
     classes = class_of(nodes.select("digest", "node"), "node", "class_id").select("digest", "class_id")
-    return banded.select("doc_id", "digest").join(classes, "digest", "left").select(
+    out = banded.select("doc_id", "digest").join(classes, "digest", "left").select(
         "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")
     )
+    out = tables.written(out, "classes")
+    tables.drop("bands", "nodes", "pairs", "candidates", "links", "open-pairs")
+    return out

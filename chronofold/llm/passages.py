@@ -8,7 +8,6 @@ anchor, per segment or per document.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.common import mapped, mixed, slices, sliding_argmin, text_column, utf8
-from chronofold.session import written
+from chronofold.llm.scratch import Scratch
 
 #: An anchor in more texts than this is split further before its segments are gathered.
 HOT_ANCHOR = 2000
@@ -58,12 +57,6 @@ Segmenter = Callable[[np.ndarray, np.ndarray, "list[np.ndarray] | None", "list[n
 Resolver = Callable[[np.ndarray, "list[bytes]", np.ndarray], "list[tuple[list[int], list[int]]]"]
 
 
-def settle(df: DataFrame) -> None:
-    """Lets the driver collect garbage, whereupon Spark drops the shuffle files of jobs that are done."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def kept_segments(segments: Segments, wanted: list[np.ndarray]) -> np.ndarray:
     """Which segments have an anchor among those wanted of their text."""
     out = np.zeros(len(segments.key), bool)
@@ -81,6 +74,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
     that text.  ``same_text`` also counts repetitions inside a text.  ``resolve`` gets about ``batch`` segments at a time.
     """
     rows = docs.select("id", "text", F.unhex(F.md5("text")).alias("digest"))
+    tables = Scratch(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -98,20 +92,20 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                 keys = pa.ListArray.from_arrays(pa.array(at), pa.array((key | twice.astype(np.uint64)).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), keys], names=["id", "digest", "keys"])
 
-    anchors = written(mapped(rows, scan, "id long, digest binary, keys array<long>"), "anchors")
-    firsts = written(anchors.groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "firsts")
+    anchors = tables.written(mapped(rows, scan, "id long, digest binary, keys array<long>"), "anchors")
+    firsts = tables.written(anchors.groupBy("digest").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "firsts")
     one = anchors.select(F.xxhash64("digest").alias("text_key"), F.explode("keys").alias("k")).select(
         "text_key", F.col("k").bitwiseAND(F.lit(-2)).alias("key"), F.col("k").bitwiseAND(F.lit(1)).alias("twice")
     )
     recurring = one.groupBy("key").agg(
         F.min("text_key").alias("low"), F.max("text_key").alias("high"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n")
     ).filter("low < high or twice = 1" if same_text else "low < high")
-    recurring = written(recurring.select("key", (F.col("n") > HOT_ANCHOR).alias("hot")), "recurring")
+    recurring = tables.written(recurring.select("key", (F.col("n") > HOT_ANCHOR).alias("hot")), "recurring")
     hits = one.select("text_key", "key").join(recurring, "key").groupBy("text_key").agg(
         F.collect_set("key").alias("wanted"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot")
     )
-    hits = written(hits.join(firsts.withColumn("text_key", F.xxhash64("digest")), "text_key").select(F.col("first_id").alias("id"), "digest", "wanted", "hot"), "hits")
-    settle(docs)
+    hits = tables.written(hits.join(firsts.withColumn("text_key", F.xxhash64("digest")), "text_key").select(F.col("first_id").alias("id"), "digest", "wanted", "hot"), "hits")
+    tables.drop()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -132,9 +126,9 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                         names=["key", "code", "id", "first", "windows", "piece"],
                     )
 
-    segments = written(mapped(rows.join(hits, ["id", "digest"]).select("id", "text", "wanted", "hot"), 
+    segments = tables.written(mapped(rows.join(hits, ["id", "digest"]).select("id", "text", "wanted", "hot"), 
         emit, "key long, code long, id long, first int, windows int, piece binary"), "segments")
-    settle(docs)
+    tables.drop("hits", "recurring")
     distinct = segments.groupBy("key", "code").agg(
         F.min("id").alias("low_id"), F.count(F.lit(1)).alias("n"), F.max("piece").alias("piece")
     ).repartition("key").sortWithinPartitions("key")
@@ -166,7 +160,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                 yield solved(rows_)
 
     answers = mapped(distinct, compare, "key long, code long, low_id long, n long, starts array<int>, ends array<int>")
-    answers = written(answers, "answers")
+    answers = tables.written(answers, "answers")
     span = cut.window - 1
     found = segments.select("key", "code", "id", "first", "windows").join(answers, ["key", "code"])
     # Another occurrence of the whole segment repeats all of its units.
@@ -178,7 +172,9 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
     info = anchors.select("id", "digest").distinct().join(firsts, "digest").join(
         per_text.withColumnRenamed("id", "first_id"), "first_id", "left"
     )
-    return info.select("id", "digest", "copies", "first_id", "runs")
+    info = tables.written(info.select("id", "digest", "copies", "first_id", "runs"), "passages")
+    tables.drop("anchors", "firsts", "segments", "answers")
+    return info
 
 
 def merged_runs(runs: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
