@@ -127,7 +127,8 @@ def neighbours(prints: DataFrame, wanted: DataFrame, radius: int = RADIUS) -> Da
     mine, theirs = block_keys(F.col("a")), block_keys(F.col("b"))
     first_met = F.coalesce(*[F.when(x == y, F.lit(i)) for i, (x, y) in enumerate(zip(mine, theirs, strict=True))], F.lit(tables))
     near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius) & (first_met == F.col("table"))
-    met = left.join(right.withColumnRenamed("key", "other"), (F.col("key") == F.col("other")) & (F.col("table") == F.col("of")) & near)
+    # Both sides grow with the corpus: merged at every size.
+    met = left.join(right.withColumnRenamed("key", "other").hint("merge"), (F.col("key") == F.col("other")) & (F.col("table") == F.col("of")) & near)
     return met.groupBy(F.col("a").alias("print")).agg(F.sum("n").alias("n_near"))
 
 
@@ -163,9 +164,12 @@ def fingerprinted(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     prints = out.groupBy("print").agg(F.count(F.lit(1)).alias("n"))
     wanted = out.filter(F.col("doc_id") % every == 0).select("print").distinct()
     found = neighbours(prints, wanted).withColumnRenamed("print", "found")
-    asked = F.when(F.col("doc_id") % every == 0, F.col("print"))
-    return out.join(found, asked == F.col("found"), "left").select(
+    # Only the rows asked about are joined, so that the others do not meet under a null key.
+    is_asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
+    asked = out.filter(is_asked).join(found, F.col("print") == F.col("found"), "left").drop("found")
+    both = asked.unionByName(out.filter(~is_asked).withColumn("n_near", F.lit(None).cast("long")))
+    return both.select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.lower(F.lpad(F.hex("edited"), 16, "0")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited")).alias("near_edited"), likeness(F.col("print"), F.coalesce("next", "print")).alias("near_next"),
-        F.when(F.col("doc_id") % every == 0, F.col("n_near") - 1).alias("n_near"),
+        (F.col("n_near") - 1).alias("n_near"),
     )
