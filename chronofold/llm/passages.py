@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import mapped, mixed, slices, sliding_argmin, text_column, utf8
+from chronofold.llm.common import mapped, slices, sliding_argmin, text_column, utf8
 from chronofold.llm.scratch import Scratch
 
 #: An anchor in more texts than this is split further before its segments are gathered.
@@ -191,8 +191,3 @@ def merged_runs(runs: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
 def identified(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """``id`` (a null id as the last) and ``text`` (null as empty)."""
     return docs.select(F.coalesce(docs[id_column].cast("long"), F.lit(LAST_ID)).alias("id"), text_column(docs, text).alias("text"))
-
-
-def piece_codes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A code of a run of units from the running sums of their hashes at both ends."""
-    return mixed(hashes ^ (end - begin).astype(np.uint64))
