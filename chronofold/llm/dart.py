@@ -25,6 +25,10 @@ BANDS, BAND_ROWS = 24, 4
 COORDINATES = BANDS * BAND_ROWS
 #: Members of a group that are compared with its leader in one task.
 MEMBERS_PER_TASK = 250
+#: Members of a bucket that stand together where all its pairs are checked; two such blocks meet at a time.
+BLOCK = 125
+#: Shingles whose overlaps are counted at once.
+_COLUMNS = 1 << 12
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -165,12 +169,87 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return mapped(dealt, run, "a long, b long")
 
 
+def linked(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each shingle set the first one that a chain of similar pairs leads to; every pair is compared."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count[column] > 1
+    owner, column = owner[common], (np.cumsum(count > 1) - 1)[column[common]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((n, n))
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        some = slice(*np.searchsorted(column, (low, low + _COLUMNS)))
+        grid = np.zeros((n, _COLUMNS), np.float32)
+        grid[owner[some], column[some] - low] = 1
+        both += grid @ grid.T
+    similar = both >= similarity * (sizes[:, None] + sizes - both) - 1e-9
+    np.fill_diagonal(similar, True)
+    label = np.arange(n)
+    while True:
+        low = np.where(similar, label, n).min(1)
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _crowded(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of one bucket, for every bucket whose members (``node``, ``class``, ``bands``) are not one class yet.
+
+    All pairs of different classes are checked.  A bucket is dealt in blocks, of one large class or of several small ones, and every two
+    blocks meet in a task unless they are of one class.  Buckets of the same members are checked once, those of three or fewer have been.
+    """
+    spots = nodes.select("node", "class", F.explode("bands").alias("key"))
+    marks = [F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2")]
+    buckets = spots.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), *marks)
+    some = buckets.filter("n > 3 and low < high").groupBy("n", "mark", "mark2").agg(F.min("key").alias("key")).select("key")
+    members = spots.join(some.hint("merge"), "key")
+    kinds = members.groupBy("key", "class").agg(F.count(F.lit(1)).alias("c")).withColumn("big", F.col("c") >= BLOCK)
+    small = kinds.groupBy("key").agg(F.sum(F.when(~F.col("big"), F.col("c")).otherwise(0)).alias("rest"))
+    of = F.when(F.col("big"), F.col("class")).otherwise(0)
+    parts = F.greatest(F.lit(1), F.ceil(F.when(F.col("big"), F.col("c")).otherwise(F.col("rest")) / BLOCK))
+    dealt = members.join(kinds, ["key", "class"]).join(small, "key").select(
+        "key", "node", F.struct("big", of.alias("of"), F.pmod(F.xxhash64(F.when(F.col("big"), F.col("node")).otherwise(F.col("class"))), parts).alias("part")).alias("block")
+    )
+    blocks = dealt.select("key", "block").distinct()
+    p, q = blocks.withColumnRenamed("block", "p"), blocks.withColumnRenamed("block", "q")
+    tiles = p.join(q.hint("merge"), "key").filter("p <= q and not (p.big and q.big and p.of = q.of)")
+    tiles = tiles.select("key", F.xxhash64("key", "p", "q").alias("tile"), F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
+    rows = dealt.join(tiles.hint("merge"), ["key", "block"]).select("key", "tile", F.col("node").alias("doc_id"))
+    rows = texts.join(rows.hint("merge"), "doc_id").select("key", "tile", "doc_id", "text").repartition("key", "tile").sortWithinPartitions("key", "tile")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, sets = None, [], []
+
+        def solved() -> pa.RecordBatch:
+            label, nodes = linked(sets, similarity), np.array(ids)
+            found = np.flatnonzero(label != np.arange(len(label)))
+            return pa.RecordBatch.from_arrays([pa.array(nodes[found], pa.int64()), pa.array(nodes[label[found]], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for part in slices(batch):
+                keys, _, owner = shingles(*utf8(part.column("text")))
+                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
+                for i, (*at, doc) in enumerate(zip(*(part.column(c).to_pylist() for c in ("key", "tile", "doc_id")), strict=True)):
+                    if at != now:
+                        if ids:
+                            yield solved()
+                        now, ids, sets = at, [], []
+                    ids.append(doc)
+                    sets.append(keys[bounds[i] : bounds[i + 1]])
+        if ids:
+            yield solved()
+
+    return mapped(rows, run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id`` and ``class_id`` of every row: equal texts and texts linked by similar shingle sets share a class.
 
     ``class_id`` is the smallest id of the class.  Equal texts (null and empty ones too) are one node from the start.  Within a bucket of a band
-    every text is paired with the bucket's first and last id, so pairs grow with the documents and not with a bucket's square; a pair inside one class
-    already found is not checked again.  Texts without a word are alike only if equal.  A null id has a null class;
+    every text is first paired with the bucket's first and last id; then all pairs of a bucket that are in different classes are
+    checked, so every two similar texts that share a band are linked.  Texts without a word are alike only if equal.  A null id has a null class;
     rows of one id and one text are one document; other columns are ignored.
     """
     tables = Scratch(docs.sparkSession)
@@ -196,11 +275,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     open_pairs = class_of(class_of(pairs, "x", "x_class"), "leader", "leader_class").filter("x_class != leader_class").select("x", "leader")
     checked = tables.written(open_pairs.join(nearest, ["x", "leader"], "left_anti"), "open-pairs")
-    found = components(links.union(_similar(texts, checked, similarity)))
+    more = tables.written(links.union(_similar(texts, checked, similarity)), "more-links")
+    found = components(more)
+    labelled = tables.written(class_of(nodes.select("node", "bands"), "node", "class"), "labelled")
+    found = components(more.union(_crowded(labelled, texts, similarity)))
     classes = class_of(nodes.select("digest", "node"), "node", "class_id").select("digest", "class_id")
     out = banded.select("doc_id", "digest").join(classes, "digest", "left").select(
         "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")
     )
     out = tables.written(out, "classes")
-    tables.drop("bands", "nodes", "pairs", "candidates", "links", "open-pairs")
+    tables.drop("bands", "nodes", "pairs", "candidates", "links", "open-pairs", "more-links", "labelled")
     return out

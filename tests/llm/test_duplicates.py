@@ -104,6 +104,41 @@ def _bytes_kept(rows, window):
         yield i, (len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[stay].tobytes()).hexdigest())
 
 
+def test_a_star_around_a_middle_id(spark, monkeypatch):
+    """Copies of one text, each changed elsewhere, are similar to it but not to each other; so are those of a second family in the same buckets."""
+    monkeypatch.setattr(dart, "BLOCK", 20, raising=False)
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(240):
+        words, (a, b) = list(base), rng.sample(range(5, 95), 2)
+        words[a], words[b] = f"a{i}", f"b{i}"
+        if i != 120 and abs(a - b) < 5:
+            words[(a + 40) % 90 + 5] = f"c{i}"
+        rows.append((i, " ".join(base if i == 120 else words)))
+    got = {r["doc_id"]: r["class_id"] for r in dart.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [_shingles(t) for _, t in rows]
+    assert all(len(sets[0] & s) < 0.8 * len(sets[0] | s) for s in (sets[239], sets[238]))
+    assert got == _classes(rows)
+    assert len(set(got.values())) < 40
+
+
+def test_linked_sets(monkeypatch):
+    monkeypatch.setattr(dart, "_COLUMNS", 7)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(40) < 0.07, rng.integers(0, 1 << 63, 40, dtype=np.uint64), base)) for _ in range(30)] + [base[:3], np.zeros(0, np.uint64)]
+    want = list(range(len(sets)))
+    for _ in want:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                both = len(np.intersect1d(a, b))
+                if both and both >= 0.8 * (len(a) + len(b) - both):
+                    want[i] = min(want[i], want[j])
+    assert 1 < len(set(want)) < len(sets)
+    assert dart.linked(sets[:-1], 0.8).tolist() == want[:-1]
+
+
 @pytest.mark.parametrize("hot", [2000, 1])
 def test_repeated_byte_strings(spark, monkeypatch, hot):
     monkeypatch.setattr(passages, "HOT_ANCHOR", hot)
