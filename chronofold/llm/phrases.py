@@ -19,6 +19,10 @@ WINDOW = 13
 _GRAM = 4
 
 
+def _at(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return mixed(hashes[places])
+
+
 @dataclass(frozen=True)
 class WordCutter:
     """Segments of words: an anchor is the smallest hash of four words in a window."""
@@ -48,8 +52,9 @@ class WordCutter:
         # Windows of a hot anchor go alone, each under its own hash.
         each = np.repeat(first[split], windows[split]) + np.arange(windows[split].sum()) - np.repeat(np.cumsum(windows[split]) - windows[split], windows[split])
         plain, single = segments(first[~split], windows[~split], key[~split]), segments(each, np.ones(len(each), np.int64), np.zeros(len(each), np.uint64))
-        own = mixed(single.code) & ~np.uint64(1)
-        return Segments(*[np.concatenate((getattr(plain, f), own if f == "key" else getattr(single, f))) for f in Segments.__dataclass_fields__])
+        # Their hashes are of the words, as white space between them does not count.
+        own = {"key": _at(gram_hashes(hashes, self.window), each) & ~np.uint64(1), "code": _at(gram_hashes(mixed(hashes), self.window), each)}
+        return Segments(*[np.concatenate((getattr(plain, f), own.get(f, getattr(single, f)))) for f in Segments.__dataclass_fields__])
 
 
 def locate(keys: np.ndarray, pieces: list[bytes], ids: np.ndarray, window: int = WINDOW) -> list[tuple[list[int], list[int]]]:

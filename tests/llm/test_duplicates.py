@@ -222,6 +222,15 @@ def test_phrases(spark, monkeypatch, hot):
     assert phrases.trimmed(df).columns == df.columns
 
 
+@pytest.mark.parametrize("hot", [2000, 1])
+def test_white_space_does_not_keep_a_passage(spark, monkeypatch, hot):
+    monkeypatch.setattr(passages, "HOT_ANCHOR", hot)
+    passage = [f"p{i}" for i in range(20)]
+    rows = [(i, f"own{i} " + gap.join(passage) + f" end{i}") for i, gap in enumerate(["  ", "\n", "\t", " ", " \n"])]
+    got = {r["doc_id"]: r["n_removed"] for r in phrases.without_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: 0, 1: 20, 2: 20, 3: 20, 4: 20}
+
+
 def test_null_ids_come_last(spark):
     out = phrases.without_passages(cases.frame(spark, null_id=True)).filter("doc_id is null").collect()
     # One of them repeats an earlier text, the other repeats only itself.
