@@ -104,7 +104,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
     hits = one.select("text_key", "key").join(recurring, "key").groupBy("text_key").agg(
         F.collect_set("key").alias("wanted"), F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot")
     )
-    hits = tables.written(hits.join(firsts.withColumn("text_key", F.xxhash64("digest")), "text_key").select(F.col("first_id").alias("id"), "digest", "wanted", "hot"), "hits")
+    hits = tables.written(hits.join(firsts.withColumn("text_key", F.xxhash64("digest")), "text_key").select(F.col("first_id").alias("id"), "digest", "text_key", "wanted", "hot"), "hits")
     tables.drop()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,20 +114,20 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                 wanted, hot = ([np.asarray(x, np.int64).view(np.uint64) for x in part.column(c).to_pylist()] for c in ("wanted", "hot"))
                 found = cut(data, offsets, wanted, hot)
                 whole = data.tobytes()
-                ids = part.column("id").to_numpy()
+                ids, texts = part.column("id").to_numpy(), part.column("text_key").to_numpy()
                 for at in range(0, len(found.key), 1 << 14):
                     some = slice(at, at + (1 << 14))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(found.key[some].view(np.int64)), pa.array(found.code[some].view(np.int64)), pa.array(ids[found.owner[some]]),
+                            pa.array(found.key[some].view(np.int64)), pa.array(found.code[some].view(np.int64)), pa.array(ids[found.owner[some]]), pa.array(texts[found.owner[some]]),
                             pa.array(found.first[some].astype(np.int32)), pa.array(found.windows[some].astype(np.int32)),
                             pa.array([whole[s:e] for s, e in zip(found.begin[some].tolist(), found.end[some].tolist(), strict=True)], pa.binary()),
                         ],
-                        names=["key", "code", "id", "first", "windows", "piece"],
+                        names=["key", "code", "id", "text_key", "first", "windows", "piece"],
                     )
 
-    segments = tables.written(mapped(rows.join(hits, ["id", "digest"]).select("id", "text", "wanted", "hot"), 
-        emit, "key long, code long, id long, first int, windows int, piece binary"), "segments")
+    segments = tables.written(mapped(rows.join(hits, ["id", "digest"]).select("id", "text_key", "text", "wanted", "hot"), 
+        emit, "key long, code long, id long, text_key long, first int, windows int, piece binary"), "segments")
     tables.drop("hits", "recurring")
     distinct = segments.groupBy("key", "code").agg(
         F.min("id").alias("low_id"), F.count(F.lit(1)).alias("n"), F.max("piece").alias("piece")
@@ -162,15 +162,16 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
     answers = mapped(distinct, compare, "key long, code long, low_id long, n long, starts array<int>, ends array<int>")
     answers = tables.written(answers, "answers")
     span = cut.window - 1
-    found = segments.select("key", "code", "id", "first", "windows").join(answers, ["key", "code"])
+    found = segments.select("key", "code", "id", "text_key", "first", "windows").join(answers, ["key", "code"])
     # Another occurrence of the whole segment repeats all of its units.
     whole = F.col("n") > 1 if same_text else F.col("low_id") < F.col("id")
     all_units = F.array(F.struct(F.col("first").alias("s"), (F.col("first") + F.col("windows") + span).alias("e")))
     own = F.transform(F.arrays_zip("starts", "ends"), lambda x: F.struct((F.col("first") + x["starts"]).alias("s"), (F.col("first") + x["ends"]).alias("e")))
-    runs = found.select("id", F.when(whole, all_units).otherwise(own).alias("runs")).filter(F.size("runs") > 0)
-    per_text = runs.groupBy("id").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    info = anchors.select("id", "digest").distinct().join(firsts, "digest").join(
-        per_text.withColumnRenamed("id", "first_id"), "first_id", "left"
+    # An id may have several texts: runs are those of one of them.
+    runs = found.select("id", "text_key", F.when(whole, all_units).otherwise(own).alias("runs")).filter(F.size("runs") > 0)
+    per_text = runs.groupBy("id", "text_key").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    info = anchors.select("id", "digest").distinct().join(firsts, "digest").withColumn("text_key", F.xxhash64("digest")).join(
+        per_text.withColumnRenamed("id", "first_id"), ["first_id", "text_key"], "left"
     )
     info = tables.written(info.select("id", "digest", "copies", "first_id", "runs"), "passages")
     tables.drop("anchors", "firsts", "segments", "answers")

@@ -231,6 +231,19 @@ def test_white_space_does_not_keep_a_passage(spark, monkeypatch, hot):
     assert got == {0: 0, 1: 20, 2: 20, 3: 20, 4: 20}
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_of_one_id_keep_their_own_runs(spark, doc_id):
+    rng = random.Random(4)
+    passage, other = (" ".join(f"{c}{rng.random()}" for _ in range(120)) for c in "px")
+    rows = [(1, "one " + passage), (doc_id, "two " + passage), (doc_id, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = {r["n_words"]: r["n_removed"] for r in phrases.without_passages(df).filter("doc_id is null or doc_id = 7").collect()}
+    assert cut == {121: 120, 120: 0}
+    gone = {r["n_bytes"]: r["n_removed"] for r in suffix.without_repeats(df).filter("doc_id is null or doc_id = 7").collect()}
+    assert gone[len(other)] == 0 and gone[len(passage) + 4] >= len(passage)
+    assert [r["text"] for r in phrases.trimmed(df.withColumnRenamed("doc_id", "id"), "id").filter("id is null or id = 7").collect() if r["text"][0] == "x"] == [other]
+
+
 def test_null_ids_come_last(spark):
     out = phrases.without_passages(cases.frame(spark, null_id=True)).filter("doc_id is null").collect()
     # One of them repeats an earlier text, the other repeats only itself.
