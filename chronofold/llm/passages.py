@@ -56,6 +56,9 @@ Segmenter = Callable[[np.ndarray, np.ndarray, "list[np.ndarray] | None", "list[n
 #: Takes whole anchors of (key, segment bytes, smallest id) and gives, for each segment, its repeated units as (starts, ends).
 Resolver = Callable[[np.ndarray, "list[bytes]", np.ndarray], "list[tuple[list[int], list[int]]]"]
 
+#: Two hashes for each window of a segment; only with ``same_text``.
+Singles = Callable[[bytes], "tuple[np.ndarray, np.ndarray]"]
+
 
 def kept_segments(segments: Segments, wanted: list[np.ndarray]) -> np.ndarray:
     """Which segments have an anchor among those wanted of their text."""
@@ -67,11 +70,12 @@ def kept_segments(segments: Segments, wanted: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text: bool, batch: int = 4000) -> DataFrame:
+def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text: bool, batch: int = 4000, singles: Singles | None = None) -> DataFrame:
     """``id``, ``digest``, ``copies``, ``first_id`` and the repeated units (``starts``, ``ends``) of every distinct (id, text).
 
     ``docs`` has ``id`` and ``text``.  Texts that are equal are searched once, as the one of the smallest id; ``starts`` and ``ends`` are those of
-    that text.  ``same_text`` also counts repetitions inside a text.  ``resolve`` gets about ``batch`` segments at a time.
+    that text.  ``same_text`` also counts repetitions inside a text.  ``resolve`` gets about ``batch`` segments at a time.  Keys that still have more
+    than :data:`HOT_ANCHOR` different segments never meet in one task if there is ``singles``: their windows are counted one by one.
     """
     rows = docs.select("id", "text", F.unhex(F.md5("text")).alias("digest"))
     tables = Scratch(docs.sparkSession)
@@ -131,7 +135,29 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
     tables.drop("hits", "recurring")
     distinct = segments.groupBy("key", "code").agg(
         F.min("id").alias("low_id"), F.count(F.lit(1)).alias("n"), F.max("piece").alias("piece")
-    ).repartition("key").sortWithinPartitions("key")
+    )
+    split = False
+    if singles is not None:
+        kinds = segments.select("key", "code").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+        crowded = tables.written(kinds.filter(F.col("kinds") > HOT_ANCHOR).select("key"), "crowded")
+        split = crowded.limit(1).count() > 0
+    if split:
+        # The list grows with the corpus: it is merged at every size.
+        several = distinct.join(crowded.hint("merge"), "key", "left_semi")
+        distinct = distinct.join(crowded.hint("merge"), "key", "left_anti")
+    distinct = distinct.repartition("key").sortWithinPartitions("key")
+
+    def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in slices(b, "piece"):
+                hashes = [singles(p) for p in part.column("piece").to_pylist()]
+                sizes = [len(h[0]) for h in hashes]
+                of = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(of) for c in ("key", "code")], pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])),
+                     *[pa.array(np.concatenate([h[k] for h in hashes]).view(np.int64)) for k in (0, 1)]],
+                    names=["key", "code", "at", "h1", "h2"],
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -160,6 +186,15 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
                 yield solved(rows_)
 
     answers = mapped(distinct, compare, "key long, code long, low_id long, n long, starts array<int>, ends array<int>")
+    if split:
+        fields = "key long, code long, at int, h1 long, h2 long"
+        units = tables.written(mapped(several.select("key", "code", "piece"), one_by_one, fields), "units")
+        again = units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
+        starts = F.sort_array(F.collect_list("at"))
+        shared = units.join(again.hint("merge"), ["h1", "h2"]).groupBy("key", "code").agg(starts.alias("starts"))
+        alone = several.drop("piece").join(shared, ["key", "code"], "left")
+        starts = F.coalesce("starts", F.array().cast("array<int>"))
+        answers = answers.union(alone.select("key", "code", "low_id", "n", starts.alias("starts"), F.transform(starts, lambda x: x + F.lit(cut.window)).alias("ends")))
     answers = tables.written(answers, "answers")
     span = cut.window - 1
     found = segments.select("key", "code", "id", "text_key", "first", "windows").join(answers, ["key", "code"])
@@ -174,7 +209,7 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
         per_text.withColumnRenamed("id", "first_id"), ["first_id", "text_key"], "left"
     )
     info = tables.written(info.select("id", "digest", "copies", "first_id", "runs"), "passages")
-    tables.drop("anchors", "firsts", "segments", "answers")
+    tables.drop("anchors", "firsts", "segments", "answers", *(["crowded"] if singles is not None else []), *(["units"] if split else []))
     return info
 
 

@@ -137,6 +137,12 @@ def anchor_place(piece: bytes, window: int) -> int:
     return int(np.argmin(_grams(head, min(_GRAM, window))))
 
 
+def single_windows(piece: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every window of a segment."""
+    data = np.frombuffer(piece, np.uint8)
+    return _grams(data, window), _grams(data ^ np.uint8(0xA5), window)
+
+
 FIELDS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -148,7 +154,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     and lose all from 400 bytes on; a null id is an id of its own; other columns are ignored.
     """
     rows = identified(docs, id_column, text)
-    info = repeated_units(rows, ByteCutter(), repeated_in_segments, same_text=True)
+    info = repeated_units(rows, ByteCutter(), repeated_in_segments, same_text=True, singles=single_windows)
     joined = rows.withColumn("digest", F.unhex(F.md5("text"))).join(info, ["id", "digest"]).select(
         F.when(F.col("id") < LAST_ID, F.col("id")).alias("doc_id"), "text", (F.col("copies") > 1).alias("copied"), "runs"
     )

@@ -150,6 +150,26 @@ def test_repeated_byte_strings(spark, monkeypatch, hot):
     assert len(got) == df.count() and suffix.without_repeats(cases.empty(spark)).count() == 0
 
 
+def test_edges_of_a_passage_in_many_texts(spark, monkeypatch):
+    monkeypatch.setattr(passages, "HOT_ANCHOR", 5)
+    largest, resolve = spark.sparkContext.accumulator(0), suffix.repeated_in_segments
+
+    def counted(keys, pieces, ids):
+        largest.add(int(np.unique(keys, return_counts=True)[1].max() > 5))
+        return resolve(keys, pieces, ids)
+
+    monkeypatch.setattr(suffix, "repeated_in_segments", counted)
+    rng = random.Random(6)
+    own = lambda: "".join(rng.choice("abcdefgh ") for _ in range(300))
+    passage = own() + own()
+    rows = [(i, own() + "xy"[i % 2] * (i % 3) + passage + "pq"[i % 2] + own()) for i in range(30)]
+    got = {r["doc_id"]: r for r in suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, want in _bytes_kept(rows, 400):
+        r = got[doc_id]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want
+    assert largest.value == 0  # no key of more than five different segments reached one task
+
+
 def test_repeated_rows_lose_everything(spark):
     rows = cases.rows()
     df = cases.frame(spark, repeated=True, null_id=True)
