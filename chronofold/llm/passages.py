@@ -21,6 +21,8 @@ from chronofold.llm.scratch import Scratch
 
 #: An anchor in more texts than this is split further before its segments are gathered.
 HOT_ANCHOR = 2000
+#: Tasks that the segments of a key above that are dealt to.
+_SHARES = 256
 #: What a null id is ordered as: after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -142,9 +144,11 @@ def repeated_units(docs: DataFrame, cut: Segmenter, resolve: Resolver, same_text
         crowded = tables.written(kinds.filter(F.col("kinds") > HOT_ANCHOR).select("key"), "crowded")
         split = crowded.limit(1).count() > 0
     if split:
-        # The list grows with the corpus: it is merged at every size.
-        several = distinct.join(crowded.hint("merge"), "key", "left_semi")
-        distinct = distinct.join(crowded.hint("merge"), "key", "left_anti")
+        # The list grows with the corpus: it is merged at every size, and in shares, as all segments of a key are looked up.
+        share = F.pmod("code", F.lit(_SHARES)).cast("int")
+        shares = crowded.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1)))).hint("merge")
+        several = distinct.withColumn("share", share).join(shares, ["key", "share"], "left_semi").drop("share")
+        distinct = distinct.withColumn("share", share).join(shares, ["key", "share"], "left_anti").drop("share")
     distinct = distinct.repartition("key").sortWithinPartitions("key")
 
     def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
