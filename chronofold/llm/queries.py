@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, html, langid, packing, phrases, quality, simhash, suffix, urls
+from chronofold.llm import bpe, dart, html, langid, lexical, packing, phrases, quality, simhash, suffix, urls, whiten
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,6 +41,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The ten best documents of every item, from all documents that hold one of its terms.
+_RANKED = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+lengths AS (SELECT doc_id, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+size AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(LOWERED, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+postings AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM words) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM postings, size GROUP BY term, docs),
+scores AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id), size GROUP BY ALL),
+places AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM places WHERE place <= 10
+""".replace("LOWERED", _LOWERED)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -121,3 +141,15 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     """Host, path, fitting rule and verdict of every page."""
     return urls.judged(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@registered("op11_nra_search", _RANKED)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@registered("op13_bidiagonal_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The four leading whitened components of every embedding."""
+    return whiten.whitened(table(spark, folder, "embeddings"))
