@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.session import written
+from chronofold.llm.scratch import Scratch
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,17 +13,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Labels fall to the smallest neighbour's and then jump to their label's label until none changes: a component of
     diameter d takes about log d rounds.  Every round is a written table, so the lineage stays short and a lost executor costs
-    one round.  A node with very many edges is summed in parts before the shuffle.
+    one round; only the last table stays.  A null node joins nothing.  A node with very many edges is summed in parts before the shuffle.
     """
+    tables = Scratch(edges.sparkSession)
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v")
-    both = written(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("class")), "labels")
+    both = tables.written(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    labels = tables.written(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("class")), "labels-0")
+    level = 0
     while True:
         near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("class").alias("low"))
         low = labels.join(near, "node").select("node", "class", F.least("class", "low").alias("low"))
         roots = labels.select(F.col("node").alias("low"), F.col("class").alias("root"))
-        after = written(low.join(roots, "low").select("node", "class", F.least("low", "root").alias("next")), "labels")
+        level += 1
+        after = tables.written(low.join(roots, "low").select("node", "class", F.least("low", "root").alias("next")), f"labels-{level}")
         changed = after.filter("next != class").limit(1).count()
         labels = after.select("node", F.col("next").alias("class"))
         if not changed:
+            tables.drop("edges", *(f"labels-{k}" for k in range(level)))
             return labels

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronofold.llm import bpe, dart, html, langid, lexical, packing, phrases, quality, simhash, suffix, urls, whiten
+from chronofold.llm import bpe, dart, html, langid, lexical, metric, packing, phrases, quality, simhash, suffix, urls, whiten
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,6 +41,19 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM words LEFT JOIN kept USING (doc_id)
 """
 
+#: Components of documents that share 85 hundredths of their 4-word shingles.
+_LINKED = "WITH RECURSIVE" + _WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """,
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT doc_id AS node, doc_id AS other FROM documents UNION SELECT r.node, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT node AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(other) AS component_id FROM reached LEFT JOIN sizes ON sizes.doc_id = node GROUP BY node
+"""
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 #: The ten best documents of every item, from all documents that hold one of its terms.
@@ -149,6 +162,12 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@registered("op12_jaccard_voronoi_join", _LINKED)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document among those that share most of their 4-word shingles."""
+    return metric.joined(table(spark, folder, "documents"))
+
+
 @registered("op13_bidiagonal_whitening")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     """The four leading whitened components of every embedding."""
