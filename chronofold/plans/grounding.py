@@ -42,6 +42,7 @@ REGISTRY = TableSpec(
         )},
     ),
     keys=("source_id",),
+    buckets=16,
 )
 
 _DAY = 86_400_000_000

@@ -33,6 +33,10 @@ TYPE_NAMES = {
 }
 
 
+#: Partition column of a table with hash buckets.
+BUCKET = "key_bucket"
+
+
 def type_named(name: str) -> T.DataType:
     """Spark type of a declared type name; ``list<x>`` nests, anything else is an error."""
     if name.startswith("list<") and name.endswith(">"):
@@ -60,11 +64,33 @@ class TableSpec:
     sort_by: Sequence[tuple[str, bool]] = ()
     #: Partition columns computed from others, for layouts such as "by day of a timestamp".
     derived: dict[str, Column] = field(default_factory=dict)
+    #: Partitions by a hash of the keys, so that an upsert rewrites only those that its keys fall into.  Choose about the
+    #: table's size over the size of a file worth rewriting; 0 is none.
+    buckets: int = 0
+
+    def __post_init__(self) -> None:
+        if self.buckets and not self.keys:
+            raise ValueError("buckets need keys")
 
     def stored_schema(self) -> T.StructType:
         extra = [T.StructField(name, T.DateType()) for name in self.derived]
+        if self.buckets:
+            extra.append(T.StructField(BUCKET, T.IntegerType()))
         return T.StructType([*self.schema.fields, *extra])
 
+    @property
+    def parts(self) -> list[str]:
+        """All partition columns."""
+        return [*self.partition_by, *([BUCKET] if self.buckets else [])]
+
+    def computed(self) -> dict[str, Column]:
+        """Columns that the table adds to its rows."""
+        return {**self.derived, **({BUCKET: self.bucket_of(*(F.col(k) for k in self.keys))} if self.buckets else {})}
+
+    def bucket_of(self, *keys: Column) -> Column:
+        types = [self.schema[k].dataType for k in self.keys]
+        return F.pmod(F.xxhash64(*(k.cast(t) for k, t in zip(keys, types, strict=True))), F.lit(self.buckets)).cast("int")
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns in schema order, extras dropped, values cast; a missing column is an error and a
@@ -103,7 +129,7 @@ class TableStore:
             return
         spec = self.specs[table]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored_schema())
-        layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_by)})" if spec.partition_by else ""
+        layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.parts)})" if spec.parts else ""
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.full_name(table)} ({columns}) USING parquet {layout} "
             f"LOCATION '{self._new_location(table)}'"
@@ -119,14 +145,19 @@ class TableStore:
         where: Column | None = None,
         **equal,
     ) -> DataFrame:
-        """Rows matching ``where`` and every ``column=value``; ``None`` values are ignored."""
-        conditions = [F.col(c) == F.lit(v) for c, v in equal.items() if v is not None]
+        """Rows matching ``where`` and every ``column=value``; ``None`` values are ignored.
+
+        Values of all keys lead to the one bucket of a table that has buckets."""
+        spec = self.specs[table] if table in self.specs else TableSpec(T.StructType())
+        if spec.buckets and all(equal.get(k) is not None for k in spec.keys):
+            equal = {**equal, BUCKET: spec.bucket_of(*(F.lit(equal[k]) for k in spec.keys))}
+        conditions = [F.col(c) == (v if isinstance(v, Column) else F.lit(v)) for c, v in equal.items() if v is not None]
         if where is not None:
             conditions.insert(0, where)
         df = self.spark.table(self.full_name(table))
         if conditions:
             df = df.where(reduce(lambda a, b: a & b, conditions))
-        return df.select(*columns) if columns else df
+        return df.select(*columns) if columns else df.drop(BUCKET)
 
     def register_views(self) -> list[str]:
         """Temp view per existing table under its bare name, for ad-hoc ``spark.sql``."""
@@ -139,7 +170,7 @@ class TableStore:
         """Conform ``df`` to the table and append, overwrite or upsert it."""
         self.create_if_absent(table)
         spec = self.specs[table]
-        shaped = conform(df, spec.schema).withColumns(spec.derived)
+        shaped = conform(df, spec.schema).withColumns(spec.computed())
         writers = {"append": self._append, "overwrite": self._overwrite, "upsert": self._upsert}
         if mode not in writers:
             raise ValueError(f"unsupported write mode: {mode}")
@@ -151,25 +182,59 @@ class TableStore:
         _laid_out(df, spec).select(*self.schema_of(table).names).write.insertInto(self.full_name(table))
 
     def _overwrite(self, table: str, spec: TableSpec, df: DataFrame) -> None:
-        location = self._new_location(table)
+        """A new version folder, to which the table is then pointed; the version before the last one is removed.
+
+        The table exists at every moment, and a reader that began with the last version can finish.  Partitions are added, moved and dropped in three catalog calls:
+        between them a reader may see a partition of the last version beside new ones, never a part of one.
+        """
+        name, location = self.full_name(table), self._new_location(table)
         writer = _laid_out(df, spec).write
-        if spec.partition_by:
-            writer = writer.partitionBy(*spec.partition_by)
+        if spec.parts:
+            writer = writer.partitionBy(*spec.parts)
         writer.parquet(location)
-        name = self.full_name(table)
-        if spec.partition_by:
-            # Partitions are registered in the catalog: a table over the new folder is made ready under another name, then takes the
-            # old one's place in two catalog calls.
+        before = self._versions(table)
+        if spec.parts:
             fresh = f"`{self.namespace}`.`{table}_{uuid.uuid4().hex[:8]}`"
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored_schema())
-            layout = ", ".join(f"`{c}`" for c in spec.partition_by)
+            layout = ", ".join(f"`{c}`" for c in spec.parts)
             self.spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet PARTITIONED BY ({layout}) LOCATION '{location}'")
-            self.spark.sql(f"MSCK REPAIR TABLE {fresh}")
-            self.spark.sql(f"DROP TABLE {name}")
-            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-        else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            try:
+                self.spark.sql(f"MSCK REPAIR TABLE {fresh}")
+                self._point_partitions(table, fresh)
+            finally:
+                self.spark.sql(f"DROP TABLE {fresh}")
+        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
+        # Upserts and appends go to the folder of a partition, so folders of older versions are dropped only with everything in them replaced.
+        for old in before[:-1]:
+            self._remove(old)
+
+    def _point_partitions(self, table: str, fresh: str) -> None:
+        """Gives the table the partitions of ``fresh``, a table over the new folder, in bulk calls to the catalog."""
+        jvm, state = self.spark._jvm, self.spark._jsparkSession.sessionState()
+        catalog, every = state.catalog(), jvm.scala.Option.empty()
+        own, other = (state.sqlParser().parseTableIdentifier(n.replace("`", "")) for n in (self.full_name(table), fresh))
+        before, after = (set(filter(None, catalog.listPartitionNames(t, every).mkString("\n").split("\n"))) for t in (own, other))
+        parts = catalog.listPartitions(other, every)
+        catalog.createPartitions(own, parts, True)
+        catalog.alterPartitions(own, parts)
+        if before - after:
+            parse = jvm.org.apache.spark.sql.execution.datasources.PartitioningUtils.parsePathFragment
+            gone = jvm.scala.jdk.javaapi.CollectionConverters.asScala([parse(name) for name in sorted(before - after)]).toSeq()
+            catalog.dropPartitions(own, gone, True, False, True)
+
+    def _versions(self, table: str) -> list[str]:
+        """Version folders of the table, the oldest first, without the newest, which is being written."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{self.namespace}/{table}")
+        system = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not system.exists(folder):
+            return []
+        found = [(f.getModificationTime(), f.getPath().toString()) for f in system.listStatus(folder) if f.getPath().getName().startswith("version-")]
+        return [path for _, path in sorted(found)][:-1]
+
+    def _remove(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
     def _upsert(self, table: str, spec: TableSpec, df: DataFrame) -> None:
         """Replace rows with the batch's keys and add the rest; repeating a batch changes nothing."""
@@ -179,12 +244,12 @@ class TableStore:
         if batch.groupBy(*keys).count().where("count > 1").limit(1).count():
             raise ValueError(f"duplicate keys {keys} in the batch for {table}")
         target = self.spark.table(self.full_name(table))
-        if not spec.partition_by:
+        parts = spec.parts
+        if not parts:
             self._overwrite(table, spec, merged(target, batch, keys))
             return
-        parts = [*spec.partition_by]
         touched = batch.select(*parts)
-        if not set(parts) <= set(keys):
+        if not set(parts) <= {*keys, BUCKET}:
             # A key may have moved: the partition that holds its old row has to be rewritten too.
             touched = touched.unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts))
         touched = written(touched.distinct(), "touched")
@@ -254,9 +319,9 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     Only the rebalance hint is used: adaptive execution splits a partition that is too big for
     one file, so a partition holding a third of the rows does not end in one task.
     """
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
+    if spec.parts:
+        df = df.hint("rebalance", *spec.parts)
     if spec.sort_by:
         order = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in spec.sort_by]
-        df = df.sortWithinPartitions(*spec.partition_by, *order)
+        df = df.sortWithinPartitions(*spec.parts, *order)
     return df

@@ -13,10 +13,12 @@ from chronofold.sources.tables import TableSpec, TableStore, conform, struct, ty
 SPEC = TableSpec(struct({"id": "long"}, {"v": "integer", "p": "string"}), keys=("id",), partition_by=("p",))
 FLAT = TableSpec(struct({"id": "long"}, {"v": "integer"}), keys=("id",))
 
+HASHED = TableSpec(struct({"id": "long"}, {"v": "integer"}), keys=("id",), buckets=16)
+
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return TableStore(spark, str(tmp_path), "t", f"s{abs(hash(str(tmp_path))) % 10**9}", {"parts": SPEC, "flat": FLAT})
+    return TableStore(spark, str(tmp_path), "t", f"s{abs(hash(str(tmp_path))) % 10**9}", {"parts": SPEC, "flat": FLAT, "hashed": HASHED})
 
 
 def rows(df):
@@ -117,3 +119,62 @@ def test_weekly_jobs(spark, tmp_path):
         ("C", "C", "ign"), ("T1", "T1", "short"), ("G2", "G2", "canonical"), ("G2e", "G2", "short")])
     again = build_clean(spark, root, store, "public_figures", week, wiki)
     assert again.count() == 2
+
+
+def files_of(spark, store, table):
+    """Data files by partition as the catalog knows them."""
+    return {r[0] for r in spark.table(store.full_name(table)).select(F.input_file_name()).distinct().collect()}
+
+
+def test_upsert_of_a_hashed_table_rewrites_only_its_buckets(spark, store):
+    store.write("hashed", spark.range(400).select("id", F.lit(1).alias("v")))
+    before = files_of(spark, store, "hashed")
+    change = spark.createDataFrame([(3, 9), (1000, 7)], "id long, v int")
+    touched = {r[0] for r in change.select(HASHED.bucket_of(F.col("id"))).collect()}
+    for _ in range(2):
+        store.write("hashed", change, "upsert")
+        assert store.scan("hashed").columns == ["id", "v"]
+        assert rows(store.scan("hashed")) == sorted([(i, 9 if i == 3 else 1) for i in range(400)] + [(1000, 7)])
+    bucket = lambda f: int(f.split("key_bucket=")[1].split("/")[0])
+    after = files_of(spark, store, "hashed")
+    assert {bucket(f) for f in before ^ after} == touched and {bucket(f) for f in before & after} == set(range(16)) - touched
+    plan = store.scan("hashed", id=3)._jdf.queryExecution().executedPlan().toString()
+    assert f"(key_bucket#" in plan and "PartitionFilters: [isnotnull(key_bucket" in plan
+    assert rows(store.scan("hashed", id=3)) == [(3, 9)] and rows(store.scan("hashed", ["v"], id=1000)) == [(7,)]
+    store.write("hashed", store.scan("hashed", where=F.col("v") > 1), "overwrite")
+    assert rows(store.scan("hashed")) == [(3, 9), (1000, 7)]
+    with pytest.raises(ValueError, match="keys"):
+        TableSpec(FLAT.schema, buckets=4)
+
+
+def test_overwrite_keeps_the_table_readable(spark, store, tmp_path):
+    """A reader in a loop sees the table at every moment, and version folders do not pile up."""
+    import threading
+
+    make = lambda n: spark.createDataFrame([(i, n, p) for i, p in enumerate("abcd"[n % 3 :])], "id long, v int, p string")
+    store.write("parts", make(0))
+    store.write("parts", make(0), "overwrite")
+    faults, seen, stop = [], set(), threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                spark.catalog.refreshTable(store.full_name("parts"))
+                seen.add(frozenset(r.v for r in store.scan("parts").collect()))
+            except Exception as e:  # noqa: BLE001
+                faults.append(str(e)[:300])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in range(1, 5):
+            store.write("parts", make(n), "overwrite")
+            assert rows(store.scan("parts")) == rows(make(n).select("id", "v", "p"))
+    finally:
+        stop.set()
+        reader.join()
+    assert not [f for f in faults if "TABLE_OR_VIEW_NOT_FOUND" in f], faults
+    assert seen and frozenset() not in seen
+    folders = os.listdir(f"{tmp_path}/{store.namespace}/parts")
+    assert len([f for f in folders if f.startswith("version-")]) <= 3
+    assert not [t.name for t in spark.catalog.listTables(store.namespace) if t.name not in ("parts", "flat", "hashed")]
