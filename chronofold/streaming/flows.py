@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from datetime import date
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from chronofold.operators.replay import item_changes
 from chronofold.operators.select import last_per_key
-from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO
-from chronofold.session import written
+from chronofold.plans.timeline import sort_type
 from chronofold.sources.tables import TableStore, conform
+from chronofold.streaming.state import FirstWithin, ItemReplay
 
 
 def landing_stream(
@@ -54,6 +54,35 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, latene
     return stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([*keys])
 
 
+def first_within(
+    stream: DataFrame, keys: Sequence[str], event_time: str, lateness: timedelta, *, order: Sequence[str] = (), kept_late: timedelta = timedelta(days=365)
+) -> DataFrame:
+    """Every row with ``late`` and ``first``, so that late rows can be kept and counted instead of being dropped unseen.
+
+    A row is late if its event time is more than ``lateness`` before the largest of the batches before; ``first`` if it is in time and no row counted as first within
+    ``lateness`` before it.  Rows of a batch are taken by event time, then ``order``; a null event time is neither late nor first.  Rows beyond ``kept_late``
+    are dropped by Spark itself.  A key's state is one number, evicted as the watermark passes it.
+    """
+    slack = kept_late - lateness
+    if slack < timedelta(0):
+        raise ValueError("kept_late must be at least the lateness")
+    columns = stream.columns
+    rows = stream.withWatermark(event_time, f"{int(kept_late.total_seconds())} seconds").withColumn("ev_at", F.unix_millis(F.col(event_time).cast("timestamp")))
+    schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("first", T.BooleanType())])
+    millis = [int(x.total_seconds() * 1000) for x in (lateness, slack)]
+    return rows.groupBy(*keys).transformWithStateInPandas(FirstWithin(columns, [*order], *millis), schema, "Append", "EventTime")
+
+
+def late_and_first(marked: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Rows of :func:`first_within` into two folders, ``late=true`` for what came too late and ``late=false`` for what counted first; then stops."""
+    kept = marked.where("late or first").drop("first")
+    with state_in_rocksdb(marked.sparkSession):
+        return (
+            kept.writeStream.outputMode("append").format("parquet").partitionBy("late").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+
+
 def upsert_sink(
     store: TableStore, table: str, order: Sequence[str], shape: Callable[[DataFrame], DataFrame] = lambda df: df
 ) -> Callable[[DataFrame, int], None]:
@@ -91,35 +120,49 @@ def window_counts(
 
 
 def replayed_items(
-    stream: DataFrame, output: str, state: str, checkpoint: str, *, owner: Sequence[str], tick: str, kind: str, item: str,
-    ordinal: str, ended: str,
+    stream: DataFrame, output: str, checkpoint: str, *, owner: Sequence[str], tick: str, kind: str, item: str, ordinal: str, ended: str,
+    event_time: str | None = None, lateness: str = "0 seconds", idle: timedelta | None = None,
 ) -> StreamingQuery:
-    """Item counters of every owner, carried across micro-batches; processes what has landed, then stops.
+    """Item counters of every owner, carried across micro-batches, in the columns of :func:`item_changes`; processes what has landed, then stops.
 
-    The item events of owners that are still open are kept in versioned folders below ``state``.  A batch replays the open owners it
-    touches with :func:`item_changes`, whose running sums split a hot owner, and writes the changes of its own events to
-    ``output/batch=<id>``; it reads the version before its own id, so a repeated batch writes the same rows.  An owner is closed, and its
-    events dropped, by an event whose ``ended`` column is true; events after that start anew.  Events must arrive in order of ``tick`` per owner.
+    Each owner has state of its own, of which a batch reads and writes only what its events touch (:class:`ItemReplay`); owners without events cost
+    nothing.  An owner is closed, and its state dropped, by an event whose ``ended`` column is true, or once the watermark of ``event_time``
+    is ``idle`` past its last event; events after that start anew.  Events must arrive in order of ``tick`` per owner; those of one batch
+    are put in the timeline's order, an event of an earlier tick counts where it arrives.
     """
-    columns = [*owner, tick, kind, item, ordinal]
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = written(batch.select(*columns, F.coalesce(F.col(ended), F.lit(False)).alias("_ended")), "item-batch")
-        items = seen.where(F.col(kind).isin(PURCHASED, SOLD, DESTROYED, UNDO)).drop("_ended")
-        earlier = f"{state}/version={batch_id - 1}"
-        held = spark.read.schema(items.schema).parquet(earlier) if batch_id else items.limit(0)
-        touched = held.join(items.select(*owner).distinct(), [*owner], "left_semi")
-        # A written copy: the replay reads its input several times.
-        rows = written(touched.withColumn("_new", F.lit(False)).unionByName(items.withColumn("_new", F.lit(True))), "item-events")
-        changes = item_changes(rows, by=owner, tick=tick, kind=kind, item=item, ordinal=ordinal)
-        fresh = changes.join(rows.where("_new").select(*owner, ordinal), [*owner, ordinal], "left_semi")
-        fresh.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-        closed = seen.where("_ended").select(*owner).distinct()
-        kept = held.unionByName(items).join(closed, [*owner], "left_anti")
-        kept.select(*columns).write.mode("overwrite").parquet(f"{state}/version={batch_id}")
-
-    return to_batches(stream, handle, checkpoint)
+    if idle is not None and event_time is None:
+        raise ValueError("an idle time needs an event time")
+    moment = F.unix_millis(F.col(event_time).cast("timestamp")) if event_time else F.lit(None).cast("long")
+    columns = [
+        *owner, F.col(tick).cast("long").alias("ev_t"), F.col(kind).alias("ev_kind"), F.col(item).cast("long").alias("ev_item"), F.col(ordinal).alias("ev_ord"),
+        sort_type(F.col(kind), F.col(item)).alias("ev_type"), F.coalesce(F.col(ended), F.lit(False)).alias("ev_ended"), moment.alias("ev_at"),
+    ]
+    timed = stream.withWatermark(event_time, lateness) if event_time else stream
+    rows = timed.select(*columns, *([event_time] if event_time else []))
+    types = {f.name: f.dataType for f in rows.schema}
+    schema = T.StructType([
+        *(T.StructField(o, types[o]) for o in owner), T.StructField(tick, T.LongType()), T.StructField("sort", T.StringType()), T.StructField(ordinal, types["ev_ord"]),
+        T.StructField("step", T.IntegerType()), T.StructField(item, T.LongType()), T.StructField("change", T.LongType()), T.StructField("held", T.LongType()),
+    ])
+    replay = ItemReplay(schema.names, idle=int(idle.total_seconds() * 1000) if idle is not None else None)
+    changes = rows.groupBy(*owner).transformWithStateInPandas(replay, schema, "Append", "EventTime" if event_time else "None")
+    with state_in_rocksdb(stream.sparkSession):
+        return to_files(changes, output, checkpoint)
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which named state of several kinds needs; the session's setting comes back."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def require_current(today: date, start: date, end: date, name: str = "this source") -> None:

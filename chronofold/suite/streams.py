@@ -2,53 +2,89 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from chronofold.operators.replay import final_items
 from chronofold.sources.tables import TableSpec, struct
-from chronofold.streaming.flows import deduplicated, landing_stream, replayed_items, to_batches, to_files, upsert_sink, window_counts
+from chronofold.streaming.flows import (
+    deduplicated, first_within, landing_stream, late_and_first, replayed_items, to_batches, to_files, upsert_sink, window_counts,
+)
 from chronofold.suite.base import REGISTRY, Tables, query
 from chronofold.suite.stores import store_for
 from chronofold.suite.tracks import ITEM_KINDS
 
 
-#: Files that the event table lands in, one micro-batch each.
+#: Times that events land; a stream is drained after each.
 LANDINGS = 3
+#: Seconds of a tick of the item replay; landings along time never part one.
+TICK = 1800
 
 
-def event_stream(t: Tables, in_order: bool = True) -> DataFrame:
-    """The event table as a stream of files, one a micro-batch, with a zoned event time.
+def drained_over(t: Tables, start: Callable[[DataFrame], StreamingQuery], in_order: bool = True) -> None:
+    """Lands the event table in parts and lets ``start`` process each as it has landed, as a stream with a zoned event time ``at``.
 
-    ``in_order`` cuts the files along time; otherwise every file has events of the whole time, so late ones come in each batch."""
+    ``in_order`` parts along time; otherwise every part has events of the whole time, so late ones come in each.  Events without a time or an id land first.
+    A part is as many files as its tasks write."""
     folder = t.scratch("landed")
-    low, span = t.events.agg(F.min("ts").alias("low"), (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp")) + 1).alias("span")).first()
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp"))
-    turn = F.floor(since * LANDINGS / F.lit(span)) if in_order else F.pmod("event_id", F.lit(LANDINGS))
+    tick = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (TICK * 1_000_000))
+    low, span = t.events.select(F.min(tick), F.max(tick) - F.min(tick) + 1).first()
+    turn = F.floor((tick - low) * LANDINGS / F.lit(span)) if in_order else F.pmod("event_id", F.lit(LANDINGS))
     for n in range(LANDINGS):
-        # Files are taken in the order in which they land; a landing is one file for the test tables' size.
-        t.events.where(turn == n).coalesce(1).write.mode("append").parquet(folder)
-    stream = landing_stream(t.spark, folder, t.events.schema, files_per_trigger=1)
-    return stream.withColumn("at", F.col("ts").cast("timestamp"))
+        t.events.where(F.coalesce(turn, F.lit(0)) == n).write.mode("append").parquet(folder)
+        stream = landing_stream(t.spark, folder, t.events.schema).withColumn("at", F.col("ts").cast("timestamp"))
+        start(stream).awaitTermination()
 
 
-def drained(t: Tables, stream: DataFrame, name: str) -> DataFrame:
-    """Rows of a stream after it has taken everything that has landed."""
+def drained(t: Tables, shape: Callable[[DataFrame], DataFrame], name: str, in_order: bool = True) -> DataFrame:
+    """Rows of a shaped stream after it has taken everything that landed."""
     path, checkpoint = t.scratch(name), t.scratch(f"{name}-checkpoint")
-    to_files(stream, path, checkpoint).awaitTermination()
-    return t.spark.read.schema(stream.schema).parquet(path)
+    drained_over(t, lambda stream: to_files(shape(stream), path, checkpoint), in_order)
+    return t.spark.read.parquet(path)
 
 
 @query("K1", "SELECT event_id, user_id, event_type FROM events")
 def stream_ingested(t: Tables) -> DataFrame:
     """Everything that has landed, taken once."""
-    return drained(t, event_stream(t).select("event_id", "user_id", "event_type"), "ingest")
+    return drained(t, lambda stream: stream.select("event_id", "user_id", "event_type"), "ingest")
 
 
 @query("K2", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_deduplicated(t: Tables) -> DataFrame:
     """First arrival per key inside the lateness bound."""
-    unique = deduplicated(event_stream(t, in_order=False), ["user_id", "event_type"], "at", "40 days")
-    return drained(t, unique.select("user_id", "event_type"), "dedup")
+    def shape(stream: DataFrame) -> DataFrame:
+        return deduplicated(stream, ["user_id", "event_type"], "at", "40 days").select("user_id", "event_type")
+
+    return drained(t, shape, "dedup", in_order=False)
+
+
+@query("K2", """
+WITH RECURSIVE e AS (SELECT event_id, user_id, event_type, epoch_ms(ts) AS ms, event_id % 3 AS turn FROM events),
+marks AS (SELECT turn, max(max(ms)) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10 * 86400000 AS mark FROM e GROUP BY turn),
+judged AS (SELECT e.*, coalesce(ms < mark, false) AS late FROM e JOIN marks USING (turn)),
+rows_in_time AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY turn, ms, event_id) AS n FROM judged WHERE NOT late),
+walk AS (
+  SELECT user_id, event_type, 0::BIGINT AS n, -1::BIGINT AS event_id, false AS first, -1::BIGINT AS until FROM rows_in_time GROUP BY ALL
+  UNION ALL
+  SELECT w.user_id, w.event_type, r.n, r.event_id, r.ms > w.until, CASE WHEN r.ms > w.until THEN r.ms + 10 * 86400000 ELSE w.until END
+  FROM walk w JOIN rows_in_time r ON r.user_id = w.user_id AND r.event_type = w.event_type AND r.n = w.n + 1)
+SELECT event_id, false AS late FROM walk WHERE first UNION ALL SELECT event_id, true FROM judged WHERE late
+""")
+def stream_first_seen(t: Tables) -> DataFrame:
+    """First events per user and kind under a bound of 10 days that acts on 30 days of data, and the late events it turned away."""
+    path, checkpoint = t.scratch("first"), t.scratch("first-checkpoint")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        events = stream.select("event_id", "user_id", "event_type", "at")
+        return late_and_first(first_within(events, ["user_id", "event_type"], "at", timedelta(days=10), order=["event_id"]), path, checkpoint)
+
+    drained_over(t, start, in_order=False)
+    return t.spark.read.parquet(path).select("event_id", F.col("late").cast("boolean").alias("late"))
 
 
 @query("K3 K2 K7", """
@@ -56,10 +92,11 @@ SELECT user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION
 """)
 def stream_upserted(t: Tables) -> DataFrame:
     """Latest event per user kept in a table by an upserting stream whose batches all hold late events."""
-    spec = TableSpec(struct({"user_id": "long"}, {"event_id": "long", "value": "double", "ts": "timestamp"}), keys=("user_id",))
+    spec = TableSpec(struct({"user_id": "long"}, {"event_id": "long", "value": "double", "ts": "timestamp"}), keys=("user_id",), buckets=8)
     store = store_for(t, {"latest": spec})
     sink = upsert_sink(store, "latest", ["ts", "event_id"])
-    to_batches(event_stream(t, in_order=False), sink, t.scratch("upsert-checkpoint")).awaitTermination()
+    checkpoint = t.scratch("upsert-checkpoint")
+    drained_over(t, lambda stream: to_batches(stream, sink, checkpoint), in_order=False)
     return store.scan("latest", ["user_id", "event_id", "value"])
 
 
@@ -69,20 +106,23 @@ WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE
 """)
 def stream_daily_counts(t: Tables) -> DataFrame:
     """Events per closed day and kind."""
-    counted = window_counts(event_stream(t), "at", "1 day", "10 minutes", ["event_type"])
-    return drained(t, counted.select(F.to_date("start").alias("day"), "event_type", "n"), "windows")
+    def shape(stream: DataFrame) -> DataFrame:
+        return window_counts(stream, "at", "1 day", "10 minutes", ["event_type"]).select(F.to_date("start").alias("day"), "event_type", "n")
+
+    return drained(t, shape, "windows")
 
 
 @query("K4 E9", REGISTRY["items_held"].sql)
 def stream_items_held(t: Tables) -> DataFrame:
     """Items held at the end of a stateful replay that spans micro-batches."""
     kinds = F.create_map(*[F.lit(x) for pair in ITEM_KINDS.items() for x in pair])
-    stream = event_stream(t).select(
-        "user_id", "event_id", F.floor(F.unix_micros("at") / 1_800_000_000).alias("tick"), F.lit(False).alias("ended"),
-        F.element_at(kinds, F.col("event_type")).alias("kind"), (F.get_json_object("props", "$.k").cast("int") % 5).alias("item"))
-    out = t.scratch("replay")
-    replayed_items(
-        stream, out, t.scratch("replay-state"), t.scratch("replay-checkpoint"), owner=["user_id"], tick="tick", kind="kind", item="item",
-        ordinal="event_id", ended="ended").awaitTermination()
-    last = t.spark.read.parquet(out).groupBy("user_id", "item").agg(F.max_by("held", F.struct("tick", "sort", "event_id", "step")).alias("held"))
-    return last.where("held > 0")
+    out, checkpoint = t.scratch("replay"), t.scratch("replay-checkpoint")
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        events = stream.select(
+            "user_id", "event_id", F.floor(F.unix_micros("at") / (TICK * 1_000_000)).alias("tick"), F.lit(False).alias("ended"),
+            F.element_at(kinds, F.col("event_type")).alias("kind"), (F.get_json_object("props", "$.k").cast("int") % 5).alias("item"))
+        return replayed_items(events, out, checkpoint, owner=["user_id"], tick="tick", kind="kind", item="item", ordinal="event_id", ended="ended")
+
+    drained_over(t, start)
+    return final_items(t.spark.read.parquet(out), by=["user_id"], tick="tick", item="item", ordinal="event_id")

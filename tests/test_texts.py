@@ -122,7 +122,7 @@ def test_stream_replay_carries_state_across_batches(spark, tmp_path):
         part = [(*r, dt.datetime(2026, 1, 1) + dt.timedelta(seconds=r[1])) for r in rows if low <= r[1] < high]
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-        replayed_items(stream.withColumn("over", F.lit(False)), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "check"),
+        replayed_items(stream.withColumn("over", F.lit(False)), str(tmp_path / "out"), str(tmp_path / "check"),
                        owner=["k"], tick="t", kind="kind", item="item", ordinal="id", ended="over").awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     log, _ = plain_replay(rows)
@@ -134,7 +134,26 @@ def test_stream_replay_forgets_an_ended_owner(spark, tmp_path):
     for rows in ([("a", 1, "ITEM_PURCHASED", 7, 1, None), ("b", 1, "ITEM_PURCHASED", 7, 2, None)], [("a", 2, "GAME_END", None, 3, True)],
                  [("a", 3, "ITEM_UNDO", None, 4, None), ("b", 3, "ITEM_UNDO", None, 5, None), ("a", 4, "ITEM_PURCHASED", 7, 6, None)]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        replayed_items(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "check"),
+        replayed_items(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check"),
                        owner=["k"], tick="t", kind="kind", item="item", ordinal="id", ended="over").awaitTermination()
     got = sorted((r.k, r.id, r.item, r.held) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("a", 1, 7, 1), ("a", 6, 7, 1), ("b", 2, 7, 1), ("b", 5, 7, 0)]
+
+
+def test_stream_replay_closes_an_idle_owner(spark, tmp_path):
+    """An owner's state goes once the watermark is past its idle time; another one's that stays busy is kept, and nothing of it is read."""
+    schema = "k string, t long, kind string, item long, id long, over boolean, at timestamp"
+    moment = lambda hour: dt.datetime(2026, 1, 1, hour)
+    batches = [
+        [("a", 1, "ITEM_PURCHASED", 7, 1, None, moment(1)), ("b", 1, "ITEM_PURCHASED", 7, 2, None, moment(1))],
+        [("b", 2, "ITEM_PURCHASED", 8, 3, None, moment(9))],
+        [("b", 3, "ITEM_PURCHASED", None, 4, None, moment(10))],
+        [("a", 4, "ITEM_UNDO", None, 5, None, moment(10)), ("b", 4, "ITEM_UNDO", None, 6, None, moment(11)), ("b", 4, "ITEM_UNDO", None, 7, None, moment(11))],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        replayed_items(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check"), owner=["k"], tick="t",
+                       kind="kind", item="item", ordinal="id", ended="over", event_time="at", idle=dt.timedelta(hours=5)).awaitTermination()
+    got = sorted(((r.k, r.id, r.item, r.held) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+    # a's purchase can no longer be taken back; b's last two can.
+    assert got == sorted([("a", 1, 7, 1), ("b", 2, 7, 1), ("b", 3, 8, 1), ("b", 4, None, 1), ("b", 6, None, 0), ("b", 7, 8, 0)], key=str)
