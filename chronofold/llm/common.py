@@ -143,3 +143,21 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
 def arrow(columns: dict[str, object], like: dict[str, pa.DataType]) -> pa.RecordBatch:
     """A batch with the given columns and types."""
     return pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in like.items()], names=list(like))
+
+
+def once_per_task(rows: DataFrame, key: str) -> DataFrame:
+    """The rows without those whose key their task has met already: copies are dropped before they travel.
+
+    A task remembers one short key per row of its split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            new = []
+            for i, k in enumerate(batch.column(key).to_pylist()):
+                if k not in seen:
+                    seen.add(k)
+                    new.append(i)
+            yield batch.take(pa.array(new, pa.int64()))
+
+    return mapped(rows, run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))

@@ -14,9 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronofold.llm.common import gram_hashes, mapped, mixed, slices, span_hashes, text_column, utf8, words
+from chronofold.llm import metric
+from chronofold.llm.common import mapped, mixed, once_per_task, slices, text_column, utf8
 from chronofold.llm.graph import components
+from chronofold.llm.metric import Shingling
 from chronofold.llm.scratch import Scratch
+from chronofold.llm.sets import shingles
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -25,44 +28,12 @@ BANDS, BAND_ROWS = 24, 4
 COORDINATES = BANDS * BAND_ROWS
 #: Members of a group that are compared with its leader in one task.
 MEMBERS_PER_TASK = 250
-#: Members of a bucket that stand together where all its pairs are checked; two such blocks meet at a time.
-BLOCK = 125
-#: Shingles whose overlaps are counted at once.
-_COLUMNS = 1 << 12
+SHINGLING = Shingling(words=SHINGLE_WORDS, fold_case=False, percent=round(100 * SIMILARITY))
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, n: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts with their counts and owners, ordered by owner and hash.
-
-    A text of fewer words than a shingle has one shingle, all its words; a text without a word has none.
-    """
-    starts, ends, owner = words(data, offsets)
-    hashes = span_hashes(data, starts, ends)
-    grams = gram_hashes(hashes, n)
-    inside = owner[: len(grams)] == owner[n - 1 : n - 1 + len(grams)]
-    keys, of = [grams[inside]], [owner[: len(grams)][inside]]
-    sizes = np.bincount(owner, minlength=len(offsets) - 1)
-    first = np.cumsum(sizes) - sizes
-    for size in range(1, n):
-        short = np.flatnonzero(sizes == size)
-        if len(short):
-            h = np.full(len(short), size, np.uint64)
-            for k in range(size):
-                h = mixed(h * _GOLDEN + hashes[first[short] + k])
-            keys.append(h)
-            of.append(short)
-    keys, of = np.concatenate(keys), np.concatenate(of)
-    order = np.lexsort((keys, of))
-    keys, of = keys[order], of[order]
-    if not len(keys):
-        return keys, np.zeros(0, np.int64), of
-    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])])
-    return keys[new], np.diff(np.r_[new, len(keys)]), of[new]
-
-
 def _uniform(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
 
@@ -124,7 +95,7 @@ def _banded(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 data, offsets = utf8(part.column("text"))
-                keys, _, owner = shingles(data, offsets)
+                keys, _, owner = shingles(data, offsets, SHINGLE_WORDS)
                 n = part.num_rows
                 bands = band_keys(signatures(keys, np.ones(len(keys)), owner, n))
                 some = np.bincount(owner, minlength=n) > 0
@@ -152,7 +123,7 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
         head, of_head = None, None
         for batch in batches:
             for part in slices(batch):
-                keys, _, owner = shingles(*utf8(part.column("text")))
+                keys, _, owner = shingles(*utf8(part.column("text")), SHINGLE_WORDS)
                 bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 ids, leaders = part.column("doc_id").to_numpy(), part.column("leader").to_numpy()
                 found = []
@@ -169,102 +140,37 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return mapped(dealt, run, "a long, b long")
 
 
-def linked(sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """For each shingle set the first one that a chain of similar pairs leads to; every pair is compared."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(n), sizes)
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    common = count[column] > 1
-    owner, column = owner[common], (np.cumsum(count > 1) - 1)[column[common]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    both = np.zeros((n, n))
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
-        some = slice(*np.searchsorted(column, (low, low + _COLUMNS)))
-        grid = np.zeros((n, _COLUMNS), np.float32)
-        grid[owner[some], column[some] - low] = 1
-        both += grid @ grid.T
-    similar = both >= similarity * (sizes[:, None] + sizes - both) - 1e-9
-    np.fill_diagonal(similar, True)
-    label = np.arange(n)
-    while True:
-        low = np.where(similar, label, n).min(1)
-        if (low == label).all():
-            return label
-        label = low
-
-
-def _crowded(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _crowded(nodes: DataFrame, texts: DataFrame, tables: Scratch, kind: Shingling) -> DataFrame:
     """Links between members of one bucket, for every bucket whose members (``node``, ``class``, ``bands``) are not one class yet.
 
-    All pairs of different classes are checked.  A bucket is dealt in blocks, of one large class or of several small ones, and every two
-    blocks meet in a task unless they are of one class.  Buckets of the same members are checked once, those of three or fewer have been.
+    All members of such buckets are joined exactly: only texts that share a rare shingle and whose counts of shingles allow a link meet again, so pages of
+    one template that stay under the limit cost no more than their number.  Buckets of three or fewer have been checked.
     """
     spots = nodes.select("node", "class", F.explode("bands").alias("key"))
-    marks = [F.bit_xor(F.xxhash64("node")).alias("mark"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("mark2")]
-    buckets = spots.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), *marks)
-    some = buckets.filter("n > 3 and low < high").groupBy("n", "mark", "mark2").agg(F.min("key").alias("key")).select("key")
-    members = spots.join(some.hint("merge"), "key")
-    kinds = members.groupBy("key", "class").agg(F.count(F.lit(1)).alias("c")).withColumn("big", F.col("c") >= BLOCK)
-    small = kinds.groupBy("key").agg(F.sum(F.when(~F.col("big"), F.col("c")).otherwise(0)).alias("rest"))
-    of = F.when(F.col("big"), F.col("class")).otherwise(0)
-    parts = F.greatest(F.lit(1), F.ceil(F.when(F.col("big"), F.col("c")).otherwise(F.col("rest")) / BLOCK))
-    dealt = members.join(kinds, ["key", "class"]).join(small, "key").select(
-        "key", "node", F.struct("big", of.alias("of"), F.pmod(F.xxhash64(F.when(F.col("big"), F.col("node")).otherwise(F.col("class"))), parts).alias("part")).alias("block")
-    )
-    blocks = dealt.select("key", "block").distinct()
-    p, q = blocks.withColumnRenamed("block", "p"), blocks.withColumnRenamed("block", "q")
-    tiles = p.join(q.hint("merge"), "key").filter("p <= q and not (p.big and q.big and p.of = q.of)")
-    tiles = tiles.select("key", F.xxhash64("key", "p", "q").alias("tile"), F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
-    rows = dealt.join(tiles.hint("merge"), ["key", "block"]).select("key", "tile", F.col("node").alias("doc_id"))
-    rows = texts.join(rows.hint("merge"), "doc_id").select("key", "tile", "doc_id", "text").repartition("key", "tile").sortWithinPartitions("key", "tile")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
+    buckets = spots.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    some = spots.join(buckets.filter("n > 3 and low < high").select("key").hint("merge"), "key").select("node").distinct()
+    bodies = tables.written(texts.join(some.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id").select(F.col("doc_id").alias("nid"), "text"), "crowded")
+    return metric.similar(bodies, tables, kind)
 
-        def solved() -> pa.RecordBatch:
-            label, nodes = linked(sets, similarity), np.array(ids)
-            found = np.flatnonzero(label != np.arange(len(label)))
-            return pa.RecordBatch.from_arrays([pa.array(nodes[found], pa.int64()), pa.array(nodes[label[found]], pa.int64())], names=["a", "b"])
 
-        for batch in batches:
-            for part in slices(batch):
-                keys, _, owner = shingles(*utf8(part.column("text")))
-                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                for i, (*at, doc) in enumerate(zip(*(part.column(c).to_pylist() for c in ("key", "tile", "doc_id")), strict=True)):
-                    if at != now:
-                        if ids:
-                            yield solved()
-                        now, ids, sets = at, [], []
-                    ids.append(doc)
-                    sets.append(keys[bounds[i] : bounds[i + 1]])
-        if ids:
-            yield solved()
-
-    return mapped(rows, run, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id`` and ``class_id`` of every row: equal texts and texts linked by similar shingle sets share a class.
+def classified(docs: DataFrame, tables: Scratch, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Every row as ``doc_id`` and ``digest`` of its text, and the ``class`` of every digest with the smallest id in it, ``class_id``.
 
-    ``class_id`` is the smallest id of the class.  Equal texts (null and empty ones too) are one node from the start.  Within a bucket of a band
-    every text is first paired with the bucket's first and last id; then all pairs of a bucket that are in different classes are
-    checked, so every two similar texts that share a band are linked.  Texts without a word are alike only if equal.  A null id has a null class;
-    rows of one id and one text are one document; other columns are ignored.
-    """
-    tables = Scratch(docs.sparkSession)
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), text_column(docs, text).alias("text"))
+    Texts are told apart by their digests, ids play no part in which of them meet."""
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), F.unhex(F.sha2(text_column(docs, text), 256)).alias("digest"), text_column(docs, text).alias("text"))
     banded = tables.written(_banded(rows), "bands")
-    known = banded.filter("doc_id is not null")
-    nodes = tables.written(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
+    nodes = banded.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    nodes = tables.written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     spots = nodes.select("node", F.explode("bands").alias("key"))
     ends = spots.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
     met = spots.join(ends.hint("merge"), "key").select("node", F.explode(F.array("first", "last")).alias("other")).filter("node != other")
     pairs = tables.written(met.select(F.greatest("node", "other").alias("x"), F.least("node", "other").alias("leader")).distinct(), "pairs")
 
-    wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select(F.col("leader").alias("doc_id"))).distinct()
+    wanted = pairs.select(F.explode(F.array("x", "leader")).alias("node")).distinct()
     # Lists of candidates grow with the corpus: they are merged at every size, never sent to all tasks.
-    texts = tables.written(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    wanted = nodes.select("node", "digest").join(wanted.hint("merge"), "node")
+    texts = once_per_task(rows.select("digest", "text"), "digest").join(wanted.hint("merge"), "digest").dropDuplicates(["node"])
+    texts = tables.written(texts.select(F.col("node").alias("doc_id"), "text"), "candidates")
     nearest = pairs.groupBy("x").agg(F.min("leader").alias("leader"))
     links = tables.written(_similar(texts, nearest, similarity), "links")
     found = components(links)
@@ -278,11 +184,48 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     more = tables.written(links.union(_similar(texts, checked, similarity)), "more-links")
     found = components(more)
     labelled = tables.written(class_of(nodes.select("node", "bands"), "node", "class"), "labelled")
-    found = components(more.union(_crowded(labelled, texts, similarity)))
-    classes = class_of(nodes.select("digest", "node"), "node", "class_id").select("digest", "class_id")
-    out = banded.select("doc_id", "digest").join(classes, "digest", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")
-    )
-    out = tables.written(out, "classes")
-    tables.drop("bands", "nodes", "pairs", "candidates", "links", "open-pairs", "more-links", "labelled")
+    kind = Shingling(SHINGLE_WORDS, False, round(100 * similarity))
+    every = tables.written(more.union(_crowded(labelled, texts, tables, kind)), "all-links")
+    found = components(every)
+    classes = class_of(nodes.select("digest", "first", "node"), "node", "class")
+    lowest = classes.groupBy("class").agg(F.min("first").alias("class_id"))
+    classes = tables.written(classes.select("digest", "class").join(lowest, "class"), "classes")
+    tables.drop(*(name for name in list(tables.paths) if name not in ("bands", "classes")))
+    return banded.select("doc_id", "digest"), classes
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id`` and ``class_id`` of every row: equal texts and texts linked by similar shingle sets share a class.
+
+    ``class_id`` is the smallest id of the class.  Equal texts (null and empty ones too) are one node from the start, different texts never are, whatever their
+    ids.  Within a bucket of a band every text is first paired with the bucket's first and last text; then all texts of buckets that hold different
+    classes are joined exactly, so every two similar texts that share a band are linked.  Texts without a word are alike only if equal.  A null id has a
+    null class; rows of one id and several texts are rows of several classes; other columns are ignored.  ``similarity`` counts in hundredths.
+    """
+    tables = Scratch(docs.sparkSession)
+    rows, classes = classified(docs, tables, id_column, text, similarity)
+    out = rows.join(classes.select("digest", "class_id"), "digest", "left")
+    out = tables.written(out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")), "answers")
+    tables.drop("bands", "classes")
     return out
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class the text of the smallest id stays, in one row.
+
+    Null ids come last, and of the texts of one id the one with the smallest digest first, so a class without an id keeps a text too."""
+    tables = Scratch(docs.sparkSession)
+    rows, classes = classified(docs, tables, id_column, text, similarity)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    named = rows.join(classes.select("digest", "class"), "digest")
+    first = named.groupBy("class").agg(F.min(place).alias("first"))
+    dropped = named.join(first, "class").filter(place != F.col("first")).select("doc_id", "digest").distinct()
+    dropped = tables.written(dropped.select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "dropped")
+    own = (docs[id_column].cast("long"), F.unhex(F.sha2(text_column(docs, text), 256)))
+    kept = docs.join(dropped, own[0].eqNullSafe(dropped["gone_id"]) & (own[1] == dropped["gone_digest"]), "left_anti")
+    repeated = rows.groupBy("doc_id", "digest").count().filter("count > 1").limit(1).count()
+    tables.drop("bands", "classes")
+    if not repeated:
+        return kept
+    marked = kept.withColumns({"__id": kept[id_column].cast("long"), "__text": F.sha2(text_column(kept, text), 256)})
+    return marked.dropDuplicates(["__id", "__text"]).drop("__id", "__text")

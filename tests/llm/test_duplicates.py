@@ -10,7 +10,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from chronofold.llm import dart, passages, phrases, suffix
+from chronofold.llm import dart, metric, passages, phrases, suffix
+from chronofold.llm import sets as sets_module
 from chronofold.llm.graph import components
 from tests.llm import cases
 
@@ -106,7 +107,7 @@ def _bytes_kept(rows, window):
 
 def test_a_star_around_a_middle_id(spark, monkeypatch):
     """Copies of one text, each changed elsewhere, are similar to it but not to each other; so are those of a second family in the same buckets."""
-    monkeypatch.setattr(dart, "BLOCK", 20, raising=False)
+    monkeypatch.setattr(metric, "BLOCK", 20)
     rng = random.Random(12)
     base = [f"w{i}" for i in range(100)]
     rows = []
@@ -123,8 +124,33 @@ def test_a_star_around_a_middle_id(spark, monkeypatch):
     assert len(set(got.values())) < 40
 
 
+def test_texts_of_one_id_are_nodes_of_their_own(spark):
+    rng = random.Random(9)
+    a, b = ([f"{c}{rng.randrange(10**6)}" for _ in range(100)] for c in "ab")
+    near = lambda w: [*w[:50], "changed", *w[51:]]
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (9, " ".join(near(a))), (10, " ".join(near(b))), (None, " ".join(b)), (None, "alone"), (3, " ".join(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["class_id"]) for r in dart.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(7, 3), (7, 7), (9, 3), (10, 7), (None, None), (None, None), (3, 3)], key=str)
+    kept = {(r["doc_id"], r["text"]) for r in dart.one_of_each(df).collect()}
+    assert kept == {(3, " ".join(a)), (7, " ".join(b)), (None, "alone")}
+    assert dart.one_of_each(df.union(df)).count() == 3 and dart.one_of_each(df).columns == df.columns
+
+
+def test_pages_of_a_template_do_not_meet(spark, monkeypatch):
+    """Pages that share most of their words but stay under the limit cost one row each, not a row per pair."""
+    monkeypatch.setattr(metric, "SAMPLED", 4)
+    rng = random.Random(10)
+    template = [f"t{i}" for i in range(170)]
+    pages = spark.createDataFrame([(i, " ".join(template + [f"u{rng.randrange(10**9)}" for _ in range(26)])) for i in range(600)], "nid long, text string")
+    kind = metric.Shingling(5, False, 80)
+    measured = metric._measured(pages, metric.frequent(pages, kind), kind).cache()
+    assert metric.regions(measured, 80).count() == 0
+    assert dart.near_duplicates(pages.withColumnRenamed("nid", "doc_id")).select("class_id").distinct().count() == 600
+
+
 def test_linked_sets(monkeypatch):
-    monkeypatch.setattr(dart, "_COLUMNS", 7)
+    monkeypatch.setattr(sets_module, "_COLUMNS", 7)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     sets = [np.unique(np.where(rng.random(40) < 0.07, rng.integers(0, 1 << 63, 40, dtype=np.uint64), base)) for _ in range(30)] + [base[:3], np.zeros(0, np.uint64)]
@@ -136,7 +162,7 @@ def test_linked_sets(monkeypatch):
                 if both and both >= 0.8 * (len(a) + len(b) - both):
                     want[i] = min(want[i], want[j])
     assert 1 < len(set(want)) < len(sets)
-    assert dart.linked(sets[:-1], 0.8).tolist() == want[:-1]
+    assert sets_module.linked(sets[:-1], 0.8).tolist() == want[:-1]
 
 
 @pytest.mark.parametrize("hot", [2000, 1])

@@ -89,7 +89,7 @@ def test_all_links_of_families(spark, monkeypatch, leaf, pivots, share):
     rows = families(leaf)
     monkeypatch.setattr(metric, "BLOCK", 16)
     monkeypatch.setattr(metric, "SAMPLED", 2)
-    monkeypatch.setattr(metric.links, "__defaults__", (metric.PERCENT, leaf, pivots, share))
+    monkeypatch.setattr(metric.links, "__defaults__", (metric.DEFAULT, leaf, pivots, share))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert answers(df) == plain(rows)
 
@@ -102,17 +102,17 @@ def test_one_region_of_everything(spark):
         base = rng.choice(10**6, 100, replace=False)
         for _ in range(10):
             own = base.copy()
-            some = rng.random(100) < rng.choice([0.02, 0.05, 0.08, 0.3])
+            some = rng.random(100) < rng.choice([0.005, 0.01, 0.02, 0.1])
             own[some] = rng.integers(10**6, 10**9, some.sum())
-            sets.append(np.unique(own).astype(np.uint64))
+            sets.append(" ".join(map(str, own)))
     tables = Scratch(spark)
-    bodies = spark.createDataFrame([(i, len(s), s.tobytes()) for i, s in enumerate(sets)], "nid long, n long, body binary")
-    members = spark.range(len(sets)).select(F.lit(0).cast("long").alias("region"), F.col("id").alias("nid"))
+    bodies = spark.createDataFrame(list(enumerate(sets)), "nid long, text string")
+    members = spark.range(len(sets)).select(F.lit(0).cast("long").alias("region"), F.col("id").alias("nid"), F.lit(97).cast("long").alias("n"))
     got = metric.components(metric.links(members, bodies, tables, leaf=5, pivots=4, share=2000)).collect()
     label = dict((r["node"], r["class"]) for r in got)
-    whole = metric.linked(sets, 0.85)
+    whole = [r[2] for r in sorted(plain(list(enumerate(sets))))]
     groups = {}
-    for i, c in enumerate(whole.tolist()):
+    for i, c in enumerate(whole):
         groups.setdefault(c, set()).add(i)
     mine = {}
     for i in range(len(sets)):
@@ -149,3 +149,19 @@ def test_windows_hold_all_links():
             both = len(np.intersect1d(a, sets[j]))
             if 100 * both >= 85 * (len(a) + len(sets[j]) - both):
                 assert (seen[i][1] & seen[j][1]).any()
+
+
+def test_no_link_leaves_a_region():
+    rng = np.random.default_rng(8)
+    sets = []
+    for _ in range(30):
+        base = rng.integers(1, 1 << 62, int(rng.integers(1, 900))).astype(np.uint64)
+        sets.append(np.unique(base))
+        sets.append(np.unique(np.r_[base[rng.random(len(base)) < 0.93], rng.integers(1, 1 << 62, 2).astype(np.uint64)]))
+        sets.append(np.unique(rng.integers(1, 1 << 62, int(rng.integers(1, 900))).astype(np.uint64)))
+    sizes = np.array([len(s) for s in sets])
+    kept = metric.neighbours(metric.sketches(np.concatenate(sets), np.r_[0, np.cumsum(sizes)]), sizes)
+    for i, a in enumerate(sets):
+        both = [len(np.intersect1d(a, b)) for b in sets]
+        assert kept[i] or not any(100 * c >= 85 * (len(a) + len(b) - c) for j, (b, c) in enumerate(zip(sets, both, strict=True)) if j != i)
+    assert kept.sum() < 75
