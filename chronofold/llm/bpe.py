@@ -1,7 +1,8 @@
 """Byte-pair encoding and decoding with a segment tree over the ranks of adjacent pairs.
 
 The tokenizer file is a byte-pair vocabulary whose words end in a suffix: text is composed
-(NFC), lower-cased and cut into words; white space is dropped.  Each distinct word is merged once per Python worker and then looked up.
+(NFC), lower-cased and cut into words; white space is dropped.  Words are cut as spans of bytes and looked up in a table of arrays; each distinct
+word is merged once per Python worker, and again only if it was not met for a whole generation of the table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +20,11 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from chronofold.llm.common import mapped, slices, text_column
+from chronofold.llm import pieces
+from chronofold.llm.common import mapped, slices, text_column, utf8
 
-#: Entries of a worker's word table, of which it has two, the older one for words that come again.
-WORDS_KEPT = 300_000
+#: Words of a worker's table.
+WORDS_KEPT = 500_000
 
 NO_RANK = 1 << 30
 
@@ -36,6 +37,12 @@ _SPLIT_DIFFERS = regex.compile(r"[\x1c-\x1f]")
 _YOUNG = regex.compile("[\u0530-\U0010ffff]")
 
 
+def _objects(values: list[bytes]) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
+
+
 def byte_alphabet() -> list[str]:
     """Character that stands for each byte."""
     table, extra = {b: chr(b) for b in _PRINTABLE}, 256
@@ -188,11 +195,9 @@ class Encoder:
         self.pieces = regex.compile(splitter["pattern"]["Regex"])
         self.markers = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.library = Tokenizer.from_file(path)
-        self.special_ids = {name: struct.pack("<I", i) for name, i in self.special.items()}
-        self.known: dict[str, bytes] = dict(self.special_ids)
-        self.shown: dict[str, tuple[str, str]] = {}
-        self.older: dict[str, bytes] = {}
-        self.older_shown: dict[str, tuple[str, str]] = {}
+        self.long: dict[tuple[bool, bytes], bytes] = {}
+        self.table, self.met, self.known = pieces.Table(0), np.zeros(0, bool), np.empty(0, object)
+        self._renewed(0)
 
     def _cut(self, run: str) -> list[bytes]:
         """The pieces of a run without white space.  Letters of younger scripts depend on the library's own
@@ -231,13 +236,6 @@ class Encoder:
                     out[k] = [i for i in row if i >= 0]
         return out
 
-    def learn(self, runs: set[str]) -> None:
-        """Puts runs into the table: their ids as bytes."""
-        cut = {run: self._cut(run) for run in runs}
-        pieces = list({p for parts in cut.values() for p in parts})
-        ids_of = {p: struct.pack(f"<{len(i)}I", *i) for p, i in zip(pieces, self.word_ids(pieces), strict=True)}
-        self.known |= {run: ids_of[parts[0]] if len(parts) == 1 else b"".join([ids_of[p] for p in parts]) for run, parts in cut.items()}
-
     def _split(self, text: str) -> list[str]:
         """The runs between white space, and special tokens as runs of their own."""
         out, at = [], 0
@@ -250,42 +248,97 @@ class Encoder:
     def _plain(text: str) -> list[str]:
         return [r for r in _GAP.split(text) if r] if _SPLIT_DIFFERS.search(text) else text.split()
 
-    def runs_of(self, texts: list[str]) -> list[list[str]]:
-        """The runs of every text, all of them in the table ``known`` until the next call.
-
-        A full table becomes the older one, from which words that come again are taken over: frequent words are not merged anew."""
-        split = [self._split(t) for t in texts]
-        runs = set(chain.from_iterable(split))
-        if len(self.known) + len(runs) > WORDS_KEPT:
-            self.older, self.older_shown = (self.known, self.shown) if len(self.known) <= WORDS_KEPT else ({}, {})
-            self.known, self.shown = dict(self.special_ids), {}
-        new = {r for r in runs if r not in self.known}
-        again = new & self.older.keys()
-        self.known |= {r: self.older[r] for r in again}
-        self.learn(new - again)
-        return split
-
-    def encoded(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of every text, as little-endian unsigned 32-bit numbers."""
-        split, known = self.runs_of(texts), self.known
-        for runs in split:
-            yield b"".join([known[r] for r in runs])
-
-    def displayed(self, texts: list[str]) -> Iterator[tuple[str, str]]:
-        """For every text its ids as decimal numbers and its decoded text."""
-        split, shown = self.runs_of(texts), self.shown
-        for run in {r for r in chain.from_iterable(split) if r not in shown}:
-            if run in self.older_shown:
-                shown[run] = self.older_shown[run]
-                continue
-            ids = np.frombuffer(self.known[run], "<u4").tolist()
-            shown[run] = (" ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
-        for runs in split:
-            both = [shown[r] for r in runs if self.known[r]]
-            yield " ".join([x[0] for x in both]), " ".join([x[1] for x in both])
+    def _renewed(self, more: int) -> None:
+        """A table with room for ``more`` words; words that were met since the last one was begun are taken over, unless they fill more than half of it."""
+        old, values = self.table, self.known
+        kept = np.flatnonzero(self.met[: old.count])
+        if len(kept) + more > WORDS_KEPT:
+            kept = kept[:0]
+        capacity = max(WORDS_KEPT, len(kept) + more)
+        self.table, self.known = pieces.Table(capacity), np.empty(capacity, object)
+        self.decimals, self.spelled, self.counts, self.shown_to = np.empty(capacity, object), np.empty(capacity, object), np.zeros(capacity, np.int64), 0
+        self.table.add(old.first[kept], old.last[kept], old.size[kept])
+        self.known[: len(kept)] = values[kept]
+        self.met = np.zeros(capacity, bool)
+
+    def _numbered(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The table's numbers of short pieces; new ones are learned."""
+        keys = self.table.keys(low, starts, ends)
+        number = self.table.find(*keys)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            _, one = np.unique(np.rec.fromarrays([k[new] for k in keys]), return_index=True)
+            if self.table.count + len(one) > self.table.capacity:
+                self._renewed(len(np.unique(np.rec.fromarrays(keys))))
+                return self._numbered(low, starts, ends)
+            one = new[one]
+            at = self.table.count
+            self.table.add(*(k[one] for k in keys))
+            words = [low[a:b].tobytes() for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]
+            self.known[at : at + len(one)] = [struct.pack(f"<{len(i)}I", *i) for i in self.word_ids(words)]
+            number[new] = self.table.find(*(k[new] for k in keys))
+        self.met[number] = True
+        return number
+
+    def _rare(self, keys: list[tuple[bool, bytes]]) -> list[bytes]:
+        """The ids of long pieces (False, lower-cased) and of runs that are cut by character tables (True, as they are)."""
+        if len(self.long) > WORDS_KEPT // 4:
+            self.long = {}
+        new = list({k for k in keys if k not in self.long})
+        runs = [[raw] if not whole else [x for r in self._split(raw.decode()) for x in ([r] if r in self.special else self._cut(r))] for whole, raw in new]
+        words = list({w for r in runs for w in r if isinstance(w, bytes)})
+        ids_of = {w: struct.pack(f"<{len(i)}I", *i) for w, i in zip(words, self.word_ids(words), strict=True)}
+        ids_of |= {name: struct.pack("<I", i) for name, i in self.special.items()}
+        self.long |= {key: b"".join([ids_of[w] for w in run]) for key, run in zip(new, runs, strict=True)}
+        return [self.long[k] for k in keys]
+
+    def _looked_up(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Of a column's pieces: places and numbers of those in the table, places and ids of the others; where each text's pieces start."""
+        low, starts, ends, owner, kind = pieces.cut(*utf8(column))
+        short = (ends - starts <= pieces.TABLE_BYTES) & (kind != pieces.WHOLE)
+        at, rare = np.flatnonzero(short), np.flatnonzero(~short)
+        number = self._numbered(low, starts[at], ends[at])
+        ids = self._rare([(bool(kind[k] == pieces.WHOLE), low[starts[k] : ends[k]].tobytes()) for k in rare])
+        return at, number, rare, ids, np.searchsorted(owner, np.arange(len(column) + 1))
+
+    def encoded(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of every text of a string column, as little-endian unsigned 32-bit numbers."""
+        at, number, rare, ids, bounds = self._looked_up(column)
+        every = np.empty(len(at) + len(rare), object)
+        every[at], every[rare] = self.known[number], _objects(ids)
+        every = every.tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield b"".join(every[a:b])
+
+    def _spell(self, ids: bytes) -> tuple[bytes, bytes]:
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        return " ".join(map(str, numbers)).encode(), " ".join([self.names[i] for i in numbers]).encode()
+
+    def displayed(self, column: pa.Array) -> Iterator[tuple[int, bytes, bytes]]:
+        """For every text the number of its ids, the ids as decimal numbers and the decoded text, both joined by one space."""
+        at, number, rare, ids, bounds = self._looked_up(column)
+        new = slice(self.shown_to, self.table.count)
+        both = [self._spell(i) for i in self.known[new]]
+        self.decimals[new], self.spelled[new] = _objects([x for x, _ in both]), _objects([x for _, x in both])
+        self.counts[new] = [len(i) // 4 for i in self.known[new]]
+        self.shown_to = self.table.count
+        shown = [self._spell(i) for i in ids]
+        counts = np.empty(len(at) + len(rare), np.int64)
+        counts[at], counts[rare] = self.counts[number], [len(i) // 4 for i in ids]
+        totals = np.r_[0, np.cumsum(counts)]
+        totals = (totals[bounds[1:]] - totals[bounds[:-1]]).tolist()
+        if not counts.all():  # a run of characters that are no piece
+            bounds = np.r_[0, np.cumsum(counts > 0)][bounds]
+        texts = []
+        for table, own in ((self.decimals, [x for x, _ in shown]), (self.spelled, [x for _, x in shown])):
+            every = np.empty(len(at) + len(rare), object)
+            every[at], every[rare] = table[number], _objects(own)
+            texts.append(every[counts > 0].tolist())
+        for n, a, b in zip(totals, bounds, bounds[1:], strict=False):
+            yield n, b" ".join(texts[0][a:b]), b" ".join(texts[1][a:b])
 
     def ids(self, text: str) -> list[int]:
-        return np.frombuffer(next(self.encoded([text])), "<u4").tolist()
+        return np.frombuffer(next(self.encoded(pa.array([text], pa.string()))), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The tokens joined by one space, as the library does for a file without a decoder."""
@@ -313,10 +366,10 @@ def encode_documents(docs: DataFrame, path: str, id_column: str = "doc_id", text
         for batch in batches:
             for part in slices(batch):
                 counts, ids, decoded = [], [], []
-                for numbers, tokens in enc.displayed(part.column("text").to_pylist()):
-                    counts.append(numbers.count(" ") + 1 if numbers else 0)
-                    ids.append(hashlib.sha256(numbers.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(tokens.encode()).hexdigest())
+                for n, numbers, tokens in enc.displayed(part.column("text")):
+                    counts.append(n)
+                    ids.append(hashlib.sha256(numbers).hexdigest())
+                    decoded.append(hashlib.sha256(tokens).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

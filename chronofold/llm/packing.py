@@ -139,7 +139,7 @@ def pieces(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
         for batch in batches:
             for part in slices(batch):
                 of, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(encoder.encoded(part.column("text").to_pylist())):
+                for i, ids in enumerate(encoder.encoded(part.column("text"))):
                     ids += end
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]

@@ -11,9 +11,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
-from chronofold.llm import bpe, langid, packing, quality, simhash
+from chronofold.llm import bpe, langid, packing, pieces, quality, simhash
 from chronofold.llm.common import sliding_argmin, utf8, words
 from tests.llm import cases
 
@@ -41,6 +42,36 @@ def test_encoder_agrees_with_the_library():
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_pieces_are_cut_as_by_the_pattern():
+    pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\x85\p{L}\p{N}]+")
+    rng = random.Random(1)
+    pool = [c for c in map(chr, range(0x20, pieces.PLAIN_BELOW)) if pieces._KINDS[ord(c)] != pieces.WHOLE]
+    pool += [*"\t\n\x1c\x85\xa0", "'re", "'LL", "'s", "'t'", "''d", "'v\xe9", "a", "b", "1"]
+    for _ in range(200):
+        some = ["".join(rng.choice(pool) for _ in range(rng.randrange(60))) for _ in range(20)]
+        low, starts, ends, owner, kind = pieces.cut(*utf8(pa.array(some)))
+        got = [[] for _ in some]
+        for a, b, of in zip(starts, ends, owner, strict=True):
+            got[of].append(low[a:b].tobytes().decode())
+        assert all(g == pattern.findall(t.lower()) for t, g in zip(some, got, strict=True) if "<|" not in t)
+
+
+def test_table_of_pieces():
+    rng = np.random.default_rng(6)
+    words = list({bytes(rng.integers(97, 100, int(rng.integers(1, 17))).astype(np.uint8)) for _ in range(4000)})
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    table = pieces.Table(len(words))
+    keys = table.keys(data, starts, ends)
+    assert (table.find(*keys) == -1).all()
+    half = len(words) // 2
+    table.add(*(k[:half] for k in keys))
+    assert table.find(*keys).tolist() == [*range(half), *[-1] * (len(words) - half)]
+    table.add(*(k[half:] for k in keys))
+    assert table.find(*keys).tolist() == list(range(len(words)))
+
+
 def test_merging_one_word_and_many_agree():
     own = bpe.Encoder(PATH)
     rng = random.Random(2)
@@ -54,7 +85,7 @@ def test_word_table_stays_bounded(monkeypatch):
     own, library = bpe.Encoder(PATH), Tokenizer.from_file(PATH)
     for text in filter(None, cases.texts()):
         assert own.ids(text) == library.encode(text, add_special_tokens=False).ids
-        assert next(own.displayed([text]))[0] == " ".join(map(str, own.ids(text)))
+        assert next(own.displayed(pa.array([text])))[1].decode() == " ".join(map(str, own.ids(text)))
 
 
 @pytest.mark.parametrize("repeated", [False, True])
