@@ -24,15 +24,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document of the smallest id stays; documents without an id are not compared.
-
-    Rows of one id are one document, of which one row stays."""
-    classes = written(dart.near_duplicates(docs), "classes").filter("doc_id is not null")
-    dropped = classes.filter("class_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    if not classes.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    """Of each class of near-duplicates the document of the smallest id stays, in one row; no two different classes are merged, whatever their ids."""
+    return dart.one_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
