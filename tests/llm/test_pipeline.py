@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
     import __spark_entry__
 
@@ -42,4 +42,4 @@ def test_stages_on_odd_rows(spark):
         assert stage(spark, cases.empty(spark), "").count() == 0
     kept = corpus_pipeline.near_duplicates(spark, df, "")
     assert kept.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").count() == 0
-    assert kept.filter("doc_id is null").count() == 2
+    assert [r["text"].split()[0] for r in kept.filter("doc_id is null").collect()] == ["only"]  # the other one's text has an id elsewhere
