@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,6 +183,9 @@ class Generator(Protocol):
     def generate(self, system: str, user: str, max_new_tokens: int = 128) -> str: ...
 
 
+#: Names that are sent to every task; more are joined.
+TERMS_IN_ROW = 200_000
+
 SYSTEM_PROMPT = (
     "Read the text and name the professional match it is about. Answer with one JSON object: "
     '"teams" lists the team names as they are written (none, one or two), "event" is the tournament '
@@ -216,35 +222,71 @@ def words_of(text: Column) -> Column:
 
 def gazetteer_references(
     documents: DataFrame, names: DataFrame, *, key: str, text: str,
-    name: str = "alias", entity: str = "entity_id", head_chars: int | None = HEAD_CHARS,
+    name: str = "alias", entity: str = "entity_id", head_chars: int | None = HEAD_CHARS, terms_in_row: int = TERMS_IN_ROW,
 ) -> DataFrame:
     """``key, teams, event, game_number`` by looking names up in the text.
 
     Every run of words as long as some name is looked up; each entity found contributes the name
-    seen first.  ``head_chars=None`` searches whole texts.
+    seen first.  ``head_chars=None`` searches whole texts.  Up to ``terms_in_row`` different names are sent to the tasks, which give out the runs that are names
+    and nothing else; more names are joined with all runs.
     """
     spelled = names.select(F.array_join(words_of(F.col(name)), " ").alias("_term"), F.col(entity).alias("_entity"))
     spelled = spelled.where(F.col("_term") != "").distinct()
-    # Word counts of names: a handful of small numbers.
-    lengths = [r[0] for r in spelled.select(F.size(F.split("_term", " "))).distinct().collect()]
     body = F.coalesce(F.col(text), F.lit(""))
     body = body if head_chars is None else F.substring(body, 1, head_chars)
     worded = documents.select(key, words_of(body).alias("_words"))
-    runs = F.flatten(F.array(*[_runs(F.col("_words"), n) for n in sorted(lengths)])) if lengths else F.array()
-    terms = worded.select(key, F.inline(runs)) if lengths else None
-    if terms is None:
-        return documents.select(key, F.array().cast("array<string>").alias("teams"),
-                                F.lit(None).cast("string").alias("event"), F.lit(None).cast("int").alias("game_number"))
-    hits = terms.join(spelled, "_term")
+    # A row more than may be sent tells that there are too many.
+    terms = [r[0] for r in spelled.select("_term").distinct().limit(terms_in_row + 1).collect()]
+    met = _met_in_row(worded, key, terms) if len(terms) <= terms_in_row else _met_by_join(worded, key, spelled)
+    hits = met.join(spelled, "_term")
     first = hits.groupBy(key, "_entity").agg(F.min(F.struct("_at", "_term")).alias("_hit"))
     found = first.groupBy(key).agg(
         F.array_distinct(F.transform(F.array_sort(F.collect_list("_hit")), lambda h: h["_term"])).alias("teams")
     )
+    found = found if terms else documents.select(key, F.array().cast("array<string>").alias("teams"))
     return found.withColumns(
         {"event": F.lit(None).cast("string"), "game_number": F.lit(None).cast("int")}
     )
 
 
+def _met_by_join(worded: DataFrame, key: str, spelled: DataFrame) -> DataFrame:
+    """``key, _at, _term`` of all runs of as many words as some name has."""
+    # Word counts of names: a handful of small numbers.
+    lengths = [r[0] for r in spelled.select(F.size(F.split("_term", " "))).distinct().collect()]
+    return worded.select(key, F.inline(F.flatten(F.array(*[_runs(F.col("_words"), n) for n in sorted(lengths)]))))
+
+
+def _met_in_row(worded: DataFrame, key: str, terms: list[str]) -> DataFrame:
+    """``key, _at, _term`` of the runs that are names: a batch's words are looked up in the names' first words, and only runs that begin
+    with one of them in the names."""
+    by_length: dict[int, list[str]] = {}
+    for term in terms:
+        by_length.setdefault(term.count(" ") + 1, []).append(term)
+    tables = [(n, pa.array({t.split(" ", 1)[0] for t in some}), pa.array(some)) for n, some in sorted(by_length.items())]
+    kind = worded.schema[key].dataType.simpleString()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_words")
+            words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(sizes)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            start = (ends - sizes)[of] if len(of) else of
+            found = []
+            for n, firsts, names in tables:
+                at = np.flatnonzero(pc.is_in(words, value_set=firsts).to_numpy(zero_copy_only=False))
+                at = at[at + n <= ends[of[at]]]
+                run = pc.binary_join_element_wise(*(words.take(pa.array(at + k)) for k in range(n)), " ") if n > 1 else words.take(pa.array(at))
+                place = pc.index_in(run, value_set=names)
+                hit = np.flatnonzero(place.is_valid().to_numpy(zero_copy_only=False))
+                at = at[hit]
+                found.append(pa.RecordBatch.from_arrays(
+                    [batch.column(key).take(pa.array(of[at])), pa.array(at - start[at] + 1, pa.int32()), run.take(pa.array(hit))], names=[key, "_at", "_term"]))
+            yield from found
+
+    return worded.mapInArrow(search, f"{key} {kind}, _at int, _term string")
+
+
 def _runs(words: Column, n: int) -> Column:
     """All runs of ``n`` words with the position of their first occurrence's start."""
     starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(

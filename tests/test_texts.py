@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions import text as X
 from chronofold.functions import values as V
-from chronofold.plans.grounding import expand_aliases, gazetteer_references, link
+from chronofold.plans.grounding import _met_in_row, expand_aliases, gazetteer_references, link
 from chronofold.streaming.flows import replayed_items, require_current
 from tests.test_ordered import item_rows, plain_replay
 
@@ -157,3 +157,24 @@ def test_stream_replay_closes_an_idle_owner(spark, tmp_path):
     got = sorted(((r.k, r.id, r.item, r.held) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
     # a's purchase can no longer be taken back; b's last two can.
     assert got == sorted([("a", 1, 7, 1), ("b", 2, 7, 1), ("b", 3, 8, 1), ("b", 4, None, 1), ("b", 6, None, 0), ("b", 7, 8, 0)], key=str)
+
+
+@pytest.mark.parametrize("terms_in_row", [0, 100])
+def test_names_in_texts(spark, terms_in_row):
+    """Runs of words that are names are found, by both ways, and in rows only they come out."""
+    texts = [(1, "The Red Lions beat Blue; the red lions again. Blue"), (2, "lions red"), (3, None), (4, ""), (5, "  Blue  "), (None, "red-lions"), (6, "Red Lions Academy")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in texts], "id long, text string, alias string")
+    names = spark.createDataFrame([("Red Lions", "a"), ("red  lions", "a"), ("BLUE", "b"), ("Red Lions Academy", "c"), ("--", "d"), (None, "e")], "alias string, entity_id string")
+    out = gazetteer_references(docs, names, key="id", text="text", terms_in_row=terms_in_row)
+    assert {(r.id, tuple(r.teams)) for r in out.collect()} == {
+        (1, ("red lions", "blue")), (5, ("blue",)), (None, ("red lions",)), (6, ("red lions", "red lions academy"))}
+    assert out.columns == ["id", "teams", "event", "game_number"]
+    none = gazetteer_references(docs, names.limit(0), key="id", text="text")
+    assert none.count() == len(texts) and none.where("size(teams) > 0").count() == 0
+
+
+def test_only_names_come_out_of_rows(spark):
+    words = spark.range(1000).select("id", F.array(*[F.concat(F.lit(w), (F.col("id") % 7).cast("string")) for w in "abcdefgh"]).alias("_words"))
+    met = _met_in_row(words, "id", ["a3 b3", "c5", "zz", "h1 a1", "g2 h2 i2"]).collect()
+    assert {(r.id % 7, r._at, r._term) for r in met} == {(3, 1, "a3 b3"), (5, 3, "c5")}
+    assert len(met) == sum(1 for i in range(1000) if i % 7 in (3, 5))
