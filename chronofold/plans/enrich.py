@@ -180,6 +180,60 @@ def snapshot(
     )
 
 
+def match_snapshots(
+    events: DataFrame, participants: DataFrame, matches: DataFrame, *, at: int = SNAPSHOT_AT, tolerance: int = SNAPSHOT_TOLERANCE,
+    prefixes: Sequence[str] = SNAPSHOT_PREFIXES,
+) -> DataFrame:
+    """:func:`snapshot` of the wide events, from the narrow ones: state is aggregated up to the cut, no row is widened and no window runs.
+
+    Events must be numbered in time order.  The newest inventory and level of a player before the cut are the ones at the last row.
+    Frames count up to that row's time; those before the cut, one a minute and player, are carried in a list until it is known.
+    """
+    order = F.struct("timestamp", "eventId")
+    at_frame = F.col("type") == FRAME_EVENT
+    before, own = F.col("timestamp") <= at + tolerance, ~at_frame
+    of_frame = [c for c in prefixes if c in FRAME_COLUMNS]
+    frame = F.struct("timestamp", "eventId", "participantId", *of_frame)
+    mine = {p: F.col("participantId") == p for p in PLAYERS}
+    on_item, on_level = before & F.col("type").isin(*ITEM_EVENTS), before & (F.col("type") == "LEVEL_UP") & F.col("level").isNotNull()
+    held = F.struct("inventoryIds", "inventoryCounts")
+    counted = before & F.col("type").isin(*COUNTED_EVENTS)
+    counts = {
+        f"{name}_{p}": F.count_if(counted & rule & (F.col("victimId" if name == "deaths" else "participantId") == p))
+        for name, rule in snapshot_rules().items() for p in PLAYERS
+    }
+    found = events.groupBy("matchId").agg(
+        F.max(F.when(own, F.col("timestamp"))).alias("_length"),
+        F.max_by(F.struct("timestamp", "winningTeam"), F.when(own & before, order)).alias("_last"),
+        F.min_by("winningTeam", F.when(own & ~before & F.col("winningTeam").isNotNull(), order)).alias("_winner"),
+        F.collect_list(F.when(before & at_frame, frame)).alias("_frames"),
+        *[F.max_by(held, F.when(on_item & mine[p], order)).alias(f"_i{p}") for p in PLAYERS if {"inventoryIds", "inventoryCounts"} & {*prefixes}],
+        *[F.max_by("level", F.when(on_level & mine[p], order)).alias(f"_l{p}") for p in PLAYERS if "level" in prefixes],
+        *[count.alias(name) for name, count in counts.items()],
+    )
+    lasting = found.where((F.col("_length") >= at) & F.col("_last").isNotNull())
+    seen = F.filter("_frames", lambda f: f["timestamp"] <= F.col("_last.timestamp"))
+    lasting = lasting.withColumn("_frames", F.array_sort(seen)).withColumn("_frame_at", F.try_element_at("_frames", F.lit(-1))["timestamp"])
+    current = lambda p: F.try_element_at(
+        F.filter("_frames", lambda f: (f["timestamp"] == F.col("_frame_at")) & (f["participantId"] == p)), F.lit(-1))
+    lasting = lasting.withColumns({f"_f{p}": current(p) for p in PLAYERS if of_frame})
+
+    def state(prefix: str, p: int) -> Column:
+        if prefix in FRAME_COLUMNS:
+            return F.col(f"_f{p}.{prefix}")
+        if prefix == "level":
+            return F.coalesce(F.col(f"_l{p}"), F.lit(1))
+        return F.col(f"_i{p}.{prefix}") if prefix in ("inventoryIds", "inventoryCounts") else F.col(f"{prefix}_{p}")
+
+    joined = lasting.join(matches.select(*MATCH_COLUMNS), "matchId")
+    if {*prefixes} & {*PREGAME_COLUMNS}:
+        joined = with_pregame(joined, participants)
+    return joined.select(
+        "matchId", *[F.col("_last.timestamp").alias(c) if c == "timestamp" else F.col(c) for c in SNAPSHOT_COLUMNS],
+        *[state(c, p).alias(f"{c}_{p}") for p in PLAYERS for c in prefixes], F.coalesce("_last.winningTeam", "_winner").alias("winningTeam"), *counts,
+    )
+
+
 def split_matches(matches: DataFrame, *, count: int | None = None) -> DataFrame:
     """Matches marked train or test, stratified by patch and winner."""
     columns = ["matchId", "patch", "winner_team_id", "region"]

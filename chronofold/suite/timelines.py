@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.operators.grids import in_all
-from chronofold.plans.enrich import enriched_events, snapshot, snapshot_inputs, split_matches, with_player_state
+from chronofold.plans.enrich import enriched_events, match_snapshots, split_matches, with_player_state
 from chronofold.plans.features import interval_samples, level_of, with_deltas, xp_gain
 from chronofold.plans.matches import (
     basic_tables, eligible, match_rows, not_yet_done, participant_rows, read_match_infos, read_timelines,
@@ -330,22 +330,33 @@ def enriched_events_built(t: Tables) -> DataFrame:
     )
 
 
+_PLAYERS = range(1, 11)
+# Rules that the timelines have events for; the others count nothing.
+_SEEN_RULES = {"kills": "type = 'CHAMPION_KILL' AND pid", "deaths": "type = 'CHAMPION_KILL' AND victim", "assists": "type = 'CHAMPION_ASSIST' AND pid"}
+_SEEN_RULES["FIRE_DRAGON"] = "type = 'ELITE_MONSTER_KILL' AND k % 2 = 0 AND pid"
+
+
 @query("N6 J7 J8 J9 A2 A3 P12 P13 W6", _EVENTS + """
 , cut AS (SELECT * FROM numbered WHERE ts <= 120000 + 10000 AND k IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE'))
 SELECT 'M_' || k AS matchId, max(ts) FILTER (type <> 'PARTICIPANT_FRAME')::INTEGER AS timestamp,
-  (CASE WHEN k % 2 = 0 THEN 100 ELSE 200 END)::SMALLINT AS winningTeam,
-  count(*) FILTER (type = 'CHAMPION_KILL' AND pid = 1) AS kills_1, count(*) FILTER (type = 'CHAMPION_KILL' AND victim = 8) AS deaths_8,
-  count(*) FILTER (type = 'CHAMPION_ASSIST' AND pid = 4) AS assists_4,
-  count(*) FILTER (type = 'ELITE_MONSTER_KILL' AND k % 2 = 0 AND pid = 2) AS FIRE_DRAGON_2, 0::BIGINT AS OUTER_TURRET_9,
-  max(2 * 300 + 30 + k % 7)::INTEGER AS xp_3
+  (CASE WHEN k % 2 = 0 THEN 100 ELSE 200 END)::SMALLINT AS winningTeam, '14.' || (k % 24 + 1) AS patch,
+  """ + ", ".join(f"count(*) FILTER ({rule} = {p}) AS {name}_{p}" for name, rule in _SEEN_RULES.items() for p in _PLAYERS) + """, 0::BIGINT AS OUTER_TURRET_9,
+  """ + ", ".join(f"max(CASE WHEN type = 'PARTICIPANT_FRAME' AND pid = {p} AND ts = 120000 THEN xp END)::INTEGER AS xp_{p}" for p in _PLAYERS) + """,
+  """ + ", ".join(f"(120000 // 6000 + {p})::INTEGER AS positionX_{p}" for p in _PLAYERS) + """,
+  """ + ", ".join(f"coalesce(max_by(level, id) FILTER (type = 'LEVEL_UP' AND pid = {p}), 1)::INTEGER AS level_{p}" for p in _PLAYERS) + """,
+  """ + ", ".join(f"bool_or(type LIKE 'ITEM%' AND pid = {p}) AS has_items_{p}" for p in _PLAYERS) + """,
+  """ + ", ".join(f"((k + {p} * 13) % 170)::INTEGER AS championId_{p}" for p in _PLAYERS) + """
 FROM cut GROUP BY k
 """)
 def match_snapshot(t: Tables) -> DataFrame:
-    """Snapshot of every match at two minutes."""
+    """Snapshot of every match at two minutes: counts and five kinds of state of all players."""
     tables = basic_tables(match_documents(t), timeline_documents(t), death_timer=death_timer)
-    wide = enriched_events(tables["events"], tables["participants"], tables["matches"])
-    return snapshot(wide.select(*snapshot_inputs()), at=120_000).select(
-        "matchId", "timestamp", "winningTeam", "kills_1", "deaths_8", "assists_4", "FIRE_DRAGON_2", "OUTER_TURRET_9", "xp_3"
+    prefixes = ("xp", "positionX", "level", "inventoryIds", "championId")
+    found = match_snapshots(tables["events"], tables["participants"], tables["matches"], at=120_000, prefixes=prefixes)
+    return found.select(
+        "matchId", "timestamp", "winningTeam", "patch", *[f"{name}_{p}" for name in _SEEN_RULES for p in _PLAYERS], "OUTER_TURRET_9",
+        *[F.col(f"{c}_{p}").cast("int") for c in ("xp", "positionX", "level", "championId") for p in _PLAYERS],
+        *[F.col(f"inventoryIds_{p}").isNotNull().alias(f"has_items_{p}") for p in _PLAYERS],
     )
 
 

@@ -1,12 +1,14 @@
 """Golden timelines, worked out by hand."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from chronofold.plans import schemas as S
-from chronofold.plans.enrich import snapshot, with_player_state
+from chronofold.plans import enrich
+from chronofold.plans.enrich import match_snapshots, snapshot, with_player_state
 from chronofold.plans.timeline import CONSUMABLES, timeline_events
 
 
@@ -134,3 +136,40 @@ def test_short_match_has_no_snapshot_and_no_kills_is_zero(spark):
     row = snapshot(wide, prefixes=prefixes).first()
     assert (row.timestamp, row.winningTeam, row.kills_1, row.xp_1) == (800_000, 200, 0, 1)
     assert snapshot(wide.where("timestamp < 900000"), prefixes=prefixes).count() == 0
+
+
+def random_match_events(seed, matches=6, n=400):
+    """Events of every kind that a snapshot counts or follows, ties in time included."""
+    rng = random.Random(seed)
+    kinds = ["CHAMPION_KILL", "CHAMPION_ASSIST", "BUILDING_KILL", "ELITE_MONSTER_KILL", "ITEM_PURCHASED", "ITEM_UNDO", "LEVEL_UP", "WARD_KILL", "GAME_END"]
+    out = []
+    for m in range(matches):
+        times = sorted(rng.randrange(0, 60) * 1000 for _ in range(n))
+        for i, at in enumerate(times):
+            kind = rng.choice(kinds) if rng.random() < 0.7 else "PARTICIPANT_FRAME"
+            framed, held = kind == "PARTICIPANT_FRAME", kind.startswith("ITEM")
+            pid = rng.choice([None, *range(1, 11)]) if not framed else rng.randrange(1, 11)
+            out.append((
+                f"M{m}", i, at, kind, pid, rng.choice([None, *range(1, 11)]), rng.choice(["TOWER_BUILDING", "OTHER"]), rng.choice(enrich.TOWERS), rng.choice(enrich.MONSTERS),
+                rng.choice([None, *enrich.DRAGONS]), rng.choice([100, 200]) if kind == "GAME_END" else None, rng.choice([None, 2, 3]) if kind == "LEVEL_UP" else None,
+                [rng.randrange(9)] if held else None, [1] if held else None, at if framed else 5, i if framed else None))
+    return out
+
+
+@pytest.mark.parametrize("at", [30_000, 57_000, 100_000])
+def test_snapshots_without_windows_equal_those_of_wide_events(spark, at):
+    schema = ("matchId string, eventId int, timestamp int, type string, participantId int, victimId int, buildingType string, towerType string, monsterType string, "
+              "monsterSubType string, winningTeam int, level int, inventoryIds array<int>, inventoryCounts array<int>, positionX int, xp int")
+    events = spark.createDataFrame(random_match_events(at), schema).repartition(4)
+    events = events.withColumns({c: F.lit(None).cast("int") for c in enrich.FRAME_COLUMNS if c not in ("positionX", "xp")})
+    participants = spark.createDataFrame([(f"M{m}", p, m * 20 + p) for m in range(6) for p in range(1, 11)], "matchId string, participantId int, championId int")
+    participants = participants.withColumns({c: F.lit(1) for c in enrich.PREGAME_COLUMNS if c != "championId"})
+    matches = spark.createDataFrame([(f"M{m}", m, "14.1", "X") for m in range(5)], "matchId string, gameStartTimestamp int, patch string, platformId string")
+    prefixes = ("xp", "positionX", "level", "inventoryIds", "inventoryCounts", "championId")
+    wide = enrich.enriched_events(events, participants, matches)
+    expected = snapshot(wide, at=at, tolerance=1000, prefixes=prefixes)
+    got = match_snapshots(events, participants, matches, at=at, tolerance=1000, prefixes=prefixes)
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert (got.count() > 0) == (at < 100_000)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
