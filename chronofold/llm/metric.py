@@ -284,6 +284,14 @@ def _divided(members: DataFrame, chosen: DataFrame, bodies: DataFrame, kind: Shi
     return mapped(rows, run, "region long, nid long, n long, to array<long>, at array<long>")
 
 
+def _connected(divided: DataFrame) -> DataFrame:
+    """Links that connect all that :func:`_divided` found: a member and its first pivot, and this one and the member's other pivots, each pair once."""
+    first = F.get("to", F.lit(0))
+    members = divided.select(F.col("nid").alias("a"), first.alias("b"))
+    pivots = divided.filter(F.size("to") > 1).select(first.alias("a"), F.explode(F.slice("to", 2, F.size("to"))).alias("b")).distinct()
+    return members.union(pivots).filter("a != b")
+
+
 def _some(members: DataFrame, level: int, pivots: int) -> DataFrame:
     """Pivots of every region: the members with the smallest hashes."""
     order = Window.partitionBy("region").orderBy(F.xxhash64("nid", F.lit(level)), "nid")
@@ -324,7 +332,7 @@ def links(members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shinglin
     nearest = members.groupBy("nid").agg(F.min("region").alias("region"), F.first("n").alias("n"))
     heads = members.groupBy("region").agg(F.min("nid").alias("nid"))
     stars = _divided(nearest, heads, bodies, kind, share)
-    found = tables.written(stars.select(F.col("nid").alias("a"), F.explode("to").alias("b")).filter("a != b"), "links-0")
+    found = tables.written(_connected(stars), "links-0")
     now, level = tables.written(_open(members, found), "region-0"), 0
     while True:
         level += 1
@@ -336,10 +344,10 @@ def links(members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shinglin
         if some[0]:
             step = step.union(_leaves(now.join(judged.filter("small"), "region"), bodies, ("region",), kind))
         if some[1] is not False:
-            return tables.written(step.filter("a != b"), f"links-{level}")
+            return tables.written(step, f"links-{level}")
         large = now.join(judged.filter("not small"), "region").select("region", "nid", "n", "c")
         cut = tables.written(_divided(large, _some(large, level, pivots), bodies, kind, share), f"divided-{level}")
-        found = tables.written(step.union(cut.select(F.col("nid").alias("a"), F.explode("to").alias("b"))).filter("a != b"), f"links-{level}")
+        found = tables.written(step.union(_connected(cut)), f"links-{level}")
         # What a division left together is compared block by block; the other regions of the pivots, named anew, are the next level.
         deeper = cut.select("region", "nid", "n", F.explode("at").alias("pivot"))
         shrunk = deeper.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("part")).groupBy("region").agg(F.max("part").alias("part"))

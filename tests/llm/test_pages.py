@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import html as entities
+import itertools
+import random
 import re
 
 from chronofold.llm import html, urls
+from chronofold.llm.scratch import Scratch
 
 PAGE = (
     "<!DOCTYPE html><html><head><title>t</title><script>var a='</p>';</script></head><body><header>Site</header><div class='cookie-notice'>We use cookies</div>"
@@ -92,4 +95,46 @@ def test_url_rules_and_mined_rules(spark):
 def test_rules_match_by_all_their_tokens(spark):
     rules = spark.createDataFrame([(["a", "b"], 0.9), (["c"], 0.9), (["a", "d"], 1.0)], "items array<string>, confidence double")
     pages = spark.createDataFrame([("1", ["a", "b", "x"]), ("2", ["a", "x"]), ("3", ["c"]), ("4", []), ("5", ["d", "a"]), ("1", ["a", "b", "x"])], "url string, tokens array<string>")
-    assert sorted(r["url"] for r in urls.blocked_urls(pages, rules).collect()) == ["1", "3", "5"]
+    same = spark.createDataFrame([(c, c) for c in "abcdx"] + [("e", "c")], "token string, class string")
+    pages = pages.union(spark.createDataFrame([("6", ["e"]), (None, ["c"])], pages.schema))
+    assert sorted(r["url"] for r in urls.blocked_urls(pages, rules, same).collect()) == ["1", "3", "5", "6"]
+
+
+def test_mined_rules_equal_those_of_all_combinations(spark):
+    """Two hundred small tables side by side, with tokens of their own each, so that no combination crosses them."""
+    rng = random.Random(11)
+    rows, expected = [], {}
+    for table in range(200):
+        names = [f"{table}:{c}" for c in "abcdef"]
+        kind = {c: rng.random() for c in names}
+        own = []
+        for _ in range(rng.randrange(20, 90)):
+            tokens = [c for c in names if rng.random() < 0.45]
+            if rng.random() < 0.7 and names[0] in tokens:
+                tokens = sorted({*tokens, names[1]})
+            score = max((kind[c] for c in tokens), default=0.0)
+            own.append((tokens, "block" if rng.random() < (0.95 if score > 0.8 and len(tokens) > 1 else 0.4) else "allow"))
+        rows += own
+        told = {}
+        for size in range(1, len(names) + 1):
+            for items in itertools.combinations(names, size):
+                held = [v for t, v in own if {*items} <= {*t}]
+                if len(held) >= urls.LEAST_ROWS and held.count("block") >= urls.LEAST_CONFIDENCE * len(held) and not any({*p} < {*items} for p in told):
+                    told[items] = held.count("block") / len(held)
+        expected |= told
+    labelled = spark.createDataFrame(rows, "tokens array<string>, verdict string").repartition(5)
+    rules, classes = urls.mined_rules(labelled, Scratch(spark))
+    members = {}
+    for r in classes.collect():
+        members.setdefault(r["class"], []).append(r["token"])
+    got = {tuple(sorted(x)): r["confidence"] for r in rules.collect() for x in itertools.product(*(members[c] for c in r["items"]))}
+    assert got.keys() == expected.keys() and len(got) > 100 and any(len(k) > 1 for k in got)
+    assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+
+
+def test_long_shared_paths_are_mined_at_once(spark):
+    path = "/".join(f"part{chr(97 + i)}x{i}y" for i in range(30))
+    pages = [(i, f"http://h{i % 2}.org/{path}/{'bad' if i % 3 else 'fine'}", "h", "v") for i in range(90)]
+    labels = [(i, int(not i % 3), 0) for i in range(90)]
+    df, marks = spark.createDataFrame(pages, "page_id long, url string, host string, verdict string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert {(r["page_id"] % 3 > 0, r["verdict"]) for r in urls.judged(df, marks).collect()} == {(True, "block"), (False, "allow")}
