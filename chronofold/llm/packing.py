@@ -1,7 +1,7 @@
 """Best-fit packing of token pieces into sequences, improved by a swap-based local search.
 
-Pieces are dealt at random into shards of about equal size, so that every shard has the same mix; each is packed on its own, and only the last
-few bins of a shard can stay underfull.
+Pieces are dealt at random into shards of about equal size, so that every shard has the same mix; each is packed on its own, and the last
+few bins of each, which can stay underfull, are packed together once more.
 """
 
 from __future__ import annotations
@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from chronofold.llm.bpe import Encoder
 from chronofold.llm.common import mapped, slices, text_column
-from chronofold.session import written
+from chronofold.llm.scratch import Scratch
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces packed together; a shard wastes about one sequence in several thousand.
 SHARD_PIECES = 16384
-#: Documents of a bin whose pairs are tried in exchanges.
-PAIRED = 48
+#: A sequence with more room than one part in so many takes part in the last round over all shards.
+OPEN_PART = 64
 
 
 class LibraryEncoder(Encoder):
@@ -91,6 +91,17 @@ def emptied(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
     return [b for k, b in enumerate(bins) if k not in gone]
 
 
+def _offers(own: list[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every total that one or two of the sizes have, these sizes; 0 for no size.  A bin has few different sizes, as their sum is at most its capacity."""
+    values, count = np.unique(own, return_counts=True)
+    first, second = np.zeros(2 * capacity + 1, np.int64), np.zeros(2 * capacity + 1, np.int64)
+    for k, value in enumerate(values):
+        others = values[k if count[k] > 1 else k + 1 :]
+        first[value + others], second[value + others] = value, others
+    first[values], second[values] = values, 0
+    return first, second
+
+
 def _give_away(e: int, others: list[int], bins: list[list[int]], fill: list[int], sizes: list[int], capacity: int) -> bool:
     """Empties bin ``e`` into others as far as each step helps; whether nothing is left in it."""
     others = [b for b in others if fill[b] >= fill[e]]
@@ -102,11 +113,8 @@ def _give_away(e: int, others: list[int], bins: list[list[int]], fill: list[int]
     size = np.array([0 if i < 0 else sizes[i] for i in items])
     level = np.array(fill)
     while bins[e]:
-        own = sorted(bins[e], key=lambda i: sizes[i])
-        pairs = own[-PAIRED:]
-        offers = [(sizes[i], (i,)) for i in own] + [(sizes[i] + sizes[j], (i, j)) for n, i in enumerate(pairs) for j in pairs[:n]]
-        offers.sort(key=lambda o: (o[0], -len(o[1])))
-        sums = np.array([o[0] for o in offers])
+        first, second = _offers([sizes[i] for i in bins[e]], capacity)
+        sums = np.flatnonzero(first)
         room = capacity - level[where]
         best = np.searchsorted(sums, size + room, "right") - 1
         gain = np.where(best >= 0, sums[best] - size, 0)
@@ -114,7 +122,10 @@ def _give_away(e: int, others: list[int], bins: list[list[int]], fill: list[int]
         k = int(worth.argmax())
         if worth[k] <= 0:
             return False
-        given, b = offers[best[k]][1], int(where[k])
+        b, given = int(where[k]), []
+        for wanted in (int(first[sums[best[k]]]), int(second[sums[best[k]]])):
+            if wanted:
+                given.append(next(i for i in bins[e] if sizes[i] == wanted and i not in given))
         bins[e] = [i for i in bins[e] if i not in given]
         if items[k] >= 0:
             bins[b].remove(int(items[k]))
@@ -163,20 +174,36 @@ def packed(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "t
     A null or empty text is the end id alone; only texts longer than a sequence are cut; repeated rows are packed each; a null id stays null; among equal
     choices the first bin is taken; an empty table gives no row.  The texts are read once, after that only piece lengths move.
     """
-    stored = written(pieces(docs, path, id_column, text, capacity), "pieces")
-    count = stored.count()
-    shards = max(1, -(-count // SHARD_PIECES))
+    tables = Scratch(docs.sparkSession)
+    stored = tables.written(pieces(docs, path, id_column, text, capacity), "pieces")
+    shards = max(1, -(-stored.count() // SHARD_PIECES))
     dealt = stored.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)))
+    first = _packed_shards(dealt, capacity)
+    if shards == 1:
+        return first.drop("fill")
+    # The few sequences of each shard that stayed open are packed anew, those of all shards together.
+    first = tables.written(first, "packed")
+    tables.drop("pieces")
+    is_open = F.col("fill") < capacity - capacity // OPEN_PART
+    rest = first.filter(is_open).drop("sequence_id", "offset", "fill")
+    again = max(1, -(-rest.count() // SHARD_PIECES))
+    rest = rest.withColumn("shard", shards + F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(again)))
+    return first.filter(~is_open).union(_packed_shards(rest, capacity)).drop("fill")
+
+
+def _packed_shards(dealt: DataFrame, capacity: int) -> DataFrame:
+    """Each ``shard`` of pieces in sequences of its own, with how full each piece's sequence is."""
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows["length"].tolist()
-        sequence, offset = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        lengths = rows["length"].to_numpy()
+        sequence, offset, fill = (np.zeros(len(rows), np.int64) for _ in range(3))
         for b, members in enumerate(emptied(best_fit(sizes, capacity), sizes, capacity)):
             sequence[members] = (int(rows["shard"].iloc[0]) << 32) + b
-            lengths = rows["length"].to_numpy()[members]
-            offset[members] = np.cumsum(lengths) - lengths
+            offset[members] = np.cumsum(lengths[members]) - lengths[members]
+            fill[members] = lengths[members].sum()
         out = rows.drop(columns="shard")
         out["doc_id"] = out["doc_id"].astype("Int64")
-        return out.assign(sequence_id=sequence, offset=offset)
+        return out.assign(sequence_id=sequence, offset=offset, fill=fill)
 
-    return dealt.groupBy("shard").applyInPandas(pack, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return dealt.groupBy("shard").applyInPandas(pack, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long")

@@ -148,6 +148,21 @@ def test_search_empties_bins_and_keeps_items():
     assert len(packing.emptied([[0, 2], [1, 3], [4]], sizes, 10)) == 2
 
 
+def test_pairs_of_all_documents_are_offered():
+    rng = random.Random(5)
+    for _ in range(50):
+        own = [rng.randrange(1, 30) for _ in range(rng.randrange(1, 60))]
+        first, second = packing._offers(own, 100)
+        sums = {*own, *(a + b for n, a in enumerate(own) for b in own[:n])}
+        assert {*np.flatnonzero(first).tolist()} == sums and ((first + second)[list(sums)] == list(sums)).all()
+        assert all(second[s] == 0 for s in own)
+    # 200 documents of one bin, of which only the two smallest fill the gap that another bin has.
+    sizes = [*[20] * 198, 2, 3, 3995]
+    bins, fill = [list(range(200)), [200]], [3965, 3995]
+    assert not packing._give_away(0, [1], bins, fill, sizes, 4000)
+    assert fill == [sum(sizes[i] for i in b) for b in bins] == [3960, 4000]
+
+
 def test_quality_counts_and_verdicts(spark):
     df = cases.frame(spark, repeated=True, null_id=True)
     references = quality.learn_references(df)
