@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,6 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
+#: Folders of an open path part that are followed one by one.
+OPEN_FOLDERS = 1000
+
+
 class RecordNotFound(LookupError):
     """No landed object matches the requested partition."""
 
@@ -21,6 +26,8 @@ class LandingZone:
 
     def __init__(self, spark: SparkSession, root: str, tables: Sequence[str]):
         self.spark, self.root, self.tables = spark, root.rstrip("/"), tuple(tables)
+        #: Folders that were listed on the way to partitions.
+        self.listed: list[str] = []
 
     def table_path(self, table: str) -> str:
         if table not in self.tables:
@@ -30,11 +37,61 @@ class LandingZone:
     def partition_path(self, table: str, **parts) -> str:
         return "/".join([self.table_path(table), *[f"{k}={v}" for k, v in parts.items()]])
 
+    def layout(self, table: str) -> list[str]:
+        """Names of the path parts in their order, from one folder of each level."""
+        names, folder = [], self.table_path(table)
+        while child := next((c for c in self._children(folder) if "=" in c), None):
+            names.append(child.split("=", 1)[0])
+            folder = f"{folder}/{child}"
+        return names
+
+    def paths(self, table: str, **parts) -> list[str]:
+        """The folders below which all rows with the given path parts lie.
+
+        Known leading parts lead straight to their folder.  A folder is listed only where an open part comes before a known one, or where the value
+        is spelled otherwise (``01``); with more than :data:`OPEN_FOLDERS` folders there, what follows is left to the filter of the scan.
+        """
+        known = {k: v for k, v in parts.items() if v is not None}
+        found = [self.table_path(table)]
+        names = self.layout(table) if known else []
+        depth = max((n + 1 for n, name in enumerate(names) if name in known), default=0)
+        for name in names[:depth]:
+            if name in known:
+                found = [f"{folder}/{child}" for folder in found for child in self._matching(folder, name, known[name])]
+            else:
+                wider = [f"{folder}/{child}" for folder in found for child in self._children(folder) if child.startswith(f"{name}=")]
+                if len(wider) > OPEN_FOLDERS:
+                    break
+                found = wider
+        return found
+
+    def _matching(self, folder: str, name: str, value) -> list[str]:
+        wanted = str(value).lower() if isinstance(value, bool) else str(value)
+        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(wanted)
+        if not isinstance(value, int) and self._exists(f"{folder}/{name}={escaped}"):
+            return [f"{name}={escaped}"]
+        same = lambda text: text == escaped or isinstance(value, int) and re.fullmatch(r"-?\d+", text) and int(text) == value
+        return [c for c in self._children(folder) if c.startswith(f"{name}=") and same(c.split("=", 1)[1])]
+
+    def _system(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _exists(self, folder: str) -> bool:
+        path, system = self._system(folder)
+        return system.exists(path)
+
+    def _children(self, folder: str) -> list[str]:
+        """Names of the folders right below a folder."""
+        self.listed.append(folder)
+        path, system = self._system(folder)
+        return sorted(f.getPath().getName() for f in system.listStatus(path) if f.isDirectory()) if system.exists(path) else []
+
     def scan(self, table: str, schema: T.StructType | str | None = None, file_format: str = "parquet",
              pattern: str | None = None, multiline: bool = False, **parts) -> DataFrame:
         """Rows of a table; ``parts`` are equality filters on path parts, omitted ones are open.
 
-        Partition discovery from the table root plus a filter reads only the matching folders.
+        Only what lies below :meth:`paths` is listed.
         """
         reader = self.spark.read.option("basePath", self.table_path(table))
         if schema is not None:
@@ -42,7 +99,9 @@ class LandingZone:
         reader = reader.option("pathGlobFilter", pattern or f"*.{file_format}")
         if file_format == "json" and multiline:
             reader = reader.option("multiLine", True)
-        df = reader.format(file_format).load(self.table_path(table))
+        # Without a folder the table is read as a whole, for its columns and no rows.
+        below = self.paths(table, **parts) or [self.table_path(table)]
+        df = reader.format(file_format).load([re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in below])
         conditions = [F.col(k) == F.lit(v) for k, v in parts.items() if v is not None]
         return df.where(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
@@ -55,12 +114,16 @@ class LandingZone:
         df.write.mode(mode).format(file_format).save(self.partition_path(table, **parts))
         return True
 
-    def landed(self, table: str, *parts: str) -> DataFrame:
-        """Distinct values of the path parts that hold at least one file.
+    def landed(self, table: str, *parts: str, **known) -> DataFrame:
+        """Distinct values of the path parts that hold at least one file, below the ``known`` parts if some are given.
 
-        The parts come from the paths, so only file names are read.
+        The parts come from the paths, so only file names are read, and only below :meth:`paths`.
         """
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.table_path(table))
+        below = self.paths(table, **known)
+        if not below:
+            return self.spark.createDataFrame([], ", ".join(f"`{p}` string" for p in parts))
+        below = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in below]
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(below)
         return path_parts(files.select("path"), *parts).select(*parts).distinct()
 
     def require(self, table: str, **parts) -> None:

@@ -178,3 +178,38 @@ def test_overwrite_keeps_the_table_readable(spark, store, tmp_path):
     folders = os.listdir(f"{tmp_path}/{store.namespace}/parts")
     assert len([f for f in folders if f.startswith("version-")]) <= 3
     assert not [t.name for t in spark.catalog.listTables(store.namespace) if t.name not in ("parts", "flat", "hashed")]
+
+
+def test_partitions_are_found_without_listing_others(spark, tmp_path):
+    zone = LandingZone(spark, str(tmp_path), ["t"])
+    df = spark.createDataFrame([(1,)], "id long")
+    for year in range(2000, 2012):
+        for month in ("01", "02", "11"):
+            zone.store("t", df.withColumn("id", F.lit(year * 100 + int(month)).cast("long")), year=year, month=month, kind="a b:c")
+    schema = "id bigint, year int, month int, kind string"
+    assert zone.layout("t") == ["year", "month", "kind"]
+    zone.listed.clear()
+    assert rows(zone.scan("t", schema, year=2003, month=1).select("id")) == [(200301,)]
+    assert len(zone.listed) <= 6  # one folder of each level for the layout, then the years and the months of one year
+    zone.listed.clear()
+    assert rows(zone.scan("t", schema, kind="a b:c", year=2004).select("id")) == [(200401,), (200402,), (200411,)]
+    assert all("/year=2004" in f or "year=" not in f for f in zone.listed if "year=2000" not in f)
+    assert rows(zone.scan("t", schema, month=2).select("year")) == [(y,) for y in range(2000, 2012)]
+    assert zone.scan("t", schema, year=1999).count() == 0 and zone.scan("t", year=2003, kind="x").count() == 0
+    assert rows(zone.landed("t", "month", year=2005)) == [("01",), ("02",), ("11",)]
+    assert zone.landed("t", "month", year=1).count() == 0 and zone.landed("t", "year").count() == 12
+    assert zone.scan("t", schema).count() == 36
+
+
+def test_streams_keep_events_without_time_or_id(spark, tmp_path):
+    import datetime as dt
+
+    from chronofold.suite import REGISTRY
+
+    events = [(i if i % 5 else None, i % 3, dt.datetime(2024, 1, 1 + i % 20) if i % 4 else None, "k", "{}", 1.0) for i in range(40)]
+    columns = "event_id long, user_id long, ts timestamp_ntz, event_type string, props string, value double"
+    spark.createDataFrame(events, columns).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert REGISTRY["stream_ingested"].run(spark, str(tmp_path)).count() == 40
+    latest = REGISTRY["stream_upserted"].run(spark, str(tmp_path))
+    assert latest.count() == 3
+    assert REGISTRY["stream_deduplicated"].run(spark, str(tmp_path)).count() == 3
