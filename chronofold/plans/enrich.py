@@ -107,12 +107,15 @@ def enriched_events(
     type_vectors: DataFrame | None = None,
     *,
     match_ids: DataFrame | None = None,
+    chronological: bool = True,
     bounded: bool = True,
 ) -> DataFrame:
-    """The wide events table.  ``match_ids`` restricts the run to some matches."""
+    """The wide events table.  ``match_ids`` restricts the run to some matches.
+
+    Without ``chronological`` the event ids are in another order than time (derived events numbered last): inventories and levels then follow the ids."""
     if match_ids is not None:
         events = events.join(match_ids.select("matchId"), "matchId", "left_semi")
-    wide = with_pregame(with_player_state(events, bounded=bounded), participants)
+    wide = with_pregame(with_player_state(events, chronological=chronological, bounded=bounded), participants)
     wide = wide.join(matches.select(*MATCH_COLUMNS), "matchId")
     return wide if type_vectors is None else with_type_vectors(wide, type_vectors)
 

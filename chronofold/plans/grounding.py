@@ -115,8 +115,8 @@ def link(
     only those count.  The nearest in time wins, then the lowest ``identity``.
 
     The nearest candidate is carried along each pair's timeline, so a pair with many documents
-    and many matches costs their sum and never their product.  Event hints are resolved between
-    the distinct hints and tournaments of a pair first.
+    and many matches costs their sum and never their product.  Event hints are resolved once for all pairs,
+    by an index of the tournaments' letters.
     """
     rank = F.concat_ws(SEPARATOR, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity])
     right = candidates.select(
@@ -140,7 +140,8 @@ def link(
     if event:
         hints = left.where(F.col("_hint").isNotNull()).select("_pair", "_hint").distinct()
         events = right.groupBy("_pair", "_event").agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"))
-        named = hints.join(events, "_pair").where(F.contains("_event", "_hint"))
+        told = events_of_hints(hints.select("_hint").distinct(), events.select("_event").distinct())
+        named = hints.join(told, "_hint").join(events, ["_pair", "_event"])
         # A document only meets the events of its pair that were on inside its window.
         on = (F.col("_t") >= F.col("_from") - reach[1]) & (F.col("_t") <= F.col("_to") + reach[0])
         legs = left.join(named, ["_pair", "_hint"]).where(on).drop("_from", "_to")
@@ -158,6 +159,27 @@ def link(
     return documents.join(found, key, "left")
 
 
+def events_of_hints(hints: DataFrame, events: DataFrame) -> DataFrame:
+    """``_hint, _event`` of distinct hints and the distinct events that contain them."""
+    return hint_candidates(hints, events).where(F.contains("_event", "_hint"))
+
+
+def hint_candidates(hints: DataFrame, events: DataFrame) -> DataFrame:
+    """Events that hold a hint's rarest three letters (all of a shorter hint), from an index of the events' letters.
+
+    Each hint is posted under one run of letters, the one that fewest events hold, so hints and events never meet as a product."""
+    runs = lambda text, n: F.array_distinct(F.transform(
+        F.filter(F.sequence(F.lit(1), F.greatest(F.char_length(text), F.lit(1))), lambda i: i + (n - 1) <= F.char_length(text)),
+        lambda i: F.substr(text, i, F.lit(n))))
+    sized = hints.where(F.char_length("_hint") > 0).withColumn("_n", F.least(F.char_length("_hint"), F.lit(3)))
+    asked = sized.select("_hint", F.explode(F.when(F.col("_n") == 3, runs(F.col("_hint"), 3)).otherwise(F.array("_hint"))).alias("_gram"))
+    grams = F.explode(F.concat(*[runs(F.col("_event"), n) for n in (1, 2, 3)])).alias("_gram")
+    index = events.select("_event", grams).join(asked.select("_gram").distinct(), "_gram", "left_semi")
+    holders = index.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    rarest = asked.join(holders, "_gram", "left").groupBy("_hint").agg(F.min(F.struct(F.coalesce("_uses", F.lit(0)).alias("uses"), "_gram")).alias("_least"))
+    return rarest.select("_hint", F.col("_least._gram").alias("_gram")).join(index, "_gram").select("_hint", "_event")
+
+
 def _nearest_in_reach(left: DataFrame, right: DataFrame, by: list[str], reach: tuple[int, int], max_rows: int) -> DataFrame:
     sides = neighbours(
         left, right, by=by, on="_t", payload=["_rank", "_match"], tie=["_rank"], run="first",

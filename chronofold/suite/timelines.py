@@ -236,13 +236,19 @@ def timeline_events_built(t: Tables) -> DataFrame:
     )
 
 
-@query("E11 W8", _EVENTS + """
+# The same rows with derived events numbered last.
+_APPENDED = """
 , appended AS (
   SELECT *, row_number() OVER (PARTITION BY k ORDER BY stage, CASE WHEN stage = 0 THEN ts END, CASE WHEN stage = 0 THEN rank END,
     CASE WHEN stage = 0 THEN ord END, parent, sub) - 1 AS aid
   FROM (SELECT a.*, CASE WHEN stage = 1 THEN (SELECT p FROM (SELECT k AS k2, ord AS o2,
       row_number() OVER (PARTITION BY k ORDER BY ts, rank, ord) AS p FROM allrows WHERE stage = 0) q WHERE q.k2 = a.k AND q.o2 = a.ord) END AS parent
     FROM allrows a))
+"""
+
+
+@query("E11 W8", _EVENTS + """
+""" + _APPENDED.lstrip() + """
 SELECT 'M_' || k AS matchId, aid::SMALLINT AS eventId, type, participantId FROM (SELECT *, pid::SMALLINT AS participantId FROM appended)
 """)
 def timeline_events_appended(t: Tables) -> DataFrame:
@@ -330,6 +336,30 @@ def enriched_events_built(t: Tables) -> DataFrame:
     )
 
 
+@query("N5 J2 J18 N2 W5 E11", _EVENTS + _APPENDED.lstrip() + """
+, named AS (SELECT a.*, a.pid::SMALLINT AS participantId, CASE WHEN type LIKE '%_KILL' OR type = 'LEVEL_UP' THEN [length(type)::DOUBLE, 0.5] ELSE [] END AS v FROM appended a)
+SELECT 'M_' || k AS matchId, aid::SMALLINT AS eventId, type,
+  coalesce(last_value(CASE WHEN type = 'LEVEL_UP' AND pid = 6 THEN level END IGNORE NULLS) OVER i, 1)::BIGINT AS level_6,
+  coalesce(last_value(CASE WHEN type LIKE 'ITEM%' AND pid = 3 THEN aid END IGNORE NULLS) OVER i, -1)::BIGINT AS items_since_3,
+  len(v) AS vector_size, coalesce(v[1], 0) AS vector_first
+FROM named WHERE k IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE')
+WINDOW i AS (PARTITION BY k ORDER BY aid ROWS UNBOUNDED PRECEDING)
+QUALIFY type <> 'PARTICIPANT_FRAME'
+""")
+def enriched_events_appended(t: Tables) -> DataFrame:
+    """Wide events numbered with derived ones last, whose states follow the ids, with vectors of some event types."""
+    tables = basic_tables(match_documents(t), timeline_documents(t), death_timer=death_timer)
+    numbered = built_events(t, event_id_mode="append")
+    known = numbered.select("type").distinct().where(F.col("type").endswith("_KILL") | (F.col("type") == "LEVEL_UP"))
+    vectors = known.select("type", F.array(F.length("type").cast("double"), F.lit(0.5)).alias("vector"))
+    # The number of the item event stands in for what is held, which other queries check.
+    numbered = numbered.withColumn("inventoryIds", F.when(F.col("type").startswith("ITEM"), F.array(F.col("eventId").cast("int"))))
+    wide = enriched_events(numbered, tables["participants"], tables["matches"], vectors, chronological=False)
+    return wide.select(
+        "matchId", "eventId", "type", F.col("level_6").cast("long"), F.coalesce(F.get("inventoryIds_3", F.lit(0)), F.lit(-1)).cast("long").alias("items_since_3"),
+        F.size("type_embeddings").alias("vector_size"), F.coalesce(F.get("type_embeddings", F.lit(0)), F.lit(0.0)).alias("vector_first"))
+
+
 _PLAYERS = range(1, 11)
 # Rules that the timelines have events for; the others count nothing.
 _SEEN_RULES = {"kills": "type = 'CHAMPION_KILL' AND pid", "deaths": "type = 'CHAMPION_KILL' AND victim", "assists": "type = 'CHAMPION_ASSIST' AND pid"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions import text as X
 from chronofold.functions import values as V
-from chronofold.plans.grounding import _met_in_row, expand_aliases, gazetteer_references, link
+from chronofold.plans.grounding import _met_in_row, events_of_hints, expand_aliases, gazetteer_references, hint_candidates, link
 from chronofold.streaming.flows import replayed_items, require_current
 from tests.test_ordered import item_rows, plain_replay
 
@@ -178,3 +178,17 @@ def test_only_names_come_out_of_rows(spark):
     met = _met_in_row(words, "id", ["a3 b3", "c5", "zz", "h1 a1", "g2 h2 i2"]).collect()
     assert {(r.id % 7, r._at, r._term) for r in met} == {(3, 1, "a3 b3"), (5, 3, "c5")}
     assert len(met) == sum(1 for i in range(1000) if i % 7 in (3, 5))
+
+
+def test_hints_and_events_do_not_meet_as_a_product(spark):
+    hints = spark.range(1000).select(F.concat(F.lit("cup "), F.format_string("%04d", "id")).alias("_hint"))
+    events = spark.range(1000).select(F.concat(F.lit("great cup "), F.format_string("%04d", "id"), F.lit(" final")).alias("_event"))
+    met = hint_candidates(hints, events)
+    assert 1000 <= met.count() < 100_000
+    assert events_of_hints(hints, events).count() == 1000
+
+
+def test_hints_of_any_length(spark):
+    hints, events = ["a", "xy", "ab", "cup", "", "worlds 20", "éa", "zzz", None], ["a cup", "worlds 2024 xyz", "", "éab", "cu", None]
+    got = events_of_hints(*(spark.createDataFrame([(x,) for x in rows], f"{name} string") for rows, name in ((hints, "_hint"), (events, "_event"))))
+    assert {tuple(r) for r in got.collect()} == {(h, e) for h in hints if h for e in events if e and h in e}
