@@ -118,9 +118,9 @@ def interval_counts(events: DataFrame, *, keys: Sequence[str], kinds: Sequence[s
 
 def interval_samples(
     events: DataFrame, *, keys: Sequence[str] = ("matchId", "participantId"), bounded: bool = True,
-    max_rows: int = DEFAULT_MAX_ROWS,
+    max_rows: int = DEFAULT_MAX_ROWS, monsters: Sequence[str] = (),
 ) -> DataFrame:
-    """Frame pairs with the events counted between the two frames.
+    """Frame pairs with the events counted between the two frames, and a 0/1 column for each of ``monsters`` that fell.
 
     Counts belong to the interval that the earlier frame opens.  Interval numbers and next frames
     come from one scan, and grouping by (keys, interval) keeps its partitioning: one exchange.
@@ -138,18 +138,26 @@ def interval_samples(
         F.max(F.when(at_frame, F.struct("timestamp", "xp", "_next"))).alias("_frame"),
         F.max("numberOfAssists").alias("numberOfAssists"),
         *[F.count_if(F.col("type") == k).alias(k) for k in kinds],
+        *[F.coalesce(F.max((F.col("monsterType") == m).cast("tinyint")), F.lit(0).cast("tinyint")).alias(f"monsterType_{m}") for m in monsters],
     )
     opened = F.col("_frame._next.xp").isNotNull()
     return intervals.where(opened).select(
         *keys, "interval_id",
         F.col("_frame.timestamp").alias("previous_timestamp"), F.col("_frame._next.timestamp").alias("current_timestamp"),
         F.col("_frame.xp").alias("previous_xp"), F.col("_frame._next.xp").alias("current_xp"),
-        "numberOfAssists", *kinds,
+        "numberOfAssists", *kinds, *[f"monsterType_{m}" for m in monsters],
     )
 
 
+def with_player_terms(samples: DataFrame, *, regions: Sequence[str] = ()) -> DataFrame:
+    """0/1 columns for the player's number and side, and for the region if its values are given."""
+    numbered = one_hot(samples, "participantId", PLAYERS, width=2)
+    sided = numbered.withColumn("team", F.coalesce(F.col("participantId") > 5, F.lit(False)).cast("tinyint"))
+    return one_hot(sided, "region", regions) if regions else sided
+
+
 def with_deltas(samples: DataFrame) -> DataFrame:
-    """Differences, squares, interactions and the square-rooted target."""
+    """Differences, squares, interactions (those of monster types with time for the ``monsterType_`` columns there are) and the square-rooted target."""
     c = F.col
     deltas = samples.withColumns({
         "time_delta": c("current_timestamp") - c("previous_timestamp"),
@@ -164,6 +172,10 @@ def with_deltas(samples: DataFrame) -> DataFrame:
         "champion_assist_X_xp": F.try_divide(c("previous_xp") * c("CHAMPION_ASSIST"), c("numberOfAssists")),
         "monster_kill_X_xp": c("previous_xp") * c("ELITE_MONSTER_KILL"),
         "xp_delta_sqrt": F.sqrt("xp_delta"),
+        **{
+            f"monster_kill_{m}_X_previous_timestamp": c("previous_timestamp").cast("long") * c("ELITE_MONSTER_KILL") * c(m)
+            for m in samples.columns if m.startswith("monsterType_")
+        },
     })
 
 

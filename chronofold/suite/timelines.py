@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronofold.operators.grids import in_all
 from chronofold.plans.enrich import enriched_events, match_snapshots, split_matches, with_player_state
-from chronofold.plans.features import interval_samples, level_of, with_deltas, xp_gain
+from chronofold.plans.features import interval_samples, level_of, with_deltas, with_player_terms, xp_gain
 from chronofold.plans.matches import (
     basic_tables, eligible, match_rows, not_yet_done, participant_rows, read_match_infos, read_timelines,
 )
@@ -415,20 +415,30 @@ def matches_still_to_build(t: Tables) -> DataFrame:
 counts AS (
   SELECT k, pid, interval_id, min(ts) FILTER (type = 'PARTICIPANT_FRAME') AS t0, count(*) FILTER (type = 'WARD_KILL') AS wards,
     count(*) FILTER (type = 'CHAMPION_KILL') AS kills, count(*) FILTER (type = 'CHAMPION_KILLED') AS deaths,
-    count(*) FILTER (type = 'CHAMPION_ASSIST') AS assists FROM relevant GROUP BY ALL),
+    count(*) FILTER (type = 'CHAMPION_ASSIST') AS assists, count(*) FILTER (type = 'ELITE_MONSTER_KILL') AS monsters, max(helpers) AS helpers FROM relevant GROUP BY ALL),
 frames AS (SELECT k, pid, ts, xp, lead(ts) OVER w AS next_ts, lead(xp) OVER w AS next_xp FROM src
   WHERE type = 'PARTICIPANT_FRAME' WINDOW w AS (PARTITION BY k, pid ORDER BY ts))
 SELECT 'M_' || f.k AS matchId, f.pid::SMALLINT AS participantId, f.ts::INTEGER AS previous_timestamp,
   (f.next_ts - f.ts)::INTEGER AS time_delta, (f.next_xp - f.xp)::INTEGER AS xp_delta, wards AS "WARD_KILL", kills AS "CHAMPION_KILL",
-  deaths AS "CHAMPION_KILLED", assists AS "CHAMPION_ASSIST", f.xp * kills AS "champion_kill_X_xp"
+  deaths AS "CHAMPION_KILLED", assists AS "CHAMPION_ASSIST", f.xp * kills AS "champion_kill_X_xp",
+  ((f.next_ts - f.ts) ^ 2)::DOUBLE AS time_delta_squared, (f.xp ^ 2)::DOUBLE AS previous_xp_squared, f.xp * f.ts AS previous_xp_time_interaction,
+  (f.next_ts ^ 2)::DOUBLE AS current_timestamp_squared, f.xp * monsters AS "monster_kill_X_xp", sqrt(f.next_xp - f.xp) AS xp_delta_sqrt,
+  CASE WHEN helpers > 0 THEN f.xp * assists / helpers END AS "champion_assist_X_xp",
+  f.ts * monsters AS "dragon_X_time", 0::BIGINT AS "baron_X_time",
+  (f.pid = 1)::TINYINT AS "participantId_01", (f.pid = 10)::TINYINT AS "participantId_10", (f.pid > 5)::TINYINT AS team, (f.k % 3 = 0)::TINYINT AS region_euw
 FROM frames f JOIN counts c ON c.k = f.k AND c.pid = f.pid AND c.t0 = f.ts WHERE next_xp IS NOT NULL
 """)
 def experience_samples(t: Tables) -> DataFrame:
-    """Minute samples of every player with the events between two frames."""
-    samples = with_deltas(interval_samples(built_events(t)))
+    """Minute samples of every player with the events between two frames, their nonlinear terms and one-hot columns."""
+    counted = interval_samples(built_events(t), monsters=("DRAGON", "BARON_NASHOR"))
+    key = F.substring("matchId", 3, 20).cast("long")
+    samples = with_player_terms(with_deltas(counted).withColumn("region", F.when(key % 3 == 0, "euw").otherwise("na")), regions=("euw", "na"))
     return samples.select(
         "matchId", "participantId", "previous_timestamp", "time_delta", "xp_delta", "WARD_KILL", "CHAMPION_KILL",
-        "CHAMPION_KILLED", "CHAMPION_ASSIST", "champion_kill_X_xp",
+        "CHAMPION_KILLED", "CHAMPION_ASSIST", "champion_kill_X_xp", "time_delta_squared", "previous_xp_squared", "previous_xp_time_interaction",
+        "current_timestamp_squared", "monster_kill_X_xp", "xp_delta_sqrt", "champion_assist_X_xp",
+        F.col("monster_kill_monsterType_DRAGON_X_previous_timestamp").alias("dragon_X_time"),
+        F.col("monster_kill_monsterType_BARON_NASHOR_X_previous_timestamp").alias("baron_X_time"), "participantId_01", "participantId_10", "team", "region_euw",
     )
 
 
