@@ -33,6 +33,7 @@ _PARTS = 8
 # Names of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
+NESTED = frozenset("svg template".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -62,6 +63,19 @@ class Tree:
     texts: list[tuple[int, str, bool]] = field(default_factory=list)
 
 
+def _after_raw(page: str, at: int, tag: str) -> int:
+    """Where a raw element ends: at its end tag, for a drawing or a template the one of the outermost; at the end of the page without one."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>" if tag in NESTED else rf"<(/){re.escape(tag)}\s*>", re.I).finditer(page, at):
+        if m[1]:
+            depth -= 1
+        elif not m[0].endswith("/>"):
+            depth += 1
+        if not depth:
+            return m.end()
+    return len(page)
+
+
 def parse(page: str) -> Tree:
     """The element tree of a page, forgiving missing end tags."""
     tree, stack, fresh, raw = Tree(["#root"], [-1], [()]), [0], True, None
@@ -69,9 +83,7 @@ def parse(page: str) -> Tree:
     at, end = 0, len(page)
     while at < end:
         if raw:
-            # Only its own end tag ends a script or the like.
-            m = re.compile(rf"</{re.escape(raw)}\s*>", re.I).search(page, at)
-            at, raw = (m.end() if m else end), None
+            at, raw = _after_raw(page, at, raw), None
             stack.pop()
             continue
         m = _PIECE.match(page, at)
@@ -249,9 +261,12 @@ def _shares(row: list[float], least: float) -> tuple[float, ...]:
     return tuple(min(1 - least, max(least, x / sum(row))) for x in row)
 
 
-def train(pages: DataFrame, url: str = "url", page: str = "html") -> Model:
-    """Counts over a fixed-size sample of the pages that have an article; summed by Spark, only sums reach the driver."""
-    rows = pages.select(pages[page].cast("string").alias("text"), F.xxhash64(pages[url], pages[page]).alias("pick")).filter("text is not null")
+def train(pages: DataFrame, url: str = "url", page: str = "html", most_features: int = MOST_FEATURES) -> Model:
+    """Counts over a sample of about :data:`SAMPLE_PAGES` of the pages that have an article; summed by Spark, only sums reach the driver.
+
+    At most ``most_features`` counts are kept, the largest ones: what a tag or class name tells beyond them stays with the prior."""
+    rows = pages.select(pages[page].cast("string").alias("text"), F.xxhash64(pages[url], pages[page]).alias("pick"))
+    rows = rows.filter(F.col("text").rlike(f"(?i)<({'|'.join(sorted(LIKELY_TAGS))})[\\s/>]"))
     total = rows.count()
     share = int(min(1.0, SAMPLE_PAGES / max(1, total)) * (1 << 20))
     sample = rows.filter(F.pmod("pick", F.lit(1 << 20)) < share).repartition(_PARTS, "pick").select("text")
@@ -272,7 +287,7 @@ def train(pages: DataFrame, url: str = "url", page: str = "html") -> Model:
             yield arrow({"what": [k[0] for k in keys], "up": [k[1] for k in keys], "state": [k[2] for k in keys], "n": list(sums.values())}, kinds)
 
     summed = mapped(sample, count, "what string, up int, state int, n long").groupBy("what", "up", "state").agg(F.sum("n").alias("n"))
-    top = summed.orderBy(F.desc("n"), "what", "up", "state").limit(MOST_FEATURES).collect()
+    top = summed.orderBy(F.desc("n"), "what", "up", "state").limit(most_features).collect()
     return Model.learned({(r["what"], r["up"], r["state"]): r["n"] for r in top})
 
 

@@ -46,6 +46,21 @@ def test_odd_pages(spark):
     assert html.extracted(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_nested_raw_elements():
+    model = html.Model.learned({})
+    page = "<article><p>One</p><svg><g><svg a='>'><text>x</text></svg><text>leak</text></g></svg><p>Two</p><template><template>y</template>leak</template><svg/><p>Three</p></svg></article>"
+    assert model.text(page) == "One\nTwo\nThree"
+    assert model.text("<article><p>One</p><svg><svg></svg> open to the end") == "One"
+
+
+def test_training_takes_pages_with_an_article(spark, monkeypatch):
+    monkeypatch.setattr(html, "SAMPLE_PAGES", 30)
+    rows = [(i, f"u{i}", "<div><p>nothing to learn</p></div>") for i in range(2000)] + [(i, f"v{i}", f"<body><article class=a{i % 3}b><p>text</p></article><footer>f</footer></body>") for i in range(25)]
+    model = html.train(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert any(w.startswith("name:") and w not in html.Model.learned({}).weights for w in model.weights)
+    assert html.train(spark.createDataFrame(rows[:50], "page_id long, url string, html string")).weights == html.Model.learned({}).weights
+
+
 def test_messages_give_exact_marginals():
     tree = html.parse("<div><p>a</p><p>b <a>c</a></p></div><ul><li>d</ul>")
     model = html.Model({"#other": ((0.8, 0.2), (0.3, 0.7)), "p": ((0.6, 0.4), (0.1, 0.9))}, {"links:few": 0.7, "links:most": -0.4})
