@@ -298,10 +298,9 @@ def _some(members: DataFrame, level: int, pivots: int) -> DataFrame:
     return members.select("region", "nid").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= pivots).select("region", "nid")
 
 
-def _open(members: DataFrame, found: DataFrame, classes: bool = False) -> DataFrame:
-    """Members of the regions whose documents are not connected yet, with their ``class`` if asked."""
-    known = components(found).withColumnRenamed("node", "nid")
-    named = members.join(known, "nid", "left").withColumn("class", F.coalesce("class", "nid"))
+def _open(members: DataFrame, known: DataFrame, classes: bool = False) -> DataFrame:
+    """Members of the regions whose documents are not connected yet (classes of nodes are ``known``), with their ``class`` if asked."""
+    named = members.join(known.withColumnRenamed("node", "nid"), "nid", "left").withColumn("class", F.coalesce("class", "nid"))
     apart = named.groupBy("region").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("region")
     return (named if classes else members).join(apart.hint("merge"), "region")
 
@@ -333,7 +332,7 @@ def links(members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shinglin
     heads = members.groupBy("region").agg(F.min("nid").alias("nid"))
     stars = _divided(nearest, heads, bodies, kind, share)
     found = tables.written(_connected(stars), "links-0")
-    now, level = tables.written(_open(members, found), "region-0"), 0
+    now, level = tables.written(_open(members, components(found)), "region-0"), 0
     while True:
         level += 1
         sizes = now.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("weight"))
@@ -352,11 +351,14 @@ def links(members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shinglin
         deeper = cut.select("region", "nid", "n", F.explode("at").alias("pivot"))
         shrunk = deeper.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("part")).groupBy("region").agg(F.max("part").alias("part"))
         shrunk = tables.written(shrunk.join(judged, "region").select("region", (F.col("part") <= SHRUNK * F.col("c")).alias("shrunk")), f"shrunk-{level}")
-        whole = _open(large.select("region", "nid").join(shrunk.filter("not shrunk").select("region"), "region"), found, True)
-        blocks = _leaves(_blocks(whole), bodies, ("region", "tile"), kind)
-        found = tables.written(found.union(blocks), f"block-links-{level}")
+        known = components(found)
+        if shrunk.filter("not shrunk").limit(1).count():
+            whole = _open(large.select("region", "nid").join(shrunk.filter("not shrunk").select("region"), "region"), known, True)
+            blocks = _leaves(_blocks(whole), bodies, ("region", "tile"), kind)
+            found = tables.written(found.union(blocks), f"block-links-{level}")
+            known = components(found)
         named = deeper.join(shrunk.filter("shrunk").select("region"), "region").select(F.xxhash64("region", "pivot", F.lit(level)).alias("region"), "nid", "n")
-        now = tables.written(_open(named, found), f"region-{level}")
+        now = tables.written(_open(named, known), f"region-{level}")
 
 
 def similar(bodies: DataFrame, tables: Scratch, kind: Shingling) -> DataFrame:
