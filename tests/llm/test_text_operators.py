@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 from chronofold.llm import bpe, langid, packing, pieces, quality, simhash
-from chronofold.llm.common import sliding_argmin, utf8, words
+from chronofold.llm.common import gram_hashes, sliding_argmin, span_hashes, utf8, words
 from tests.llm import cases
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -267,3 +268,58 @@ def test_block_tables_find_every_neighbour(spark):
     for radius in (1, 3):
         got = {r["print"]: r["n_near"] for r in simhash.neighbours(df, df, radius).collect()}
         assert got == {p: sum(1 + q % 3 for q in prints if (p ^ q).bit_count() <= radius) for p in prints}
+
+
+MASK = (1 << 64) - 1
+
+
+def _plain_mix(h):
+    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    h = (h ^ (h >> 27)) * 0x94D049BB133111EB & MASK
+    return h ^ (h >> 31)
+
+
+def test_fingerprints_equal_plain_votes():
+    """Every term's bits are voted on one at a time; a term's number is the hash of its words alone, whatever the text around it."""
+    several = [*filter(None, cases.texts()), "", "a " + "b" * 400 + " c d e f"]
+    got = simhash.fingerprints(*utf8(pa.array(several)))
+    for text, value in zip(several, got.tolist(), strict=True):
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        size = min(simhash.TERM_WORDS, len(found))
+        votes = [0] * simhash.BITS
+        for i in range(len(found) - size + 1 if size else 0):
+            run = found[i : i + size]
+            alone = [m[0].encode() for m in run]
+            ends = np.cumsum([len(w) for w in alone])
+            hashes = span_hashes(np.frombuffer(b"".join(alone), np.uint8), ends - [len(w) for w in alone], ends)
+            term = int(gram_hashes(hashes, size)[0])
+            weight = min(255, len(text[run[0].start() : run[-1].end()].encode()))
+            for bit in range(simhash.BITS):
+                votes[bit] += weight if term >> bit & 1 else -weight
+        assert value == sum(1 << bit for bit, v in enumerate(votes) if v > 0)
+
+
+def test_training_equals_plain_counts(spark):
+    """Counts of n-grams letter by letter, smoothed; the sample takes all rows of a small table."""
+    rows = [(i, t, ("en", "fr", None)[i % 3]) for i, t in enumerate(["Ab c", "été là", "zz", "ab. AB", None, "x1y", "", "É a", "c"])]
+    rows.append(rows[0])
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ("en", "fr")
+    counts = np.zeros((2, langid.BUCKETS))
+    for _, text, lang in rows:
+        if lang is None:
+            continue
+        # One space stands for all that lies between letters, and after the last ones.
+        plain = re.sub(r"[^\W\d_]+|.", lambda m: m[0] if m[0][0].isalpha() else "\0", (text or "").lower(), flags=re.S)
+        plain = re.sub("\0+", " ", plain).lstrip(" ")
+        for n in langid.ORDERS:
+            for i in range(len(plain) - n + 1):
+                gram = plain[i : i + n]
+                if gram == " ":
+                    continue
+                h = n
+                for c in gram:
+                    h = (h * 0x110003 + ord(c)) & MASK
+                counts[model.languages.index(lang), _plain_mix(h) % langid.BUCKETS] += 1
+    expected = np.log((counts + langid.SMOOTHING) / (counts.sum(1, keepdims=True) + langid.SMOOTHING * langid.BUCKETS))
+    assert np.allclose(model.weights, expected, atol=1e-12)
