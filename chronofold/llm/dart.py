@@ -140,8 +140,8 @@ def _similar(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     return mapped(dealt, run, "a long, b long")
 
 
-def _crowded(nodes: DataFrame, texts: DataFrame, tables: Scratch, kind: Shingling) -> DataFrame:
-    """Links between members of one bucket, for every bucket whose members (``node``, ``class``, ``bands``) are not one class yet.
+def _crowded(nodes: DataFrame, texts: DataFrame, tables: Scratch, kind: Shingling, known: DataFrame) -> DataFrame:
+    """The ``known`` classes widened by links between members of one bucket, for every bucket whose members (``node``, ``class``, ``bands``) are not one class yet.
 
     All members of such buckets are joined exactly: only texts that share a rare shingle and whose counts of shingles allow a link meet again, so pages of
     one template that stay under the limit cost no more than their number.  Buckets of three or fewer have been checked.
@@ -150,7 +150,7 @@ def _crowded(nodes: DataFrame, texts: DataFrame, tables: Scratch, kind: Shinglin
     buckets = spots.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
     some = spots.join(buckets.filter("n > 3 and low < high").select("key").hint("merge"), "key").select("node").distinct()
     bodies = tables.written(texts.join(some.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id").select(F.col("doc_id").alias("nid"), "text"), "crowded")
-    return metric.similar(bodies, tables, kind)
+    return metric.similar(bodies, tables, kind, known)
 
 
 def classified(docs: DataFrame, tables: Scratch, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -185,8 +185,7 @@ def classified(docs: DataFrame, tables: Scratch, id_column: str = "doc_id", text
     found = components(more)
     labelled = tables.written(class_of(nodes.select("node", "bands"), "node", "class"), "labelled")
     kind = Shingling(SHINGLE_WORDS, False, round(100 * similarity))
-    every = tables.written(more.union(_crowded(labelled, texts, tables, kind)), "all-links")
-    found = components(every)
+    found = _crowded(labelled, texts, tables, kind, found)
     classes = class_of(nodes.select("digest", "first", "node"), "node", "class")
     lowest = classes.groupBy("class").agg(F.min("first").alias("class_id"))
     classes = tables.written(classes.select("digest", "class").join(lowest, "class"), "classes")

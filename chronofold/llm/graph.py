@@ -31,3 +31,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if not changed:
             tables.drop("edges", *(f"labels-{k}" for k in range(level)))
             return labels
+
+
+def widened(known: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """``node`` and ``class`` after more edges, from the classes so far.
+
+    Edges inside a class add nothing; the others become edges of classes, each once, so that a large class is not walked again.  Nodes that
+    were in no class are one of their own."""
+    for column in (a, b):
+        label = known.select(F.col("node").alias(column), F.col("class").alias(f"_{column}"))
+        edges = edges.join(label, column, "left").withColumn(f"_{column}", F.coalesce(f"_{column}", column))
+    apart = edges.select(F.col(f"_{a}").alias("a"), F.col(f"_{b}").alias("b")).filter("a != b").distinct()
+    more = components(apart)
+    moved = known.join(more.select(F.col("node").alias("class"), F.col("class").alias("_to")), "class", "left")
+    fresh = more.join(known.select("node"), "node", "left_anti").select("node", "class")
+    return moved.select("node", F.coalesce("_to", "class").alias("class")).union(fresh)

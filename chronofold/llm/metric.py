@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.llm.common import arrow, mapped, once_per_task, slices, text_column, utf8
-from chronofold.llm.graph import components
+from chronofold.llm.graph import components, widened
 from chronofold.llm.scratch import Scratch
 from chronofold.llm.sets import linked, shingles
 
@@ -322,50 +322,52 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.join(tiles.hint("merge"), ["region", "block"]).select("region", "tile", "nid")
 
 
-def links(members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shingling = DEFAULT, leaf: int = LEAF, pivots: int = PIVOTS, share: int = SHARE_SHINGLES) -> DataFrame:
-    """Links (``a``, ``b``) that connect what links within the regions (``region``, ``nid``, ``n``): two nodes that link are connected by some of them.
+def classes(
+    members: DataFrame, bodies: DataFrame, tables: Scratch, kind: Shingling = DEFAULT, leaf: int = LEAF, pivots: int = PIVOTS, share: int = SHARE_SHINGLES,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """``node`` and ``class`` of what links within the regions (``region``, ``nid``, ``n``): two nodes that link are in one class.
 
-    First every document is compared with the pivot of one of its regions.  Regions whose documents are connected are done with.  Regions above ``leaf`` are divided
-    level by level; one that did not shrink is compared block by block.
+    First every document is compared with the pivot of one of its regions, unless classes are ``known``.  Regions whose documents are one class are done with.
+    Regions above ``leaf`` are divided level by level; one that did not shrink is compared block by block.
     """
-    nearest = members.groupBy("nid").agg(F.min("region").alias("region"), F.first("n").alias("n"))
-    heads = members.groupBy("region").agg(F.min("nid").alias("nid"))
-    stars = _divided(nearest, heads, bodies, kind, share)
-    found = tables.written(_connected(stars), "links-0")
-    now, level = tables.written(_open(members, components(found)), "region-0"), 0
+    if known is None:
+        nearest = members.groupBy("nid").agg(F.min("region").alias("region"), F.first("n").alias("n"))
+        heads = members.groupBy("region").agg(F.min("nid").alias("nid"))
+        known = components(tables.written(_connected(_divided(nearest, heads, bodies, kind, share)), "stars"))
+    now, level = tables.written(_open(members, known), "region-0"), 0
     while True:
         level += 1
         sizes = now.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("weight"))
         small = (F.col("c") <= leaf) & (F.col("weight") <= LEAF_SHINGLES) | (F.col("c") == 1)
         judged = tables.written(sizes.select("region", "c", small.alias("small")), f"sizes-{level}")
         some = judged.agg(F.max("small"), F.min("small")).first()
-        step = found
         if some[0]:
-            step = step.union(_leaves(now.join(judged.filter("small"), "region"), bodies, ("region",), kind))
+            found = tables.written(_leaves(now.join(judged.filter("small"), "region"), bodies, ("region",), kind), f"leaf-links-{level}")
+            known = tables.written(widened(known, found), f"leaf-classes-{level}")
         if some[1] is not False:
-            return tables.written(step, f"links-{level}")
+            return known
         large = now.join(judged.filter("not small"), "region").select("region", "nid", "n", "c")
         cut = tables.written(_divided(large, _some(large, level, pivots), bodies, kind, share), f"divided-{level}")
-        found = tables.written(step.union(_connected(cut)), f"links-{level}")
+        known = tables.written(widened(known, _connected(cut)), f"classes-{level}")
         # What a division left together is compared block by block; the other regions of the pivots, named anew, are the next level.
         deeper = cut.select("region", "nid", "n", F.explode("at").alias("pivot"))
         shrunk = deeper.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("part")).groupBy("region").agg(F.max("part").alias("part"))
         shrunk = tables.written(shrunk.join(judged, "region").select("region", (F.col("part") <= SHRUNK * F.col("c")).alias("shrunk")), f"shrunk-{level}")
-        known = components(found)
         if shrunk.filter("not shrunk").limit(1).count():
             whole = _open(large.select("region", "nid").join(shrunk.filter("not shrunk").select("region"), "region"), known, True)
-            blocks = _leaves(_blocks(whole), bodies, ("region", "tile"), kind)
-            found = tables.written(found.union(blocks), f"block-links-{level}")
-            known = components(found)
+            found = tables.written(_leaves(_blocks(whole), bodies, ("region", "tile"), kind), f"block-links-{level}")
+            known = tables.written(widened(known, found), f"block-classes-{level}")
         named = deeper.join(shrunk.filter("shrunk").select("region"), "region").select(F.xxhash64("region", "pivot", F.lit(level)).alias("region"), "nid", "n")
         now = tables.written(_open(named, known), f"region-{level}")
 
 
-def similar(bodies: DataFrame, tables: Scratch, kind: Shingling) -> DataFrame:
-    """Links (``a``, ``b``) that connect all texts (``nid``, ``text``, one of each) that share enough shingles."""
+def similar(bodies: DataFrame, tables: Scratch, kind: Shingling, known: DataFrame) -> DataFrame:
+    """``node`` and ``class`` after linking all texts (``nid``, ``text``, one of each) that share enough shingles, on top of the ``known`` classes."""
     measured = tables.written(_measured(bodies, frequent(bodies, kind), kind).filter("node is not null"), "similar-measured")
-    members = tables.written(_with_neighbours(tables.written(regions(measured, kind.percent), "similar-met"), measured, kind.percent), "similar-members")
-    return links(members, bodies, tables, kind)
+    met = _open(tables.written(regions(measured, kind.percent), "similar-met"), known)
+    members = tables.written(_with_neighbours(met, measured, kind.percent), "similar-members")
+    return classes(members, bodies, tables, kind, known=known)
 
 
 def joined(docs: DataFrame, id_column: str = "doc_id", text: str = "text", kind: Shingling = DEFAULT) -> DataFrame:
@@ -386,7 +388,7 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text: str = "text", kind:
     members = tables.written(_with_neighbours(met, nodes, kind.percent), "members")
     wanted = nodes.select("nid", "text_key").join(members.select("nid").distinct().hint("merge"), "nid", "left_semi")
     bodies = tables.written(_bodies(rows, wanted), "bodies")
-    found = components(links(members, bodies, tables, kind)).withColumnRenamed("node", "nid")
+    found = classes(members, bodies, tables, kind).withColumnRenamed("node", "nid")
     classed = nodes.select("node", "nid", "first").join(found, "nid", "left").select("node", "first", F.coalesce("class", "nid").alias("class"))
     lowest = classed.groupBy("class").agg(F.min("first").alias("component_id"))
     answers = classed.select("node", "class").join(lowest, "class").select("node", "component_id")

@@ -89,7 +89,7 @@ def test_all_links_of_families(spark, monkeypatch, leaf, pivots, share):
     rows = families(leaf)
     monkeypatch.setattr(metric, "BLOCK", 16)
     monkeypatch.setattr(metric, "SAMPLED", 2)
-    monkeypatch.setattr(metric.links, "__defaults__", (metric.DEFAULT, leaf, pivots, share))
+    monkeypatch.setattr(metric.classes, "__defaults__", (metric.DEFAULT, leaf, pivots, share, None))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert answers(df) == plain(rows)
 
@@ -108,7 +108,7 @@ def test_one_region_of_everything(spark):
     tables = Scratch(spark)
     bodies = spark.createDataFrame(list(enumerate(sets)), "nid long, text string")
     members = spark.range(len(sets)).select(F.lit(0).cast("long").alias("region"), F.col("id").alias("nid"), F.lit(97).cast("long").alias("n"))
-    got = metric.components(metric.links(members, bodies, tables, leaf=5, pivots=4, share=2000)).collect()
+    got = metric.classes(members, bodies, tables, leaf=5, pivots=4, share=2000).collect()
     label = dict((r["node"], r["class"]) for r in got)
     whole = [r[2] for r in sorted(plain(list(enumerate(sets))))]
     groups = {}
