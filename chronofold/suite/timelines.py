@@ -117,14 +117,20 @@ def timeline_documents(t: Tables) -> DataFrame:
 
 #: Landing zones of this process, by session, folder and table: the documents are written once.
 _LANDED: dict[tuple[str, str, str], LandingZone] = {}
+#: Customers whose documents one task writes.
+LANDED_ROWS = 2000
 
 
 def landed(t: Tables, table: str, document: Column, region: Column) -> LandingZone:
-    """The documents as JSON lines in a landing zone, one folder per region."""
+    """The documents as JSON lines in a landing zone, one folder per region.
+
+    Customers are narrow and their documents wide, so they are dealt by number before these are made.
+    """
     key = (t.spark.sparkContext.applicationId, t.folder, table)
     if key not in _LANDED:
         zone = LandingZone(t.spark, t.scratch("landing"), ["match_info", "match_timeline"])
-        lines = t.customer.select(document.alias("value"), region)
+        tasks = -(-t.customer.count() // LANDED_ROWS)
+        lines = t.customer.repartition(max(tasks, 1), "c_custkey").select(document.alias("value"), region)
         lines.write.partitionBy("region").text(zone.table_path(table))
         _LANDED[key] = zone
     return _LANDED[key]

@@ -173,3 +173,17 @@ def test_snapshots_without_windows_equal_those_of_wide_events(spark, at):
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
     assert (got.count() > 0) == (at < 100_000)
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_are_written_by_tasks_of_a_bounded_number_of_customers(spark, monkeypatch):
+    """Narrow customers are one file; their wide documents must not come from one task."""
+    from chronofold.suite import timelines
+    from chronofold.suite.base import Tables
+
+    monkeypatch.setattr(timelines, "_LANDED", {})
+    monkeypatch.setattr(timelines, "LANDED_ROWS", 30)
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    documents = timelines.timeline_documents(tables)
+    written = documents.inputFiles()
+    assert len(written) >= 4
+    assert documents.select("matchId").distinct().count() == documents.count() == tables.customer.count()
