@@ -31,7 +31,7 @@ PURCHASED, SOLD, DESTROYED, UNDO = "ITEM_PURCHASED", "ITEM_SOLD", "ITEM_DESTROYE
 _EVENT = S.RAW_EVENT.simpleString()
 _FRAME = S.FRAME.simpleString()
 _HISTORY = "array<struct<kind:string,t:int,item:int>>"
-_SNAPSHOT = "array<struct<ord:int,ids:array<int>,counts:array<int>>>"
+_SNAPSHOT = "array<struct<ord:int,held:map<int,int>>>"
 _STATE = f"struct<held:map<int,int>,history:{_HISTORY},seen:{_SNAPSHOT}>"
 _HELD = "struct<ids:array<int>,counts:array<int>>"
 
@@ -109,7 +109,7 @@ def event_rows(frames: Column) -> Column:
 
 def ordered(rows: Column) -> Column:
     """Rows numbered by source position and sorted by time, sort type and position."""
-    return F.array_sort(F.transform(rows, lambda r, i: r.withField("ord", i)))
+    return F.sort_array(F.transform(rows, lambda r, i: r.withField("ord", i)))
 
 
 def nearest_in(rows: Column, t: Column, value: Callable[[Column], Column]) -> Column:
@@ -223,22 +223,26 @@ def replay(items: Column) -> Column:
             .when(is_undo & (size > 0), F.slice(s["history"], F.lit(1), kept))
             .otherwise(s["history"])
         )
-        now = F.struct(held.alias("held"), history.alias("history"))
-        ids = F.array_sort(F.map_keys(held))
-        shown = F.struct(
-            e["ord"].alias("ord"),
-            padded(ids, INVENTORY_SIZE).alias("ids"),
-            padded(F.transform(ids, lambda k: F.try_element_at(held, k)), INVENTORY_SIZE).alias("counts"),
-        )
-        return F.struct(
-            now["held"].alias("held"), now["history"].alias("history"),
-            F.array_append(s["seen"], shown).alias("seen"),
-        ).cast(_STATE)
+        now = F.struct(e["ord"].alias("ord"), held.alias("held"))
+        # Bound as the element of an array: a lambda evaluates an expression anew wherever it is used.
+        bound = F.transform(F.array(now), lambda n: F.struct(
+            n["held"].alias("held"), history.alias("history"), F.array_append(s["seen"], n).alias("seen")))
+        return F.get(bound, F.lit(0)).cast(_STATE)
 
     start = F.struct(
         F.create_map().alias("held"), F.array().alias("history"), F.array().alias("seen")
     ).cast(_STATE)
-    return F.aggregate(items, start, step, lambda s: s["seen"])
+    return F.transform(F.aggregate(items, start, step, lambda s: s["seen"]), _shown)
+
+
+def _shown(seen: Column) -> Column:
+    """Held items as lists, by item."""
+    ids = F.array_sort(F.map_keys(seen["held"]))
+    return F.struct(
+        seen["ord"].alias("ord"),
+        padded(ids, INVENTORY_SIZE).alias("ids"),
+        padded(F.transform(ids, lambda k: F.try_element_at(seen["held"], k)), INVENTORY_SIZE).alias("counts"),
+    )
 
 
 def inventories(rows: Column) -> Column:
@@ -345,7 +349,7 @@ def timeline_events(
     derived = derived_rows(F.col("_rows"), F.col("_levels"), death_timer)
     everything = F.concat(F.col("_rows"), F.transform(derived, _without_inventory))
     if event_id_mode == "chronological":
-        everything = F.array_sort(everything)
+        everything = F.sort_array(everything)
     exploded = steps.select("matchId", F.posexplode(everything).alias("_id", "_r"))
     return exploded.select(*_event_columns())
 
