@@ -381,18 +381,22 @@ def ladder_fact_table(t: Tables) -> DataFrame:
 # -- weekly jobs ----------------------------------------------------------------------------------
 
 
+#: Records of a landed file at most; a file is one document that one task reads.
+SNAPSHOT_ROWS = 100_000
+
+
 def land_snapshot(t: Tables, root: str, source: str, rows: DataFrame, week: str) -> None:
-    """Records as two files in order, each one JSON array, written row by row."""
+    """Records as files in order, two at least, each one JSON array, written batch by batch."""
+    files = max(2, -(-rows.count() // SNAPSHOT_ROWS))
     fields = [c for c in SNAPSHOT_FIELDS[source] if c in rows.columns]
-    lines = rows.repartitionByRange(2, "_ordinal").sortWithinPartitions("_ordinal").select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("value"))
+    lines = rows.repartitionByRange(files, "_ordinal").sortWithinPartitions("_ordinal").select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("value"))
 
     def as_array(batches):
         before = "["
         for batch in batches:
-            for at in batch.index:
-                batch.loc[at, "value"] = before + batch.loc[at, "value"]
+            if len(batch):
+                yield pd.DataFrame({"value": (before + batch["value"]).where(batch.index == batch.index[0], "," + batch["value"])})
                 before = ","
-            yield batch
         yield pd.DataFrame({"value": ["[]" if before == "[" else "]"]})
 
     lines.mapInPandas(as_array, "value string").write.text(week_path(root, source, week))
@@ -407,7 +411,7 @@ UNION ALL SELECT 'matches', match_id, tournament FROM ({REGISTRY['matches'].sql}
 UNION ALL SELECT 'entity_aliases', entity_id, alias FROM ({REGISTRY['entity_aliases'].sql})
 """)
 def weekly_jobs(t: Tables) -> DataFrame:
-    """The six weekly jobs from landed snapshots of two files each."""
+    """The six weekly jobs from landed snapshots of two files or more each."""
     root, week = t.scratch("snapshots"), "2026-02-02"
     records = {
         "players": players, "player_redirects": redirects, "teams": team_records, "scoreboard_games": game_records,

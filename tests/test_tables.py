@@ -213,3 +213,25 @@ def test_streams_keep_events_without_time_or_id(spark, tmp_path):
     latest = REGISTRY["stream_upserted"].run(spark, str(tmp_path))
     assert latest.count() == 3
     assert REGISTRY["stream_deduplicated"].run(spark, str(tmp_path)).count() == 3
+
+
+def test_snapshot_files_grow_in_number_and_keep_order(spark, tmp_path, monkeypatch):
+    """No file holds more records than one task should read, and every file is one JSON array."""
+    import json
+
+    from chronofold.plans.directory import snapshot_schema, week_path
+    from chronofold.sources.landing import read_snapshot
+    from chronofold.suite import people
+
+    monkeypatch.setattr(people, "SNAPSHOT_ROWS", 6000)
+    made = spark.range(25_000).select(F.col("id").cast("string").alias("AllName"), F.lit("p").alias("OverviewPage"), F.col("id").alias("_ordinal"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+    try:
+        people.land_snapshot(None, str(tmp_path), "player_redirects", made, "2026-02-02")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    path = week_path(str(tmp_path), "player_redirects", "2026-02-02")
+    sizes = [len(json.load(open(f"{path}/{f}"))) for f in os.listdir(path) if f.startswith("part-")]
+    assert len(sizes) == 5 and sum(sizes) == 25_000 and max(sizes) < 9000
+    back = read_snapshot(spark, path, snapshot_schema("player_redirects")).orderBy("_ordinal").collect()
+    assert [r.AllName for r in back] == [str(i) for i in range(25_000)]
