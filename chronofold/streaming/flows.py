@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,9 @@ from chronofold.plans.timeline import sort_type
 from chronofold.sources.tables import TableStore, conform
 from chronofold.streaming.state import FirstWithin, ItemReplay
 
+#: Groups that the keys of :func:`first_within` are dealt to.
+FIRST_BUCKETS = 1024
+
 
 def landing_stream(
     spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet",
@@ -61,16 +65,30 @@ def first_within(
 
     A row is late if its event time is more than ``lateness`` before the largest of the batches before; ``first`` if it is in time and no row counted as first within
     ``lateness`` before it.  Rows of a batch are taken by event time, then ``order``; a null event time is neither late nor first.  Rows beyond ``kept_late``
-    are dropped by Spark itself.  A key's state is one number, evicted as the watermark passes it.
+    are dropped by Spark itself.  A key's state is one number, evicted as the watermark passes it.  Keys are called and stored by bucket, whose number the checkpoint keeps.
     """
     slack = kept_late - lateness
     if slack < timedelta(0):
         raise ValueError("kept_late must be at least the lateness")
     columns = stream.columns
-    rows = stream.withWatermark(event_time, f"{int(kept_late.total_seconds())} seconds").withColumn("ev_at", F.unix_millis(F.col(event_time).cast("timestamp")))
-    schema = T.StructType([*stream.schema.fields, T.StructField("late", T.BooleanType()), T.StructField("first", T.BooleanType())])
+    # Whole numbers travel as zero instead of null, with the nulls marked by bits, since pandas would turn a column with nulls into doubles.
+    whole = [f.name for f in stream.schema if isinstance(f.dataType, T.IntegralType)]
+    if len(whole) > 63:
+        raise ValueError("at most 63 columns of whole numbers")
+    bits = [F.when(F.col(f"`{c}`").isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(whole)]
+    timed = stream.withWatermark(event_time, f"{int(kept_late.total_seconds())} seconds")
+    rows = timed.select(
+        *[F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(stream.schema[c].dataType)).alias(c) if c in whole else F.col(f"`{c}`") for c in columns],
+        F.unix_millis(F.col(event_time).cast("timestamp")).alias("ev_at"), reduce(Column.__add__, bits, F.lit(0).cast("long")).alias("ev_nulls"),
+        F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys]), {"ignoreNullFields": "false"}).alias("ev_key"),
+        *[F.col(f"`{o}`").isNotNull().alias(f"ev_has_{o}") for o in order], F.pmod(F.xxhash64(*keys), F.lit(FIRST_BUCKETS)).alias("ev_bucket"))
+    kept = [*(f for f in stream.schema.fields), T.StructField("ev_nulls", T.LongType())]
+    schema = T.StructType([*kept, T.StructField("late", T.BooleanType()), T.StructField("first", T.BooleanType())])
     millis = [int(x.total_seconds() * 1000) for x in (lateness, slack)]
-    return rows.groupBy(*keys).transformWithStateInPandas(FirstWithin(columns, [*order], *millis), schema, "Append", "EventTime")
+    places = [c for o in order for c in (f"ev_has_{o}", o)]
+    marked = rows.groupBy("ev_bucket").transformWithStateInPandas(FirstWithin([f.name for f in kept], places, *millis), schema, "Append", "EventTime")
+    given = lambda c: F.when(F.col("ev_nulls").bitwiseAND(F.lit(1 << whole.index(c)).cast("long")) == 0, F.col(f"`{c}`")).alias(c)
+    return marked.select(*[given(c) if c in whole else F.col(f"`{c}`") for c in columns], "late", "first")
 
 
 def late_and_first(marked: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

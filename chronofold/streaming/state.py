@@ -120,8 +120,9 @@ class ItemReplay(StatefulProcessor):
 class FirstWithin(StatefulProcessor):
     """First row of a key, and again the first one that comes more than ``lateness`` after the last one that counted.
 
-    Rows arrive with their event time ``ev_at`` in milliseconds and come out with ``late`` and ``first``; a repeat comes out as neither.  The query's own watermark runs
-    ``slack`` behind the one meant here, so that Spark passes late rows on.  A key's state goes when no row in time can repeat it.
+    Rows are grouped by a bucket of their keys, so that a call's fixed cost is shared by many keys; ``ev_key`` tells the keys of a bucket apart.  Rows arrive with their
+    event time ``ev_at`` in milliseconds and come out with ``late`` and ``first``; a repeat comes out as neither.  The query's own watermark runs ``slack`` behind the one
+    meant here, so that Spark passes late rows on.  A key's state goes when no row in time can repeat it: as its bucket is next written, or by the bucket's timer.
     """
 
     def __init__(self, columns: list[str], order: list[str], lateness: int, slack: int):
@@ -129,37 +130,53 @@ class FirstWithin(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.until = handle.getValueState("until", "until long")
+        self.until = handle.getListState("until", "key string, until long")
+        self.due = handle.getValueState("due", "due long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = [f for f in rows if len(f)]
         if not frames:
             return
         events = pd.concat(frames).sort_values(["ev_at", *self.order], kind="stable", na_position="first")
-        mark = timerValues.getCurrentWatermarkInMs()
-        mark = mark + self.slack if mark > 0 else -1
-        known = self.until.get()
-        until = before = known[0] if known else None
-        late, first = [], []
-        for at in events["ev_at"].tolist():
-            late.append(not pd.isna(at) and at < mark)
-            first.append(not late[-1] and not pd.isna(at) and (until is None or at > until))
+        mark = self._mark(timerValues)
+        before = dict(self.until.get())
+        until, late, first = dict(before), [], []
+        for name, at in zip(events["ev_key"].tolist(), events["ev_at"].tolist(), strict=True):
+            timed = not pd.isna(at)
+            late.append(timed and at < mark)
+            known = until.get(name)
+            first.append(timed and not late[-1] and (known is None or at > known))
             if first[-1]:
-                until = int(at) + self.lateness
-        if until is not None and until != before:
-            if before is not None:
-                self.handle.deleteTimer(self._expiry(before, timerValues))
-            self.until.update((until,))
-            self.handle.registerTimer(self._expiry(until, timerValues))
+                until[name] = int(at) + self.lateness
+        if until != before:
+            self._store({k: v for k, v in until.items() if v >= mark})
         yield events.assign(late=late, first=first)[[*self.columns, "late", "first"]]
 
-    def _expiry(self, until: int, timerValues) -> int:
-        return max(until - self.slack + 1, 1)
+    def _mark(self, timerValues) -> int:
+        """The largest event time of the batches before, less the lateness."""
+        mark = timerValues.getCurrentWatermarkInMs()
+        return mark + self.slack if mark > 0 else -1
+
+    def _store(self, until: dict[str, int]) -> None:
+        """State of the bucket and a timer for the moment when none of it counts any more."""
+        known = self.due.get()
+        if not until:
+            self.until.clear()
+            self.due.clear()
+        else:
+            self.until.put(list(until.items()))
+        due = max(max(until.values()) - self.slack + 1, 1) if until else None
+        if known and known[0] != due:
+            self.handle.deleteTimer(known[0])
+        if due is not None and (not known or known[0] != due):
+            self.due.update((due,))
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self.until.get()
-        if known and self._expiry(known[0], timerValues) <= expiredTimerInfo.getExpiryTimeInMs():
+        known = self.due.get()
+        if known and known[0] <= expiredTimerInfo.getExpiryTimeInMs():
             self.until.clear()
+            self.due.clear()
         return iter(())
 
     def close(self) -> None:

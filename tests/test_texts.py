@@ -192,3 +192,26 @@ def test_hints_of_any_length(spark):
     hints, events = ["a", "xy", "ab", "cup", "", "worlds 20", "éa", "zzz", None], ["a cup", "worlds 2024 xyz", "", "éab", "cu", None]
     got = events_of_hints(*(spark.createDataFrame([(x,) for x in rows], f"{name} string") for rows, name in ((hints, "_hint"), (events, "_event"))))
     assert {tuple(r) for r in got.collect()} == {(h, e) for h in hints if h for e in events if e and h in e}
+
+
+def test_first_within_shares_calls_among_keys(spark, tmp_path, monkeypatch):
+    """Keys of one bucket keep their own state; null keys and whole numbers beyond doubles come out as they went in."""
+    from chronofold.streaming import flows
+
+    schema = "user long, id long, at timestamp"
+    day = lambda n: dt.datetime(2026, 1, 1) + dt.timedelta(days=n)
+    big = 2**60 + 1
+    monkeypatch.setattr(flows, "FIRST_BUCKETS", 1)
+    batches = [
+        [(u, big + u, day(20)) for u in range(50)] + [(None, None, day(20)), (None, big, day(21)), (7, 1, None)],
+        [(u, u, day(25)) for u in range(50)] + [(None, 3, day(31)), (3, 4, day(9))],
+        [(5, 6, day(40)), (6, 7, day(20))],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        marked = flows.first_within(stream, ["user"], "at", dt.timedelta(days=10), order=["id"])
+        flows.late_and_first(marked, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    got = {(r.user, r.id, str(r.late)) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(u, big + u, "false") for u in range(50)} | {
+        (None, None, "false"), (None, 3, "false"), (3, 4, "true"), (5, 6, "false"), (6, 7, "true")}
