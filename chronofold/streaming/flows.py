@@ -20,6 +20,12 @@ from chronofold.streaming.state import FirstWithin, ItemReplay
 #: Groups that the keys of :func:`first_within` are dealt to.
 FIRST_BUCKETS = 1024
 
+#: Groups that the owners of :func:`replayed_items` are dealt to.
+OWNER_BUCKETS = 1024
+
+#: Remembered events of an owner that are stored as one.
+REMEMBERED_BLOCK = 32
+
 
 def landing_stream(
     spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet",
@@ -146,24 +152,39 @@ def replayed_items(
     Each owner has state of its own, of which a batch reads and writes only what its events touch (:class:`ItemReplay`); owners without events cost
     nothing.  An owner is closed, and its state dropped, by an event whose ``ended`` column is true, or once the watermark of ``event_time``
     is ``idle`` past its last event; events after that start anew.  Events must arrive in order of ``tick`` per owner; those of one batch
-    are put in the timeline's order, an event of an earlier tick counts where it arrives.
+    are put in the timeline's order, an event of an earlier tick counts where it arrives.  Owners are called and stored by bucket, whose number the checkpoint keeps.
     """
     if idle is not None and event_time is None:
         raise ValueError("an idle time needs an event time")
     moment = F.unix_millis(F.col(event_time).cast("timestamp")) if event_time else F.lit(None).cast("long")
+    types = {f.name: f.dataType for f in stream.select(*owner, F.col(ordinal)).schema}
+    # Whole numbers travel as zero instead of null, with the nulls marked, since pandas would turn a column with nulls into doubles.
+    whole = [o for o in owner if isinstance(types[o], T.IntegralType)]
+    filled = lambda c: F.coalesce(F.col(c), F.lit(0).cast(types[c])) if isinstance(types[c], T.IntegralType) else F.col(c)
+    bits = [F.when(F.col(o).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, o in enumerate(whole)]
+    tick_of = F.col(tick).cast("long")
     columns = [
-        *owner, F.col(tick).cast("long").alias("ev_t"), F.col(kind).alias("ev_kind"), F.col(item).cast("long").alias("ev_item"), F.col(ordinal).alias("ev_ord"),
+        *[filled(o).alias(o) for o in owner], reduce(Column.__add__, bits, F.lit(0).cast("long")).alias("ev_nulls"),
+        F.coalesce(tick_of, F.lit(0).cast("long")).alias("ev_t"), tick_of.isNotNull().alias("ev_has_t"), F.col(kind).alias("ev_kind"),
+        F.col(item).cast("long").cast("string").alias("ev_item"), filled(ordinal).alias("ev_ord"), F.col(ordinal).isNotNull().alias("ev_has_ord"),
         sort_type(F.col(kind), F.col(item)).alias("ev_type"), F.coalesce(F.col(ended), F.lit(False)).alias("ev_ended"), moment.alias("ev_at"),
+        F.to_json(F.struct(*[F.col(o).cast("string").alias(o) for o in owner]), {"ignoreNullFields": "false"}).alias("ev_key"),
+        F.pmod(F.xxhash64(*owner), F.lit(OWNER_BUCKETS)).alias("ev_bucket"),
     ]
     timed = stream.withWatermark(event_time, lateness) if event_time else stream
     rows = timed.select(*columns, *([event_time] if event_time else []))
-    types = {f.name: f.dataType for f in rows.schema}
     schema = T.StructType([
-        *(T.StructField(o, types[o]) for o in owner), T.StructField(tick, T.LongType()), T.StructField("sort", T.StringType()), T.StructField(ordinal, types["ev_ord"]),
-        T.StructField("step", T.IntegerType()), T.StructField(item, T.LongType()), T.StructField("change", T.LongType()), T.StructField("held", T.LongType()),
+        *(T.StructField(o, types[o]) for o in owner), T.StructField("ev_nulls", T.LongType()), T.StructField("ev_t", T.LongType()),
+        T.StructField("ev_has_t", T.BooleanType()), T.StructField("ev_type", T.StringType()), T.StructField("ev_ord", types[ordinal]),
+        T.StructField("ev_has_ord", T.BooleanType()), T.StructField("step", T.IntegerType()), T.StructField("ev_item", T.StringType()),
+        T.StructField("change", T.LongType()), T.StructField("held", T.LongType()),
     ])
-    replay = ItemReplay(schema.names, idle=int(idle.total_seconds() * 1000) if idle is not None else None)
-    changes = rows.groupBy(*owner).transformWithStateInPandas(replay, schema, "Append", "EventTime" if event_time else "None")
+    replay = ItemReplay([*owner], idle=int(idle.total_seconds() * 1000) if idle is not None else None, block=REMEMBERED_BLOCK)
+    marked = rows.groupBy("ev_bucket").transformWithStateInPandas(replay, schema, "Append", "EventTime" if event_time else "None")
+    present = lambda o: F.when(F.col("ev_nulls").bitwiseAND(F.lit(1 << whole.index(o)).cast("long")) == 0, F.col(o)).alias(o)
+    changes = marked.select(
+        *[present(o) if o in whole else F.col(o) for o in owner], F.when(F.col("ev_has_t"), F.col("ev_t")).alias(tick), F.col("ev_type").alias("sort"),
+        F.when(F.col("ev_has_ord"), F.col("ev_ord")).alias(ordinal), "step", F.col("ev_item").cast("long").alias(item), "change", "held")
     with state_in_rocksdb(stream.sparkSession):
         return to_files(changes, output, checkpoint)
 

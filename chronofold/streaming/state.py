@@ -11,112 +11,150 @@ from chronofold.plans.timeline import DESTROYED, PURCHASED, SOLD, UNDO
 
 
 class ItemReplay(StatefulProcessor):
-    """Item counters of one owner with what an UNDO can take back.
+    """Item counters of owners with what an UNDO can take back.
 
-    State: ``held``, a map from item to count; ``past``, a map from depth to the remembered event at that depth (a purchase together with the items that
-    were used up for it on its tick); ``place``, the depth and the time at which the owner is closed.  A batch reads the entries it
-    needs and writes the ones it changed, so its cost does not depend on how long the owner has been open.
+    Owners are grouped by a bucket, so that a call's fixed cost is shared by many; ``ev_key`` tells the owners of a bucket apart.  State per owner: ``open``, one record of
+    the counts, the ``due`` time at which the owner is closed and the last remembered events (a purchase together with the items that were used up for it on its
+    tick); ``past``, the remembered events before these in blocks of ``block``.  A batch reads and writes the records of the owners it has events of, and a block
+    only where one fills up or is taken back (a record holds fewer than two), so its cost does not depend on how long an owner has been open.
     """
 
-    def __init__(self, names: list[str], idle: int | None = None):
-        self.names, self.idle = names, idle
+    def __init__(self, owner: list[str], idle: int | None = None, block: int = 32):
+        self.owner, self.idle, self.block = owner, idle, block
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "item string", "n long")
-        self.past = handle.getMapState("past", "depth long", "kind string, tick long, item long, used array<long>")
-        self.place = handle.getValueState("place", "depth long, due long")
+        events = "kinds array<string>, ticks array<long>, taken array<string>, used array<array<string>>"
+        self.open = handle.getMapState("open", "owner string", f"blocks long, due long, timer long, items array<string>, counts array<long>, {events}")
+        self.past = handle.getMapState("past", "owner string, block long", events)
+        self.timers = handle.getMapState("timers", "at long", "owners array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         frames = [f for f in rows if len(f)]
         if not frames:
             return
-        events = pd.concat(frames).sort_values(["ev_t", "ev_type", "ev_ord"], kind="stable", na_position="first")
-        depth, due = self.place.get() or (0, None)
-        counts: dict[int | None, int] = {}
-        entries: dict[int, tuple] = {}
-        stored = depth
-        out = []
-
-        def top() -> tuple | None:
-            if not depth:
-                return None
-            if depth not in entries:
-                entries[depth] = self.past.getValue((depth,))
-            return entries[depth]
-
-        def bump(item: int | None, by: int) -> int:
-            if item not in counts:
-                known = self.held.getValue((str(item),))
-                counts[item] = known[0] if known else 0
-            counts[item] = max(0, counts[item] + by)
-            return counts[item]
-
-        columns = [events[c].tolist() for c in ("ev_t", "ev_type", "ev_ord", "ev_kind", "ev_item", "ev_ended")]
-        for tick, sort, ordinal, kind, item, ended in zip(*columns, strict=True):
-            item = None if pd.isna(item) else int(item)
-            changes: list[tuple[int | None, int]] = []
-            if kind == PURCHASED:
-                used = []
-                while (last := top()) and last[0] == DESTROYED and last[1] == tick:
-                    used.append(last[2])
-                    depth -= 1
-                depth += 1
-                entries[depth] = (kind, tick, item, used)
-                changes = [(item, 1)]
-            elif kind in (SOLD, DESTROYED):
-                depth += 1
-                entries[depth] = (kind, tick, item, [])
-                changes = [(item, -1)]
-            elif kind == UNDO and (last := top()):
-                depth -= 1
-                if last[0] == PURCHASED:
-                    changes = [(last[2], -1), *((i, 1) for i in reversed(last[3]))]
-                elif last[0] == SOLD:
-                    changes = [(last[2], 1)]
-            out += [(*key, tick, sort, ordinal, step, what, by, bump(what, by)) for step, (what, by) in enumerate(changes)]
-            if ended:
-                self._close(due)
-                depth, due, stored, counts, entries = 0, None, 0, {}, {}
-        for item, n in counts.items():
-            self.held.updateValue((str(item),), (n,))
-        for at in range(depth + 1, stored + 1):
-            self.past.removeKey((at,))
-        for at, entry in entries.items():
-            if at <= depth:
-                self.past.updateValue((at,), entry)
-        if depth or counts or due is not None:
-            due = self._postponed(events, due)
-            self.place.update((depth, due))
-        yield pd.DataFrame(out, columns=self.names).astype({self.names[-3]: "Int64"})
-
-    def _postponed(self, events: pd.DataFrame, due: int | None) -> int | None:
-        """The owner closes ``idle`` after its last event."""
-        if self.idle is None or events["ev_at"].isna().all():
-            return due
-        later = int(events["ev_at"].max()) + self.idle
-        if due is not None and due >= later:
-            return due
-        if due is not None:
-            self.handle.deleteTimer(due)
-        self.handle.registerTimer(later)
-        return later
-
-    def _close(self, due: int | None) -> None:
-        self.held.clear()
-        self.past.clear()
-        self.place.clear()
-        if due is not None:
-            self.handle.deleteTimer(due)
+        order = ["ev_key", "ev_has_t", "ev_t", "ev_type", "ev_has_ord", "ev_ord"]
+        events = pd.concat(frames).sort_values(order, kind="stable", na_position="first").reset_index(drop=True)
+        owners = events["ev_key"]
+        starts = [*owners.index[owners != owners.shift()], len(events)]
+        columns = [events[c].tolist() for c in ("ev_t", "ev_has_t", "ev_kind", "ev_item", "ev_ended", "ev_at")]
+        out: list[tuple] = []
+        waiting: dict[int, list[str]] = {}
+        for low, high in zip(starts[:-1], starts[1:], strict=True):
+            state = _Owner(self, owners[low])
+            for n, (tick, timed, kind, item, ended, _) in enumerate(zip(*(c[low:high] for c in columns), strict=True), low):
+                changes = state.take(kind, tick if timed else None, item)
+                out += [(n, step, what, by, state.bump(what, by)) for step, (what, by) in enumerate(changes)]
+                if ended:
+                    state.clear()
+            if self.idle is not None:
+                state.postpone([int(at) for at in columns[-1][low:high] if not pd.isna(at)], self.idle, waiting)
+            state.store()
+        self._wait(waiting)
+        places = [o[0] for o in out]
+        found = events.iloc[places][[*self.owner, "ev_nulls", "ev_t", "ev_has_t", "ev_type", "ev_ord", "ev_has_ord"]].reset_index(drop=True)
+        given = {name: [o[i] for o in out] for i, name in enumerate(("step", "ev_item", "change", "held"), 1)}
+        yield found.assign(**{name: pd.Series(values, dtype=object if name == "ev_item" else "int64") for name, values in given.items()})
+
+    def _wait(self, waiting: dict[int, list[str]]) -> None:
+        """One timer of the bucket for all owners that wait for the same moment."""
+        for at, names in waiting.items():
+            known = self.timers.getValue((at,))
+            self.timers.updateValue((at,), ([*(known[0] if known else []), *names],))
+            self.handle.registerTimer(at)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self._close(None)
+        """Closes the owners that were idle; one with later events waits again, an owner that was closed and opened anew waits for a timer of its own."""
+        at, mark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        known = self.timers.getValue((at,))
+        self.timers.removeKey((at,))
+        waiting: dict[int, list[str]] = {}
+        for name in dict.fromkeys(known[0] if known else []):
+            state = _Owner(self, name)
+            if state.timer != at:
+                continue
+            if state.due <= max(at, mark - 1):
+                state.clear()
+            else:
+                state.timer = state.due
+                waiting.setdefault(state.due, []).append(name)
+            state.store()
+        self._wait(waiting)
         return iter(())
 
     def close(self) -> None:
         pass
 
 
+class _Owner:
+    """State of one owner while a batch is applied to it."""
+
+    def __init__(self, replay: ItemReplay, name: str):
+        self.replay, self.name = replay, name
+        record = replay.open.getValue((name,))
+        self.known = record is not None
+        self.blocks, self.due, self.timer, items, counts, *events = record or (0, None, None, [], [], [], [], [], [])
+        self.stored = self.blocks
+        self.counts: dict[str | None, int] = dict(zip(items, counts, strict=True))
+        self.top = list(zip(*events, strict=True))
+
+    def last(self) -> tuple | None:
+        """The event remembered last: kind, tick, item and the items used up for it."""
+        if not self.top and self.blocks:
+            self.blocks -= 1
+            self.top = list(zip(*self.replay.past.getValue((self.name, self.blocks)), strict=True))
+        return self.top[-1] if self.top else None
+
+    def take(self, kind: str, tick: int | None, item: str | None) -> list[tuple[str | None, int]]:
+        """Changes of counters by an event."""
+        if kind == PURCHASED:
+            used = []
+            while (last := self.last()) and last[0] == DESTROYED and last[1] == tick:
+                used.append(self.top.pop()[2])
+            self.top.append((kind, tick, item, used))
+            return [(item, 1)]
+        if kind in (SOLD, DESTROYED):
+            self.top.append((kind, tick, item, []))
+            return [(item, -1)]
+        if kind == UNDO and self.last():
+            what, _, item, used = self.top.pop()
+            if what == PURCHASED:
+                return [(item, -1), *((i, 1) for i in reversed(used))]
+            if what == SOLD:
+                return [(item, 1)]
+        return []
+
+    def bump(self, item: str | None, by: int) -> int:
+        held = self.counts[item] = max(0, self.counts.get(item, 0) + by)
+        return held
+
+    def postpone(self, moments: list[int], idle: int, waiting: dict[int, list[str]]) -> None:
+        """The owner closes ``idle`` after its last event; it has one timer, which is set anew when it fires too early."""
+        if moments:
+            self.due = max(max(moments) + idle, self.due or 0)
+        if self.due is not None and self.timer is None:
+            self.timer = self.due
+            waiting.setdefault(self.due, []).append(self.name)
+
+    def clear(self) -> None:
+        self.blocks, self.due, self.timer, self.counts, self.top = 0, None, None, {}, []
+
+    def store(self) -> None:
+        replay, size = self.replay, self.replay.block
+        while len(self.top) >= 2 * size:
+            replay.past.updateValue((self.name, self.blocks), tuple(map(list, zip(*self.top[:size], strict=True))))
+            self.top = self.top[size:]
+            self.blocks += 1
+        for block in range(self.blocks, self.stored):
+            replay.past.removeKey((self.name, block))
+        held = {item: n for item, n in self.counts.items() if n}
+        if self.blocks or self.top or held or self.due is not None:
+            events = tuple(map(list, zip(*self.top, strict=True))) if self.top else ([], [], [], [])
+            replay.open.updateValue((self.name,), (self.blocks, self.due, self.timer, [*held], [*held.values()], *events))
+        elif self.known:
+            replay.open.removeKey((self.name,))
+
+
 class FirstWithin(StatefulProcessor):
     """First row of a key, and again the first one that comes more than ``lateness`` after the last one that counted.
 
