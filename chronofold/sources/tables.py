@@ -36,6 +36,9 @@ TYPE_NAMES = {
 #: Partition column of a table with hash buckets.
 BUCKET = "key_bucket"
 
+#: Keys of a batch that the planner may broadcast; more are joined by sorting, so that they never pass through the driver.
+BROADCAST_KEYS = 100_000
+
 
 def type_named(name: str) -> T.DataType:
     """Spark type of a declared type name; ``list<x>`` nests, anything else is an error."""
@@ -248,13 +251,14 @@ class TableStore:
         if not parts:
             self._overwrite(table, spec, merged(target, batch, keys))
             return
+        known = key_rows(batch, keys)
         touched = batch.select(*parts)
         if not set(parts) <= {*keys, BUCKET}:
             # A key may have moved: the partition that holds its old row has to be rewritten too.
-            touched = touched.unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts))
+            touched = touched.unionByName(target.join(known, keys, "left_semi").select(*parts))
         touched = written(touched.distinct(), "touched")
         old = _in_partitions(target, touched, parts)
-        rest = old.join(batch.select(*keys), keys, "left_anti")
+        rest = old.join(known, keys, "left_anti")
         # Dynamic overwrite leaves a partition alone when the result has no row for it; these lose their last row.
         emptied = _without_partitions(touched, rest.unionByName(batch).select(*parts).distinct(), parts).collect()
         columns = self.schema_of(table).names
@@ -275,7 +279,13 @@ class TableStore:
 
 def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the batch's keys, plus the batch."""
-    return target.join(batch.select(*keys), [*keys], "left_anti").unionByName(batch)
+    return target.join(key_rows(batch, keys), [*keys], "left_anti").unionByName(batch)
+
+
+def key_rows(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of a written batch as the side of a join that may be broadcast, but only up to :data:`BROADCAST_KEYS` of them."""
+    chosen = batch.select(*keys)
+    return chosen if batch.count() <= BROADCAST_KEYS else chosen.hint("merge")
 
 
 def _same_partition(left: DataFrame, right: DataFrame, parts: Sequence[str]) -> tuple[DataFrame, Column]:
