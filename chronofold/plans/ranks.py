@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chronofold.functions.values import epoch_seconds, or_default, safe_ratio
 from chronofold.operators.grids import leftovers_or_fail, missing
-from chronofold.operators.select import last_per_key
+from chronofold.operators.select import dealt, last_per_key
 from chronofold.session import written
 from chronofold.sources.landing import flatten_entries
 from chronofold.sources.tables import TableSpec, TableStore, struct
@@ -45,7 +45,8 @@ def ladder_batch(
     rows = regular.withColumn("timestamp", fetched_at)
     if elite is not None:
         rows = rows.unionByName(flatten_entries(elite).withColumn("timestamp", fetched_at), allowMissingColumns=True)
-    return last_per_key(rows, [*unit, "puuid"], "timestamp", "leagueId", "leaguePoints", "wins", "losses")
+    # A player's entries may be many, so they are dealt by all they hold and meet only after each task has kept its latest.
+    return last_per_key(dealt(rows, rows.count(), *rows.columns), [*unit, "puuid"], "timestamp", "leagueId", "leaguePoints", "wins", "losses")
 
 
 def clean_ranks(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.functions.text import page_url
@@ -288,15 +288,15 @@ def page_urls(t: Tables) -> DataFrame:
 # -- ladders ------------------------------------------------------------------------------------
 
 
-def ladder_pages(t: Tables) -> DataFrame:
-    """Orders as ladder entries of their customers."""
+def ladder_pages(t: Tables, *more: Column) -> DataFrame:
+    """Orders as ladder entries of their customers, with more columns of the orders."""
     o = F.col("o_orderkey")
     return t.orders.select(
         F.col("o_custkey").cast("string").alias("puuid"), F.lit("L1").alias("leagueId"), F.col("o_orderstatus").alias("rank"),
         F.when(o % 3 > 0, (o % 100).cast("int")).alias("leaguePoints"), F.when(o % 5 > 0, (o % 40).cast("int")).alias("wins"),
         (o % 7).cast("int").alias("losses"), (o % 2 == 0).alias("freshBlood"), F.when(o % 2 == 0, True).alias("hotStreak"),
         F.lit(False).alias("inactive"), F.lit(False).alias("veteran"),
-        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("timestamp"), o.alias("_o"))
+        F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("timestamp"), o.alias("_o"), *more)
 
 
 _LADDER = """
@@ -320,7 +320,7 @@ QUALIFY row_number() OVER (PARTITION BY day, server, tier, division, puuid ORDER
 def ladder_latest(t: Tables) -> DataFrame:
     """Regular and elite pages united, the latest entry per day, server, cell and player."""
     o = F.col("_o")
-    pages = ladder_pages(t).join(t.orders.select(F.col("o_orderkey").alias("_o"), F.substring("o_orderpriority", 1, 1).alias("division")), "_o")
+    pages = ladder_pages(t, F.substring("o_orderpriority", 1, 1).alias("division"))
     pages = pages.withColumns({"day": F.to_date(F.timestamp_seconds("timestamp")), "server": F.when(o % 2 == 0, "kr").otherwise("na1"), "tier": F.col("rank")})
     again = pages.withColumns({
         "division": F.lit("9"), "server": F.lit("kr"), "leaguePoints": (o % 100).cast("int"), "wins": F.lit(None).cast("int"), "losses": F.lit(0)})
