@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chronofold.operators.lanes import DEFAULT_MAX_ROWS, Lane, last_known, next_known
+from chronofold.operators.select import dealt
 
 _SIDE = "_side"
 _PAYLOAD = "_payload"
@@ -54,7 +55,8 @@ def neighbours(
     rows = left.withColumn(_SIDE, F.lit(1)).unionByName(packed, allowMissingColumns=True)
 
     lane = Lane(by, [on, _SIDE, *ties], max_rows=max_rows, bounded=bounded).measured(rows)
-    rows = lane.slice(rows)
+    # Three times as finely as rows without keys, which cannot be dealt evenly.
+    rows = dealt(lane.slice(rows), 3 * lane.rows, *lane.keys)
     if run == "first" and tie:
         same = Window.partitionBy(*lane.keys, on).orderBy(_SIDE, *ties)
         rows = rows.withColumn(

@@ -100,6 +100,8 @@ class Lane:
     max_rows: int = DEFAULT_MAX_ROWS
     bounded: bool = False
     within: Sequence[str] = field(default=())
+    #: Rows counted by :meth:`measured`.
+    rows: int = 0
 
     @property
     def keys(self) -> list[str]:
@@ -162,9 +164,9 @@ class Lane:
         sizes = df.groupBy(*self.by).agg(F.count(F.lit(1)).alias("_rows"))
         most, total = sizes.agg(F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
         if most <= self.max_rows:
-            return replace(self, bounded=True)
+            return replace(self, bounded=True, rows=total)
         # The marks are broadcast: with more rows a slice may hold more, so that their number stays bounded.
-        return replace(self, max_rows=max(self.max_rows, total // MOST_MARKS))
+        return replace(self, max_rows=max(self.max_rows, total // MOST_MARKS), rows=total)
 
     def scan(self, df: DataFrame, **steps: Step) -> DataFrame:
         """Add one column per step to a frame already marked by :meth:`slice`."""

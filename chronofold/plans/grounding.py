@@ -16,7 +16,7 @@ from chronofold.functions.values import compact_date, iso_now, lenient_timestamp
 from chronofold.operators.asof import neighbours
 from chronofold.operators.counts import most_common
 from chronofold.operators.lanes import DEFAULT_MAX_ROWS
-from chronofold.operators.select import top_per_key
+from chronofold.operators.select import dealt, top_per_key
 from chronofold.session import written
 from chronofold.sources.tables import TableSpec, struct
 
@@ -149,8 +149,9 @@ def link(
         both = on_event.select(key, F.lit(0).alias("_stage"), "_best").unionByName(
             anywhere.select(key, F.lit(1).alias("_stage"), "_best")
         )
+        # Two rows or more for each document; by the document at once, so that no task sorts more before the exchange than after it.
         best = top_per_key(
-            both.where(F.col("_best").isNotNull()), [key],
+            dealt(both.where(F.col("_best").isNotNull()), 2 * left.count(), key), [key],
             [F.col("_stage"), F.col("_best.distance"), F.col("_best._rank")],
         )
     else:
