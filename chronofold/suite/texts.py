@@ -15,6 +15,7 @@ from chronofold.plans.grounding import (
     REGISTRY, gazetteer_references, generated_references, ground_documents, link, read_once, registry_metrics, registry_rows,
     transcript_content,
 )
+from chronofold.session import written
 from chronofold.suite.base import Tables, query
 from chronofold.suite.stores import store_for
 
@@ -253,7 +254,8 @@ SELECT count(*) AS processed, count(*) FILTER (processing_status = 'grounded') A
 def registry_counts(t: Tables) -> DataFrame:
     """Registry upserted twice and its run metrics."""
     store = store_for(t, {"source_registry": REGISTRY})
-    rows = grounded(t)
+    # Written, so that the texts are read and linked once for both upserts.
+    rows = written(grounded(t), "registry")
     store.write("source_registry", rows, "upsert")
     store.write("source_registry", rows, "upsert")
     return registry_metrics(store.scan("source_registry"))

@@ -47,3 +47,14 @@ def test_many_keys_of_a_batch_are_not_broadcast(spark, monkeypatch):
     target = spark.range(1000).withColumn("v", F.lit(1))
     plan = lambda n: tables.merged(target, spark.range(n).withColumn("v", F.lit(2)), ["id"])._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan(10) and "SortMergeJoin" in plan(11) and "BroadcastHashJoin" not in plan(11)
+
+
+def test_texts_are_read_once_for_two_upserts(spark, monkeypatch):
+    """What is upserted twice is a written copy, not the plan over the texts."""
+    from chronofold.sources.tables import TableStore
+
+    seen = []
+    monkeypatch.setattr(TableStore, "write", lambda self, table, df, mode="append", real=TableStore.write: seen.append(df.inputFiles()) or real(self, table, df, mode))
+    got = REGISTRY["registry_counts"].run(spark, "/root/testdata/sf0.001").first()
+    assert got.processed == got.grounded + got.ungrounded > 0
+    assert len(seen) == 2 and not [f for files in seen for f in files if "documents.parquet" in f]
