@@ -196,6 +196,47 @@ def test_edges_of_a_passage_in_many_texts(spark, monkeypatch):
     assert largest.value == 0  # no key of more than five different segments reached one task
 
 
+def test_only_segments_of_hot_anchors_are_looked_up(spark, monkeypatch):
+    """Once one key is crowded, the segments of all other anchors still travel once for their sum, not again for the list of crowded keys."""
+    monkeypatch.setattr(passages, "HOT_ANCHOR", 5)
+    plans, tables, write = {}, {}, passages.Scratch.written
+
+    def written(self, df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        out = write(self, df, name)
+        tables[name] = [r["loose"] for r in out.select("loose").collect()] if name == "segments" else out.count()
+        return out
+
+    monkeypatch.setattr(passages.Scratch, "written", written)
+    rng = random.Random(16)
+    own = lambda n=300: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = own(600)
+    rows = [(i, own() + passage + own()) for i in range(30)]
+    for i in range(30, 90, 2):  # passages of two texts each
+        both = own(700)
+        rows += [(i, own() + both + own()), (i + 1, own() + both + own())]
+    got = {r["doc_id"]: r for r in suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, want in _bytes_kept(rows, 400):
+        r = got[doc_id]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want
+    assert tables["crowded"] > 0 and "LeftAnti" not in plans["answers"] and "LeftSemi" not in plans["answers"]
+    assert 0 < tables["looked_up"] <= sum(tables["segments"]) < len(tables["segments"])
+
+
+def test_anchors_that_recur_in_a_text_are_looked_up(spark, monkeypatch):
+    """Few texts may hold more segments of one key than the limit."""
+    monkeypatch.setattr(passages, "HOT_ANCHOR", 5)
+    rng = random.Random(17)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    core = own(380)
+    rows = [(i, "".join(own(60) + core + own(60) for _ in range(8))) for i in range(3)] + [(3, core + own(100)), (4, own(90) + core)]
+    rows += [(5, own(50) + rows[0][1][30:900]), (6, rows[1][1][500:1400] + own(20))]
+    got = {r["doc_id"]: r for r in suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, want in _bytes_kept(rows, 400):
+        r = got[doc_id]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want
+
+
 def test_repeated_rows_lose_everything(spark):
     rows = cases.rows()
     df = cases.frame(spark, repeated=True, null_id=True)
