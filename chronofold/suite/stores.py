@@ -281,11 +281,14 @@ def ad_hoc_sql(t: Tables) -> DataFrame:
     spec = TableSpec(struct({"c_custkey": "long"}, {"c_nationkey": "integer", "c_acctbal": "double"}))
     store = store_for(t, {"customer": spec, "never_written": spec})
     store.write("customer", t.customer)
-    store.register_views()
-    return t.spark.sql(f"""
+    views = store.register_views()
+    found = t.spark.sql(f"""
         SELECT n_name, count(*) AS customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM customer JOIN parquet.`{t.folder}/nation.parquet` ON c_nationkey = n_nationkey
         GROUP BY n_name HAVING count(*) > 2""")
+    for view in views:  # the statement holds the tables by now; the session's other users must not meet the views
+        t.spark.catalog.dropTempView(view)
+    return found
 
 
 @query("S18 S22", """

@@ -47,3 +47,10 @@ def test_query(spark, sql, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_ad_hoc_sql_leaves_no_views(spark):
+    """Its tables are views of the session only while the statement is read."""
+    df = entry_module.queries()["ad_hoc_sql"](spark, FOLDER)
+    assert not [t.name for t in spark.catalog.listTables() if t.isTemporary and t.name == "customer"]
+    assert df.count() > 0
