@@ -48,3 +48,11 @@ def test_price_by_trees_fits_all_rounds(spark, folder, fits):
     mean = sum(r.label for r in shown) / len(shown)
     missed, spread = (sum((r.label - x) ** 2 for r, x in zip(shown, given)) for given in ([r.prediction for r in shown], [mean] * len(shown)))
     assert got.rmse == pytest.approx((missed / len(shown)) ** 0.5) and got.r2 == pytest.approx(1 - missed / spread)
+
+
+def test_price_importances_come_from_all_rounds(spark, folder, fits):
+    """Importances are those of the method's 30 trees of every line, sorted by name."""
+    got = [tuple(r) for r in REGISTRY["price_importances"].run(spark, folder).collect()]
+    assert fits == [(30, 600)]
+    wanted = thirty_trees(spark.read.parquet(f"{folder}/lineitem.parquet")).featureImportances.toArray()
+    assert got == [(name, pytest.approx(float(x))) for name, x in sorted(zip(models.FEATURES, wanted))]
